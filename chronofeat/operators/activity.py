@@ -1,14 +1,14 @@
-"""Trailing activity: sliding counts, the same function on tables and on streams."""
+"""Trailing activity: sliding counts, with the same rows on tables and on streams."""
 
 from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofeat.functions.timekit import window_text
-from chronofeat.operators.grid import HOUR, KINDS, QUARTER, bucket_counts, dense_grid
+from chronofeat.functions.timekit import bucket_start, micros, window_text
+from chronofeat.operators.grid import HOUR, KINDS, QUARTER, dense_grid
 
 # Name suffix and length of each trailing window.
 WINDOWS = {"15m": QUARTER, "1h": HOUR}
@@ -27,32 +27,52 @@ def trailing_activity(
 ) -> DataFrame:
     """Counts in `[end - w, end)` for each window w, at every slide boundary `end`.
 
-    A window without any event gives no row. Counting is partial before the shuffle. With
-    `prebucket` the events are first counted per slide and only those counts are spread over
-    the windows: for dense keys that moves far less data, at the price of a second shuffle.
+    A window without any event gives no row. Counting is partial before the shuffle, so a hot
+    key costs one row per window and map task. With `prebucket` the events are first counted
+    per slide and only those counts are spread over the windows: less to move for dense keys,
+    at the price of a second shuffle.
+
+    On a stream the ends come from `F.window`, which ties the groups to the watermark; on a
+    table they are computed, which shuffles one long instead of a struct.
     """
+    if any(length % slide for length in windows.values()):
+        raise ValueError("each window must be a whole number of slides")
     longest = max(windows.values())
-    spread = window_text(longest), window_text(slide)
+    streaming = events.isStreaming
 
     if prebucket:
         counts = [F.count_if(F.col(kind) == value).alias(name) for name, value in kinds.items()]
-        per_slide = events.groupBy(key, F.window(ts, window_text(slide)).alias("b")).agg(*counts)
-        placed = per_slide.select(
-            key, *kinds, F.col("b.start").alias("_at"), F.window(F.window_time("b"), *spread).alias("w")
-        )
+        if streaming:
+            per_slide = events.groupBy(key, F.window(ts, window_text(slide)).alias("_b"))
+            at, event_time = F.col("_b.start"), F.window_time("_b")
+        else:
+            timed = events.where(F.col(ts).isNotNull())
+            per_slide = timed.groupBy(key, bucket_start(F.col(ts), slide).alias("_b"))
+            at = event_time = F.col("_b")
+        rows, carried = per_slide.agg(*counts), list(kinds)
+    else:
+        at = event_time = F.col(ts)
+        rows, carried = events, [F.col(kind).alias("_kind")]
+
+    if streaming:
+        ends = F.window(event_time, window_text(longest), window_text(slide)).alias("_w")
+        end = F.col("_w.end")
     else:
-        placed = events.select(
-            key, F.col(kind).alias("_kind"), F.col(ts).alias("_at"),
-            F.window(ts, *spread).alias("w"),
-        )
+        offsets = F.array(*[F.lit(slide * (i + 1)) for i in range(longest // slide)])
+        rows = rows.where(event_time.isNotNull()).withColumn("_offset", F.explode(offsets))
+        ends = (bucket_start(event_time, slide) + F.col("_offset")).alias("_w")
+        end = F.col("_w")
+    placed = rows.select(key, *carried, at.alias("_at"), ends)
+    # How far before the window's end the event lies, as one number for all conditions.
+    placed = placed.withColumn("_age", F.unix_micros(end) - F.unix_micros("_at"))
 
     def count(name: str, value: str, length: timedelta) -> Column:
-        inside = F.col("_at") >= F.col("w.end") - F.lit(length)
+        inside = F.col("_age") <= micros(length)
         if prebucket:
             return F.sum(F.when(inside, F.col(name)).otherwise(0))
         return F.count_if((F.col("_kind") == value) & inside)
 
-    counted = placed.groupBy(key, "w").agg(
+    counted = placed.groupBy(key, "_w").agg(
         *[
             count(name, value, length).alias(f"{name}_{suffix}")
             for name, value in kinds.items()
@@ -60,7 +80,7 @@ def trailing_activity(
         ]
     )
     names = [f"{name}_{suffix}" for name in kinds for suffix in windows]
-    return counted.select(key, F.col("w.end").alias(stamp), *names)
+    return counted.select(key, end.alias(stamp), *names)
 
 
 def activity_with_zeros(
@@ -72,22 +92,12 @@ def activity_with_zeros(
     ts: str = "event_ts",
     kind: str = "event_type",
     stamp: str = "event_timestamp",
+    prebucket: bool = False,
 ) -> DataFrame:
     """`trailing_activity` of the events and their heartbeats: no boundary is missing.
 
-    Rows equal those of the composition, from one scan: per-slide counts, the dense grid,
-    then running sums over as many grid rows as a window has slides. The grid is padded so
-    that the last event leaves the longest window, as it does in the composition.
+    Heartbeats count as nothing, so what they add are exactly the zero rows between a key's
+    first and last window. Filling those gaps gives the same table from one scan.
     """
-    slides = {suffix: length // slide for suffix, length in windows.items()}
-    if any(length % slide for length in windows.values()):
-        raise ValueError("each window must be a whole number of slides")
-    counts = bucket_counts(events, slide, kinds, key, ts, kind)
-    grid = dense_grid(counts, slide, key, pad=max(slides.values()) - 1)
-    by_time = Window.partitionBy(key).orderBy("bucket")
-    sums = [
-        F.sum(name).over(by_time.rowsBetween(1 - n, 0)).alias(f"{name}_{suffix}")
-        for name in kinds
-        for suffix, n in slides.items()
-    ]
-    return grid.select(key, (F.col("bucket") + F.lit(slide)).alias(stamp), *sums)
+    rows = trailing_activity(events, windows, slide, kinds, key, ts, kind, stamp, prebucket)
+    return dense_grid(rows, slide, key, stamp)

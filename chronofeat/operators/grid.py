@@ -44,17 +44,22 @@ def dense_grid(
     step: timedelta,
     key: str = "station_id",
     ts: str = "bucket",
-    pad: int = 0,
+    trim: int = 0,
 ) -> DataFrame:
     """Every bucket of a key from its first to its last, with zeros where it had no row.
 
     `counts` has one row per (key, bucket). Each row fills the gap up to the next one, so
-    there is no grid to build and no join. `pad` adds that many buckets after the last.
+    only the rows that exist are sorted, and there is no grid to build and no join. `trim`
+    leaves out that many of the first and of the last rows of each key.
     """
     values = [c for c in counts.columns if c not in (key, ts)]
-    following = F.lead(ts).over(Window.partitionBy(key).orderBy(ts))
-    until = F.coalesce(following - F.lit(step), F.col(ts) + F.lit(step * pad))
-    filled = counts.withColumn("_until", until).select(
+    by_time = Window.partitionBy(key).orderBy(ts)
+    until = F.coalesce(F.lead(ts).over(by_time) - F.lit(step), F.col(ts))
+    rows = counts.withColumn("_until", until)
+    if trim:
+        before, after = F.lag(ts, trim).over(by_time), F.lead(ts, trim).over(by_time)
+        rows = rows.withColumn("_inner", before.isNotNull() & after.isNotNull()).where("_inner")
+    filled = rows.select(
         key, *values, F.posexplode(F.sequence(ts, "_until", F.lit(step))).alias("_gap", "_at")
     )
     zero_in_gap = [F.when(F.col("_gap") == 0, F.col(v)).otherwise(0).alias(v) for v in values]

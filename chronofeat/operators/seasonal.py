@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofeat.functions.timekit import hour_of_week
+from chronofeat.operators.activity import trailing_activity
 from chronofeat.operators.grid import HOUR, KINDS, QUARTER, bucket_counts, dense_grid
 from chronofeat.operators.trips import DEPARTURE
 
@@ -51,12 +52,15 @@ def forward_label(
 ) -> DataFrame:
     """Events of kind `counted` in the `horizon` buckets from each boundary on.
 
-    The tail of a key, where fewer buckets follow, has no label.
+    That is the trailing count over `horizon` buckets, seen from the window's start. Only the
+    tail of a key, where fewer buckets follow, has no label: the first and last `horizon - 1`
+    windows reach past the key's buckets and are left out.
     """
-    counts = bucket_counts(events, step, {"_n": counted}, key, ts, kind, stamp)
-    ahead = Window.partitionBy(key).orderBy(stamp).rowsBetween(0, horizon - 1)
-    grid = dense_grid(counts, step, key, stamp)
-    sums = grid.select(
-        key, stamp, F.sum("_n").over(ahead).alias(label), F.count("_n").over(ahead).alias("_seen")
+    span = step * horizon
+    trailing = trailing_activity(
+        events, {"n": span}, step, {"_ahead": counted}, key, ts, kind, stamp
+    )
+    dense = dense_grid(trailing, step, key, stamp, trim=horizon - 1)
+    return dense.select(
+        key, (F.col(stamp) - F.lit(span)).alias(stamp), F.col("_ahead_n").alias(label)
     )
-    return sums.where(F.col("_seen") == horizon).drop("_seen")
