@@ -1,19 +1,23 @@
 """Point-in-time (as-of) joins that stay parallel on hot keys.
 
-A plain as-of join by window sorts all rows of a key in one task. Here:
-
-1. Label rows are reduced to their distinct (key, time) instants, before the shuffle. Any
-   number of labels at one instant costs one row from here on.
-2. Instants and feature rows meet in a window per (key, time bucket). The newest feature row
-   of a key's earlier buckets is carried in as one more row, so each bucket stands alone.
-3. The value found for each instant goes back to the labels by an equi join on (key, time),
-   unique on the value side. Adaptive execution splits a skewed instant, since only the left
-   side is split, and broadcasts the values when their measured size is small.
+A plain as-of join by window sorts all rows of a key in one task. Here labels and feature
+rows meet in a window per (key, time bucket), and each bucket stands alone because it is
+given the feature row that is current when it begins:
+
+- with a lifetime no longer than a bucket, a feature row is copied to the next bucket if it
+  lives that long;
+- otherwise the newest row of the key's earlier buckets is carried in.
+
+A single bucket can still be hot, down to one instant with a third of all labels. Labels are
+counted per (key, bucket) first, and the labels of the few heaviest groups are dealt out over
+salts, with the group's feature rows copied to each salt. The labels themselves are shuffled
+once and never joined back.
 """
 
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,10 +25,17 @@ from pyspark.sql import functions as F
 from chronofeat.functions.timekit import bucket_start
 from chronofeat.operators.changes import DAY, carry_in
 
-_CARRIED, _FEATURE, _INSTANT = 0, 1, 2
+# Labels of one (key, bucket) that a task may order, and how many groups above that are split.
+# At most HOT_GROUPS groups can each hold more than 1/HOT_GROUPS of all labels, so the list
+# that is broadcast is bounded and a group left off it is small by comparison.
+HOT_ROWS = 1_000_000
+HOT_GROUPS = 1024
+MAX_SALTS = 2000
 
+_FEATURE, _LABEL = 0, 1
 
-def asof_values(
+
+def asof_join(
     labels: DataFrame,
     features: DataFrame,
     keys: list[str],
@@ -33,83 +44,96 @@ def asof_values(
     ts: str = "event_timestamp",
     feature_ts: str | None = None,
     bucket: timedelta | None = DAY,
+    found_at: str | None = None,
+    counted: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """One row per distinct label (key, time) that has a feature row: `_hit` = (ts, values).
+    """Each label row with the feature values known at its time, or nulls.
 
     The feature row is the newest with time at or before the label's and not older than
-    `ttl`. It is taken whole: a null in it stays null. Rows of equal (key, time) reduce to
-    the one with the largest values. `bucket` bounds the rows a task must order; None leaves
-    each key whole, which suits views with few rows per key.
-    """
-    feature_ts = feature_ts or ts
-    row = F.struct(F.col(feature_ts).alias("ts"), *values)
-    known = features.where(_all_present([*keys, feature_ts])).select(
-        *keys, F.col(feature_ts).alias("_at"), row.alias("_row")
-    )
-    instants = labels.where(_all_present([*keys, ts])).select(*keys, F.col(ts).alias("_at"))
-    instants = instants.distinct().withColumn("_row", F.lit(None).cast(known.schema["_row"].dataType))
+    `ttl`. It is taken whole: a null in it stays null. Of rows with equal (key, time) the one
+    with the largest values counts. `found_at` names a column for the time of the row used.
 
-    by_time = known.withColumn("_tag", F.lit(_FEATURE)).unionByName(
-        instants.withColumn("_tag", F.lit(_INSTANT))
+    `bucket` bounds the feature rows a task must order; None leaves each key whole, which
+    suits views with few rows per key. `counted` is a frame with the labels' keys and times
+    to count instead of `labels`, for when `labels` is a long computation.
+    """
+    group = [*keys, "_bucket"] if bucket else list(keys)
+
+    def in_bucket(df: DataFrame) -> DataFrame:
+        return df.withColumn("_bucket", bucket_start(F.col(ts), bucket)) if bucket else df
+
+    row = F.struct(F.col(feature_ts or ts).alias("ts"), *values)
+    known = features.select(*keys, F.col(feature_ts or ts).alias(ts), row.alias("_row"))
+    known = known.where(_present([*keys, ts]))
+
+    keyed = (labels if counted is None else counted).select(*keys, ts).where(_present([*keys, ts]))
+    per_group = in_bucket(keyed).groupBy(*group).agg(F.count(F.lit(1)).alias("_labels"))
+    if bucket:
+        if ttl is not None and ttl <= bucket:
+            known = _copied_forward(known, ts, ttl, bucket)
+        else:
+            known = in_bucket(known)
+            known = known.unionByName(_carried(known, per_group, keys, ts, ttl))
+
+    salts = F.least(F.ceil(F.col("_labels") / hot_rows), F.lit(MAX_SALTS)).cast("int")
+    hot = per_group.where(F.col("_labels") > hot_rows).orderBy(F.col("_labels").desc())
+    hot = F.broadcast(hot.limit(HOT_GROUPS).select(*group, salts.alias("_salts")))
+
+    # The partition number spreads identical rows, and a retried task deals them out the same.
+    ticket = F.xxhash64(*labels.columns, F.spark_partition_id())
+    spread = F.when(_present([*keys, ts]), F.coalesce("_salts", F.lit(1))).otherwise(MAX_SALTS)
+    asked = in_bucket(labels).withColumn("_ticket", ticket).join(hot, group, "left")
+    asked = asked.withColumn("_salt", F.pmod("_ticket", spread).cast("int")).drop("_ticket")
+    every_salt = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    known = known.join(hot, group, "left").withColumn("_salt", every_salt)
+
+    by_time = (
+        asked.withColumn("_tag", F.lit(_LABEL))
+        .drop("_salts")
+        .unionByName(
+            known.withColumn("_tag", F.lit(_FEATURE)).drop("_salts"), allowMissingColumns=True
+        )
     )
-    group = list(keys)
-    if bucket is not None:
-        group.append("_bucket")
-        by_time = by_time.withColumn("_bucket", bucket_start(F.col("_at"), bucket))
-        by_time = by_time.unionByName(_carried_rows(by_time, keys, ttl))
-
     upto = (
-        Window.partitionBy(*group)
-        .orderBy("_at", "_tag", "_row")
+        Window.partitionBy(*group, "_salt")
+        .orderBy(ts, "_tag", "_row")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    hit = F.last("_row", ignorenulls=True).over(upto)
-    found = by_time.withColumn("_hit", hit).where(F.col("_tag") == _INSTANT)
-    fresh = F.col("_hit").isNotNull()
+    found = by_time.withColumn("_hit", F.last("_row", ignorenulls=True).over(upto))
+    found = found.where(F.col("_tag") == _LABEL)
     if ttl is not None:
-        fresh &= F.col("_at") - F.col("_hit.ts") <= F.lit(ttl)
-    return found.where(fresh).select(*keys, F.col("_at").alias(ts), "_hit")
-
-
-def asof_join(
-    labels: DataFrame,
-    features: DataFrame,
-    keys: list[str],
-    values: list[str],
-    ttl: timedelta | None = None,
-    ts: str = "event_timestamp",
-    feature_ts: str | None = None,
-    bucket: timedelta | None = DAY,
-    found_at: str | None = None,
-) -> DataFrame:
-    """Each label row with the feature values known at its time, or nulls.
-
-    `found_at` names a column for the time of the feature row used.
-    """
-    hits = asof_values(labels, features, keys, values, ttl, ts, feature_ts, bucket)
-    joined = labels.join(hits, [*keys, ts], "left")
+        fresh = F.col(ts) - F.col("_hit.ts") <= F.lit(ttl)
+        found = found.withColumn("_hit", F.when(fresh, F.col("_hit")))
     picked = [F.col(f"_hit.{v}").alias(v) for v in values]
     if found_at:
         picked.append(F.col("_hit.ts").alias(found_at))
-    return joined.select(*labels.columns, *picked)
+    return found.select(*labels.columns, *picked)
 
 
-def _carried_rows(by_time: DataFrame, keys: list[str], ttl: timedelta | None) -> DataFrame:
-    """For each bucket with instants, the newest feature row of the key's earlier buckets."""
-    tails = by_time.groupBy(*keys, "_bucket").agg(
-        F.max("_row").alias("_row"), F.max("_tag").alias("_tag")
-    )
-    carried = carry_in(tails, keys, "_bucket", "_row")
-    wanted = F.col("_row").isNotNull() & (F.col("_tag") == _INSTANT)
+def _copied_forward(
+    known: DataFrame, ts: str, ttl: timedelta, bucket: timedelta
+) -> DataFrame:
+    """Each row in its own bucket and, if it lives that long, in the next."""
+    first = bucket_start(F.col(ts), bucket)
+    last = bucket_start(F.col(ts) + F.lit(ttl), bucket)
+    return known.withColumn("_bucket", F.explode(F.sequence(first, last, F.lit(bucket))))
+
+
+def _carried(
+    known: DataFrame, per_group: DataFrame, keys: list[str], ts: str, ttl: timedelta | None
+) -> DataFrame:
+    """For each bucket with labels, the newest feature row of the key's earlier buckets."""
+    tails = known.groupBy(*keys, "_bucket").agg(F.max("_row").alias("_row"))
+    asked = per_group.select(*keys, "_bucket", F.lit(True).alias("_asked"))
+    # A bucket's own features must not count as earlier: its label row sorts before them.
+    steps = tails.withColumn("_asked", F.lit(False)).unionByName(asked, allowMissingColumns=True)
+    carried = carry_in(steps, keys, [F.col("_bucket"), F.col("_asked").desc()], "_row")
+    wanted = F.col("_asked") & F.col("_row").isNotNull()
     if ttl is not None:
         wanted &= F.col("_bucket") - F.col("_row.ts") <= F.lit(ttl)
-    return carried.where(wanted).select(
-        *keys, F.col("_row.ts").alias("_at"), "_row", F.lit(_CARRIED).alias("_tag"), "_bucket"
-    )
+    return carried.where(wanted).select(*keys, F.col("_row.ts").alias(ts), "_row", "_bucket")
 
 
-def _all_present(names: list[str]) -> Column:
-    present = F.lit(True)
-    for name in names:
-        present &= F.col(name).isNotNull()
-    return present
+def _present(names: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])

@@ -12,17 +12,18 @@ from chronofeat.functions.timekit import bucket_start
 DAY = timedelta(days=1)
 
 
-def carry_in(tails: DataFrame, keys: list[str], bucket: str, tail: str) -> DataFrame:
-    """For each (key, bucket), the last non-null `tail` of the key's earlier buckets.
+def carry_in(rows: DataFrame, keys: list[str], order: list, tail: str) -> DataFrame:
+    """Replace `tail` by the last non-null `tail` of the key's earlier rows.
 
-    `tails` has one row per (key, bucket): a key's window here holds at most one row per
-    bucket of its time span. Work inside a bucket can then start from the carried row, so an
-    ordered operator runs per (key, bucket) and a hot key spreads over its buckets.
+    `rows` holds a fixed number of rows per (key, time bucket), so a key's window here is
+    bounded by the buckets in its time span. Work inside a bucket can then start from the
+    carried row, so an ordered operator runs per (key, bucket) and a hot key spreads over
+    its buckets.
     """
     earlier = (
-        Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
-    return tails.withColumn(tail, F.last(tail, ignorenulls=True).over(earlier))
+    return rows.withColumn(tail, F.last(tail, ignorenulls=True).over(earlier))
 
 
 def only_changed(
@@ -43,7 +44,7 @@ def only_changed(
         "_bucket", bucket_start(F.col(arrival), bucket)
     )
     tails = rows.groupBy(*keys, "_bucket").agg(F.max(F.struct(*order, stamp)).alias("_tail"))
-    carried = carry_in(tails, keys, "_bucket", "_tail").where(F.col("_tail").isNotNull())
+    carried = carry_in(tails, keys, ["_bucket"], "_tail").where(F.col("_tail").isNotNull())
     carried = carried.select(*keys, "_bucket", "_tail.*", F.lit(True).alias("_carried"))
 
     by_arrival = Window.partitionBy(*keys, "_bucket").orderBy(*order)

@@ -46,8 +46,9 @@ def point_in_time(
 ) -> DataFrame:
     """One row per label row, with the features of every view of `service`.
 
-    `tables` holds each view's history by view name. The labels are read once per view;
-    pass a written table rather than a long computation.
+    `tables` holds each view's history by view name. Every view shuffles the growing rows
+    once; the labels are read once more per view to find hot keys, so pass a written table
+    rather than a long computation.
     """
     joined = labels
     for view in service.views:
@@ -60,6 +61,7 @@ def point_in_time(
             ts,
             view.ts,
             view.bucket,
+            counted=labels,
         )
     return joined.withColumns({name: make() for name, make in service.on_demand.items()})
 
