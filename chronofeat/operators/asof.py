@@ -11,7 +11,8 @@ given the feature row that is current when it begins:
 A single bucket can still be hot, down to one instant with a third of all labels. Labels are
 counted per (key, bucket) first, and the labels of the few heaviest groups are dealt out over
 salts, with the group's feature rows copied to each salt. The labels themselves are shuffled
-once and never joined back.
+once and never joined back. Feature rows of a heavy group are reduced to one per instant
+before they are shuffled, so copies of a row cannot pile up either.
 """
 
 from __future__ import annotations
@@ -23,13 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofeat.functions.timekit import bucket_start
-from chronofeat.operators.changes import DAY, carry_in
+from chronofeat.operators.changes import DAY, HOT_ROWS, carry_in, heaviest
 
-# Labels of one (key, bucket) that a task may order, and how many groups above that are split.
-# At most HOT_GROUPS groups can each hold more than 1/HOT_GROUPS of all labels, so the list
-# that is broadcast is bounded and a group left off it is small by comparison.
-HOT_ROWS = 1_000_000
-HOT_GROUPS = 1024
 MAX_SALTS = 2000
 
 _FEATURE, _LABEL = 0, 1
@@ -65,7 +61,7 @@ def asof_join(
 
     row = F.struct(F.col(feature_ts or ts).alias("ts"), *values)
     known = features.select(*keys, F.col(feature_ts or ts).alias(ts), row.alias("_row"))
-    known = known.where(_present([*keys, ts]))
+    known = _without_hot_copies(in_bucket(known.where(_present([*keys, ts]))), group, ts, hot_rows)
 
     keyed = (labels if counted is None else counted).select(*keys, ts).where(_present([*keys, ts]))
     per_group = in_bucket(keyed).groupBy(*group).agg(F.count(F.lit(1)).alias("_labels"))
@@ -73,12 +69,10 @@ def asof_join(
         if ttl is not None and ttl <= bucket:
             known = _copied_forward(known, ts, ttl, bucket)
         else:
-            known = in_bucket(known)
             known = known.unionByName(_carried(known, per_group, keys, ts, ttl))
 
     salts = F.least(F.ceil(F.col("_labels") / hot_rows), F.lit(MAX_SALTS)).cast("int")
-    hot = per_group.where(F.col("_labels") > hot_rows).orderBy(F.col("_labels").desc())
-    hot = F.broadcast(hot.limit(HOT_GROUPS).select(*group, salts.alias("_salts")))
+    hot = F.broadcast(heaviest(per_group, "_labels", hot_rows).select(*group, salts.alias("_salts")))
 
     # The partition number spreads identical rows, and a retried task deals them out the same.
     ticket = F.xxhash64(*labels.columns, F.spark_partition_id())
@@ -111,13 +105,27 @@ def asof_join(
     return found.select(*labels.columns, *picked)
 
 
+def _without_hot_copies(known: DataFrame, group: list[str], ts: str, hot_rows: int) -> DataFrame:
+    """`known` with the rows of its heaviest groups reduced to one per instant.
+
+    Without heavy groups the second branch is empty, and adaptive execution drops it.
+    """
+    counts = known.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = F.broadcast(heaviest(counts, "_rows", hot_rows).select(*group))
+    reduced = (
+        known.join(hot, group, "left_semi")
+        .groupBy(*group, ts)
+        .agg(F.max("_row").alias("_row"))
+    )
+    return known.join(hot, group, "left_anti").unionByName(reduced)
+
+
 def _copied_forward(
     known: DataFrame, ts: str, ttl: timedelta, bucket: timedelta
 ) -> DataFrame:
     """Each row in its own bucket and, if it lives that long, in the next."""
-    first = bucket_start(F.col(ts), bucket)
     last = bucket_start(F.col(ts) + F.lit(ttl), bucket)
-    return known.withColumn("_bucket", F.explode(F.sequence(first, last, F.lit(bucket))))
+    return known.withColumn("_bucket", F.explode(F.sequence("_bucket", last, F.lit(bucket))))
 
 
 def _carried(

@@ -11,6 +11,17 @@ from chronofeat.functions.timekit import bucket_start
 
 DAY = timedelta(days=1)
 
+# Rows of one (key, bucket) that a task may order, and how many groups above that get special
+# treatment. At most HOT_GROUPS groups can each hold more than 1/HOT_GROUPS of all rows, so the
+# list of them may be broadcast, and a group left off it is small by comparison.
+HOT_ROWS = 1_000_000
+HOT_GROUPS = 1024
+
+
+def heaviest(counts: DataFrame, rows: str, hot_rows: int) -> DataFrame:
+    """The groups with more than `hot_rows` rows, the heaviest 1024 of them at most."""
+    return counts.where(F.col(rows) > hot_rows).orderBy(F.col(rows).desc()).limit(HOT_GROUPS)
+
 
 def carry_in(rows: DataFrame, keys: list[str], order: list, tail: str) -> DataFrame:
     """Replace `tail` by the last non-null `tail` of the key's earlier rows.
@@ -33,21 +44,31 @@ def only_changed(
     stamp: str,
     tiebreak: tuple[str, ...] = (),
     bucket: timedelta = DAY,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows whose `stamp` differs from the one before it, by arrival, of the same key.
 
     Each time bucket of a key is compared on its own, after taking in the last row of the
-    key's previous bucket.
+    key's previous bucket. The heaviest buckets are cut into slices of 1/1440, a minute for a
+    day, which are buckets like any other.
     """
     order = [arrival, *tiebreak]
-    rows = df.where(F.col(stamp).isNotNull() & F.col(arrival).isNotNull()).withColumn(
-        "_bucket", bucket_start(F.col(arrival), bucket)
-    )
-    tails = rows.groupBy(*keys, "_bucket").agg(F.max(F.struct(*order, stamp)).alias("_tail"))
+    rows = df.where(F.col(stamp).isNotNull() & F.col(arrival).isNotNull())
+    rows = rows.withColumn("_bucket", bucket_start(F.col(arrival), bucket))
+    group = [*keys, "_bucket"]
+    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = heaviest(counts, "_rows", hot_rows).select(*group, F.lit(True).alias("_hot"))
+    rows = rows.join(F.broadcast(hot), group, "left")
+    slice_start = bucket_start(F.col(arrival), bucket / 1440)
+    rows = rows.withColumn(
+        "_bucket", F.when(F.col("_hot"), slice_start).otherwise(F.col("_bucket"))
+    ).drop("_hot")
+
+    tails = rows.groupBy(*group).agg(F.max(F.struct(*order, stamp)).alias("_tail"))
     carried = carry_in(tails, keys, ["_bucket"], "_tail").where(F.col("_tail").isNotNull())
-    carried = carried.select(*keys, "_bucket", "_tail.*", F.lit(True).alias("_carried"))
+    carried = carried.select(*group, "_tail.*", F.lit(True).alias("_carried"))
 
-    by_arrival = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    by_arrival = Window.partitionBy(*group).orderBy(*order)
     both = rows.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
     both = both.withColumn("_before", F.lag(stamp).over(by_arrival))
     changed = F.col("_before").isNull() | (F.col("_before") != F.col(stamp))

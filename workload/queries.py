@@ -43,7 +43,7 @@ from chronofeat.plans.reports import (
     top_k,
 )
 from chronofeat.plans.training import (
-    MODEL_FEATURES,
+    MAX_ROWS,
     TARGET,
     model_frame,
     point_in_time,
@@ -409,8 +409,9 @@ def seeded_cap_events(spark, sf_dir):
 
 @query("demand_model_scores")
 def demand_model_scores(spark, sf_dir):
-    """Poisson regression on the training frame; errors of model and baselines."""
-    labels = stage_table(t.keyed_labels(spark, sf_dir), "labels")
+    """Poisson regression on the capped training frame; errors of model and baselines."""
+    capped = seeded_cap(stage_table(t.keyed_labels(spark, sf_dir), "labels"), MAX_ROWS)
+    labels = stage_table(capped, "capped-labels")
     joined = point_in_time(labels, t.SERVICE, _history(spark, sf_dir))
     split = time_split(joined, reference=labels)
     frame = stage_table(model_frame(split, keep=(TARGET, "is_validation")), "frame")
