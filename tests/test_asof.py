@@ -1,0 +1,210 @@
+from __future__ import annotations
+
+import random
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from chronofeat.operators import asof_join, only_changed
+from chronofeat.plans.training import model_frame, point_in_time, training_set, with_entity_keys
+from chronofeat.plans.views import DEMAND_SERVICE, FeatureService, FeatureView
+from tests.conftest import MONDAY_NOON, aware, rows_of
+
+LABEL = "k string, event_timestamp timestamp, y long"
+FEATURE = "k string, event_timestamp timestamp, a long, b long"
+
+
+def at(minutes):
+    return MONDAY_NOON + timedelta(minutes=minutes)
+
+
+def brute(labels, features, ttl):
+    """Newest feature at or before each label; of equal times the largest values.
+
+    A missing key equals nothing, as in every join.
+    """
+    out = []
+    for k, minute, y in labels:
+        known = [
+            (m, (a is not None, a), (b is not None, b))
+            for fk, m, a, b in features
+            if fk is not None and fk == k and m is not None and minute is not None and m <= minute
+        ]
+        best = max(known, default=None)
+        if best is None or (ttl is not None and minute - best[0] > ttl):
+            out.append((k, minute, y, None, None))
+        else:
+            out.append((k, minute, y, best[1][1], best[2][1]))
+    return sorted(out, key=repr)
+
+
+def frames(spark, labels, features):
+    def stamped(rows):
+        return [(r[0], None if r[1] is None else at(r[1]), *r[2:]) for r in rows]
+
+    return (
+        spark.createDataFrame(stamped(labels), LABEL).repartition(3),
+        spark.createDataFrame(stamped(features), FEATURE).repartition(2),
+    )
+
+
+def as_rows(df):
+    def minute(ts):
+        return None if ts is None else (aware(ts) - MONDAY_NOON) // timedelta(minutes=1)
+
+    return sorted(
+        [(r["k"], minute(r["event_timestamp"]), r["y"], r["a"], r["b"]) for r in df.collect()],
+        key=repr,
+    )
+
+
+def random_case(seed, n=250):
+    """A key with most rows, an instant with many labels, copies, nulls, and ties."""
+    pick = random.Random(seed)
+    keys = ["hot"] * 6 + ["a", "b", "c", None]
+    labels = [(pick.choice(keys), pick.choice([500, pick.randrange(6000), None, 60 * pick.randrange(100)]), i) for i in range(n)]
+    labels += [("hot", 500, -1)] * 40  # identical rows
+    features = [
+        (pick.choice(keys), pick.choice([pick.randrange(6000), 60 * pick.randrange(100)]), pick.choice([None, pick.randrange(5)]), pick.randrange(5))
+        for _ in range(n)
+    ]
+    features += [("hot", 480, 3, 3)] * 30
+    return labels, features
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 5])
+@pytest.mark.parametrize("bucket", [None, timedelta(days=1), timedelta(hours=1)])
+@pytest.mark.parametrize("ttl", [None, 45, 3000])
+def test_asof_join_equals_brute_force(spark, hot_rows, bucket, ttl):
+    labels, features = random_case(seed=ttl or 1)
+    left, right = frames(spark, labels, features)
+    limit = None if ttl is None else timedelta(minutes=ttl)
+    joined = asof_join(left, right, ["k"], ["a", "b"], limit, bucket=bucket, hot_rows=hot_rows)
+    assert as_rows(joined) == brute(labels, features, ttl)
+
+
+def test_bounds_are_inclusive_and_rows_are_taken_whole(spark):
+    labels = [("a", 10, 1), ("a", 40, 2), ("a", 41, 3), ("a", 9, 4)]
+    features = [("a", 5, 7, 7), ("a", 10, None, 8)]
+    left, right = frames(spark, labels, features)
+    got = as_rows(asof_join(left, right, ["k"], ["a", "b"], timedelta(minutes=30)))
+    assert got == sorted(
+        [("a", 10, 1, None, 8), ("a", 40, 2, None, 8), ("a", 41, 3, None, None), ("a", 9, 4, 7, 7)],
+        key=repr,
+    )
+
+
+def test_no_feature_is_newer_than_its_label_or_older_than_its_lifetime(spark):
+    left, right = frames(spark, *random_case(9))
+    ttl = timedelta(hours=2)
+    joined = asof_join(left, right, ["k"], ["a", "b"], ttl, found_at="found")
+    assert joined.count() == left.count()
+    age = F.col("event_timestamp") - F.col("found")
+    assert joined.where((age < timedelta(0)) | (age > ttl)).count() == 0
+
+
+def test_heavy_groups_are_spread_over_tasks(spark):
+    """With one key and one instant, labels still end up in several window groups."""
+    labels = [("hot", 500, i) for i in range(4000)]
+    left, right = frames(spark, labels, [("hot", 499, 1, 1)])
+    joined = asof_join(left, right, ["k"], ["a", "b"], hot_rows=500)
+    parts = joined.groupBy(F.spark_partition_id().alias("p")).count()
+    assert joined.where("a = 1").count() == 4000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert parts.count() > 1
+        assert parts.agg(F.max("count")).first()[0] < 4000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_plan_has_no_nested_loop_and_reads_only_needed_columns(spark):
+    left, right = frames(spark, *random_case(1))
+    plan = asof_join(left, right, ["k"], ["a"])._jdf.queryExecution().sparkPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def tables(spark):
+    def df(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    return {
+        "station_recent_activity": df(
+            [("A", at(0), 1, 4, 0, 2), ("A", at(15), 2, 5, 1, 3)],
+            "station_id string, event_timestamp timestamp, departures_15m long, departures_1h long,"
+            " arrivals_15m long, arrivals_1h long",
+        ),
+        "station_hourly_profile": df(
+            [("A", 8, at(-7 * 24 * 60), 3.0, 5.0), ("A", 9, at(-60), 9.0, 9.0)],
+            "station_id string, hour_of_week long, event_timestamp timestamp,"
+            " avg_departures_4w double, avg_arrivals_4w double",
+        ),
+        "weather_hourly": df(
+            [("jc", at(0), 21.5, None, 3.0)],
+            "region_id string, event_timestamp timestamp, temperature_c double,"
+            " precipitation_mm double, wind_speed_kmh double",
+        ),
+    }
+
+
+LABELS = "station_id string, event_timestamp timestamp, target_departures_next_1h long"
+
+
+def test_service_joins_each_view_by_its_own_keys_and_lifetime(spark):
+    labels = spark.createDataFrame([("A", at(30), 1), ("A", at(200), 2), ("B", at(30), 3)], LABELS)
+    joined = training_set(labels, DEMAND_SERVICE, tables(spark), "America/New_York", "jc")
+    got = {(r["station_id"], r["target_departures_next_1h"]): r for r in joined.collect()}
+    first = got["A", 1]
+    assert (first["departures_1h"], first["avg_departures_4w"], first["temperature_c"]) == (5, 3.0, 21.5)
+    assert (first["typical_net_flow_4w"], first["precipitation_mm"]) == (2.0, None)
+    later = got["A", 2]  # 185 minutes after the last activity, in another hour, weather expired
+    assert (later["departures_1h"], later["avg_departures_4w"], later["temperature_c"]) == (None, None, None)
+    assert got["B", 3]["temperature_c"] == 21.5
+    assert joined.columns[:5] == ["station_id", "event_timestamp", "target_departures_next_1h", "hour_of_week", "region_id"]
+
+
+def test_model_frame_fills_activity_but_not_weather(spark):
+    labels = spark.createDataFrame([("B", at(30), 3), ("A", at(30), 1)], LABELS)
+    keyed = with_entity_keys(labels, "America/New_York", "elsewhere")
+    frame = model_frame(point_in_time(keyed, DEMAND_SERVICE, tables(spark)), keep=("station_id",))
+    assert {d for _, d in frame.dtypes[1:]} == {"double"} and len(frame.columns) == 15
+    got = {r["station_id"]: r.asDict() for r in frame.collect()}
+    assert got["B"]["departures_1h"] == got["B"]["typical_net_flow_4w"] == 0.0
+    assert got["B"]["temperature_c"] is None
+    assert (got["A"]["net_flow_1h"], got["A"]["demand_vs_profile"]) == (-2.0, 5 / 4)
+    assert (got["A"]["hour_of_day"], got["A"]["day_of_week"]) == (8.0, 0.0)
+
+
+def test_a_service_of_many_views_keeps_one_reference_to_the_growing_rows(spark):
+    """The labels are scanned once for the rows and once per view for counting."""
+    view = FeatureView("v", ("k",), ("a",), None)
+    left, right = frames(spark, *random_case(1))
+    views = []
+    sources = {}
+    for i in range(4):
+        views.append(FeatureView(f"v{i}", ("k",), (f"a{i}",), None, bucket=None))
+        sources[f"v{i}"] = right.select("k", "event_timestamp", F.col("a").alias(f"a{i}"))
+    joined = point_in_time(left, FeatureService("s", tuple(views)), sources)
+    assert view.ttl is None
+    assert joined.count() == left.count()
+    windows = joined._jdf.queryExecution().optimizedPlan().toString().count("Window [")
+    assert windows == 4
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 10])
+@pytest.mark.parametrize("bucket", [timedelta(days=1), timedelta(hours=1)])
+def test_only_changed_equals_brute_force(spark, hot_rows, bucket):
+    pick = random.Random(5)
+    rows = [
+        (pick.choice(["hot", "hot", "hot", "b"]), at(pick.randrange(4000)), i, pick.choice([None, at(0), at(60)]))
+        for i in range(400)
+    ]
+    df = spark.createDataFrame(rows, "k string, arrived timestamp, id long, stamp timestamp")
+    expected, last = [], {}
+    for k, arrived, i, stamp in sorted(rows, key=lambda r: (r[1], r[2])):
+        if stamp is not None and last.get(k) != stamp:
+            expected.append(i)
+            last[k] = stamp
+    got = only_changed(df, ["k"], "arrived", "stamp", ("id",), bucket, hot_rows)
+    assert [r[0] for r in rows_of(got.select("id"))] == sorted(expected, key=lambda i: repr((i,)))
