@@ -75,10 +75,12 @@ def asof_join(
     hot = F.broadcast(heaviest(per_group, "_labels", hot_rows).select(*group, salts.alias("_salts")))
 
     # The partition number spreads identical rows, and a retried task deals them out the same.
+    # Labels without a key or time find nothing, so they may go anywhere.
     ticket = F.xxhash64(*labels.columns, F.spark_partition_id())
-    spread = F.when(_present([*keys, ts]), F.coalesce("_salts", F.lit(1))).otherwise(MAX_SALTS)
-    asked = in_bucket(labels).withColumn("_ticket", ticket).join(hot, group, "left")
-    asked = asked.withColumn("_salt", F.pmod("_ticket", spread).cast("int")).drop("_ticket")
+    asked = in_bucket(labels).join(hot, group, "left")
+    spread = F.when(F.col("_salts").isNotNull(), F.pmod(ticket, "_salts"))
+    spread = spread.when(~_present([*keys, ts]), F.pmod(ticket, F.lit(MAX_SALTS)))
+    asked = asked.withColumn("_salt", spread.otherwise(0).cast("int"))
     every_salt = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     known = known.join(hot, group, "left").withColumn("_salt", every_salt)
 

@@ -13,6 +13,7 @@ from chronofeat.streaming.sinks import (
     enrich_in_batch,
     history_sink,
     read_history,
+    write_history_batch,
 )
 
 __all__ = [
@@ -26,4 +27,5 @@ __all__ = [
     "history_sink",
     "read_history",
     "start_pipeline",
+    "write_history_batch",
 ]

@@ -20,7 +20,7 @@ def history_sink(path: str) -> BatchSink:
     def sink(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        _write_batch(batch, path, batch_id)
+        write_history_batch(batch, path, batch_id)
 
     return sink
 
@@ -35,7 +35,7 @@ def dual_sink(history_path: str, latest_path: str, keys: list[str], ts: str) ->
     def sink(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        _write_batch(batch, history_path, batch_id)
+        write_history_batch(batch, history_path, batch_id)
         written = batch.sparkSession.read.schema(batch.schema).parquet(
             f"{history_path}/{_BATCH}={batch_id}"
         )
@@ -71,7 +71,8 @@ def compact_history(
     days.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(target)
 
 
-def _write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
+def write_history_batch(batch: DataFrame, path: str, batch_id: int) -> None:
+    """Write rows as one batch of a history; a backfill uses a negative number."""
     (
         batch.withColumn(_BATCH, F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
