@@ -23,14 +23,15 @@ def trailing_activity(
     ts: str = "event_ts",
     kind: str = "event_type",
     stamp: str = "event_timestamp",
-    prebucket: bool = False,
+    prebucket: bool | None = None,
 ) -> DataFrame:
     """Counts in `[end - w, end)` for each window w, at every slide boundary `end`.
 
-    A window without any event gives no row. Counting is partial before the shuffle, so a hot
-    key costs one row per window and map task. With `prebucket` the events are first counted
-    per slide and only those counts are spread over the windows: less to move for dense keys,
-    at the price of a second shuffle.
+    A window without any event gives no row. With `prebucket`, the default on tables, events
+    are first counted per slide, partially before the shuffle. Those counts, at most one row
+    per key and slide, are moved to their key, spread over the windows there and summed
+    without another shuffle. Without it, the default on streams since it needs one stateful
+    operator less, each event is spread over its windows before it is counted.
 
     On a stream the ends come from `F.window`, which ties the groups to the watermark; on a
     table they are computed, which shuffles one long instead of a struct.
@@ -39,6 +40,7 @@ def trailing_activity(
         raise ValueError("each window must be a whole number of slides")
     longest = max(windows.values())
     streaming = events.isStreaming
+    prebucket = not streaming if prebucket is None else prebucket
 
     if prebucket:
         counts = [F.count_if(F.col(kind) == value).alias(name) for name, value in kinds.items()]
@@ -50,6 +52,9 @@ def trailing_activity(
             per_slide = timed.groupBy(key, bucket_start(F.col(ts), slide).alias("_b"))
             at = event_time = F.col("_b")
         rows, carried = per_slide.agg(*counts), list(kinds)
+        if not streaming:
+            # Serves the sums per window below, and gap filling per key after them.
+            rows = rows.repartition(F.col(key))
     else:
         at = event_time = F.col(ts)
         rows, carried = events, [F.col(kind).alias("_kind")]
@@ -92,7 +97,7 @@ def activity_with_zeros(
     ts: str = "event_ts",
     kind: str = "event_type",
     stamp: str = "event_timestamp",
-    prebucket: bool = False,
+    prebucket: bool | None = None,
 ) -> DataFrame:
     """`trailing_activity` of the events and their heartbeats: no boundary is missing.
 

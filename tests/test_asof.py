@@ -74,8 +74,8 @@ def random_case(seed, n=250):
 
 
 @pytest.mark.parametrize("hot_rows", [1_000_000, 5])
-@pytest.mark.parametrize("bucket", [None, timedelta(days=1), timedelta(hours=1)])
-@pytest.mark.parametrize("ttl", [None, 45, 3000])
+@pytest.mark.parametrize("bucket", [None, timedelta(days=1), timedelta(minutes=30)])
+@pytest.mark.parametrize("ttl", [None, 45])
 def test_asof_join_equals_brute_force(spark, hot_rows, bucket, ttl):
     labels, features = random_case(seed=ttl or 1)
     left, right = frames(spark, labels, features)

@@ -309,6 +309,19 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, {floor_to('ts', '1 hour')} AS h FROM events)
         UNION ALL SELECT event_id, h + INTERVAL '2 hours', value + 1, value, value
         FROM (SELECT *, {floor_to('ts', '1 hour')} AS h FROM events)""",
+    "flatten_stations": """SELECT c_name AS station_id, concat('u', c_custkey) AS gbfs_station_id,
+        c_name AS name, CAST(c_nationkey AS DOUBLE) AS lat, c_nationkey / -2 AS lon
+        FROM customer WHERE c_acctbal >= 0 AND c_name NOT LIKE 'Customer#00000000%'""",
+    "flatten_status": """WITH pairs AS (
+          SELECT user_id AS id, ts, CAST(floor(value) AS BIGINT) AS bikes, CAST(1 AS BIGINT) AS renting
+          FROM events WHERE event_type <> 'error'
+          UNION ALL SELECT user_id + 1000, ts, 0, 0 FROM events WHERE event_type <> 'error')
+        SELECT c_name AS station_id, CAST(floor(epoch(ts)) AS BIGINT) * 1000 AS event_ts_ms,
+          bikes AS num_bikes_available, CAST(0 AS BIGINT) AS num_ebikes_available,
+          CAST(0 AS BIGINT) AS num_docks_available, CAST(0 AS BIGINT) AS num_bikes_disabled,
+          CAST(0 AS BIGINT) AS num_docks_disabled, renting AS is_renting,
+          CAST(0 AS BIGINT) AS is_returning
+        FROM pairs JOIN customer ON c_custkey = id""",
     "merge_prefer_first": f"""WITH archive AS ({weather_where(f'ts < {AS_OF}', 'max(value)')}),
         recent AS ({weather_where(f"ts >= {AS_OF} - INTERVAL '7 days'", 'avg(value) * 0')})
         SELECT * FROM archive UNION ALL SELECT * FROM recent r WHERE NOT EXISTS (
@@ -397,4 +410,4 @@ ORACLES: dict[str, str] = {
 }
 _DIRECT = f"""SELECT k AS station_id, e AS event_timestamp, {ACTIVITY} FROM (
     {windows('(SELECT user_id AS k, event_type AS kind, ts FROM events)')})"""
-ORACLES["trailing_activity"] = ORACLES["trailing_activity_prebucketed"] = _DIRECT
+ORACLES["trailing_activity"] = ORACLES["trailing_activity_one_pass"] = _DIRECT

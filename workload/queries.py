@@ -51,7 +51,7 @@ from chronofeat.plans.training import (
     training_set,
 )
 from chronofeat.session import new_shared_path, stage_table
-from chronofeat.sources.feeds import flatten_hourly, map_ids
+from chronofeat.sources.feeds import flatten_hourly, flatten_stations, flatten_status, map_ids
 from chronofeat.sources.periods import backfill_range, new_periods_only, newest_periods
 from chronofeat.sources.topics import to_envelope
 from chronofeat.streaming.pipeline import StreamQuery, start_pipeline
@@ -196,9 +196,9 @@ def trailing_activity_direct(spark, sf_dir):
     return trailing_activity(t.bare_events(spark, sf_dir), kinds=t.KINDS)
 
 
-@query("trailing_activity_prebucketed")
-def trailing_activity_prebucketed(spark, sf_dir):
-    return trailing_activity(t.bare_events(spark, sf_dir), kinds=t.KINDS, prebucket=True)
+@query("trailing_activity_one_pass")
+def trailing_activity_one_pass(spark, sf_dir):
+    return trailing_activity(t.bare_events(spark, sf_dir), kinds=t.KINDS, prebucket=False)
 
 
 @query("activity_with_zeros")
@@ -282,6 +282,50 @@ def parallel_arrays_to_rows(spark, sf_dir):
     return flatten_hourly(docs, F.col("event_id"))
 
 
+@query("flatten_stations")
+def flatten_stations_of_customers(spark, sf_dir):
+    """Each customer as a station document; those in debt have no short name."""
+    customers = t.scan(spark, sf_dir, "customer", t.CUSTOMER_SCHEMA)
+    station = F.struct(
+        F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("short_name"),
+        F.concat(F.lit("u"), "c_custkey").alias("station_id"),
+        F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("lat"),
+        (F.col("c_nationkey") / -2).alias("lon"),
+    )
+    doc = F.struct(F.struct(F.array(station).alias("stations")).alias("data"))
+    docs = customers.select(F.to_json(doc).alias("value"))
+    return flatten_stations(docs, ("Customer#00000000",), keep=False)
+
+
+@query("flatten_status")
+def flatten_status_of_events(spark, sf_dir):
+    """Each event as a status document of two stations, known to us if they are customers."""
+    ev = t.events(spark, sf_dir)
+
+    def station(id, **counts):
+        return F.struct(
+            F.concat(F.lit("u"), id).alias("station_id"),
+            F.when(F.col("event_type") != "error", 1).otherwise(0).alias("is_installed"),
+            *[c.alias(name) for name, c in counts.items()],
+        )
+
+    pair = F.array(
+        station(F.col("station_id"), num_bikes_available=F.floor("value"), is_renting=F.lit(1)),
+        station(F.col("station_id") + 1000, num_bikes_available=F.lit(None).cast("long"), is_renting=F.lit(0)),
+    )
+    doc = F.struct(
+        F.unix_seconds("event_ts").alias("last_updated"),
+        F.struct(pair.alias("stations")).alias("data"),
+    )
+    customers = t.scan(spark, sf_dir, "customer", t.CUSTOMER_SCHEMA)
+    ids = customers.select(
+        F.concat(F.lit("u"), "c_custkey").alias("gbfs_station_id"),
+        F.col("c_name").alias("station_id"),
+    )
+    return flatten_status(ev.select(F.to_json(doc).alias("value")), ids)
+
+
 @query("merge_prefer_first")
 def merge_prefer_first_weather(spark, sf_dir):
     """An archive up to the fixed instant, and recent readings from a week before it."""
