@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,7 +111,10 @@ def time_split(
     """Adds a flag to the newest `fraction` of rows: those strictly after the time quantile.
 
     The cutoff is exact. It may be taken from `reference`, any frame with the same times:
-    the labels are far cheaper to scan than the training set joined from them.
+    the labels are far cheaper to scan than the training set joined from them. The flag
+    compares the time itself, so filtering on it reaches the scan.
     """
     cutoff = exact_quantile(df if reference is None else reference, ts, 1 - fraction)
-    return df.withColumn(flag, F.unix_micros(ts) > F.lit(cutoff))
+    # Times are whole microseconds: later than the cutoff means later than its whole part.
+    whole = F.timestamp_micros(F.lit(math.floor(cutoff)))
+    return df.withColumn(flag, F.col(ts) > whole)

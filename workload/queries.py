@@ -431,13 +431,12 @@ def time_split_labels(spark, sf_dir):
 
 @query("error_metrics")
 def error_metrics_of_baselines(spark, sf_dir):
-    """Both baselines on the newest fifth of the training rows."""
+    """Both baselines on the newest fifth of the training rows, the only ones that are joined."""
     labels = stage_table(t.keyed_labels(spark, sf_dir), "labels")
-    views = (t.ACTIVITY, t.PROFILE)
-    service = t.FeatureService("baselines", views)
-    joined = point_in_time(labels, service, _history(spark, sf_dir))
-    split = time_split(joined, reference=labels).where("is_validation")
-    filled = split.fillna(0, ["avg_departures_4w", "departures_1h"])
+    held = time_split(labels).where("is_validation")
+    service = t.FeatureService("baselines", (t.ACTIVITY, t.PROFILE))
+    joined = point_in_time(held, service, _history(spark, sf_dir))
+    filled = joined.fillna(0, ["avg_departures_4w", "departures_1h"])
     errors = error_metrics(
         filled,
         TARGET,
