@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronofeat.llm.digest_index import DigestIndex
+from chronofeat.llm.secrets import BASE_RULES, find_secrets, spans_text
 from chronofeat.llm.shards import shard_by_bytes
 
 
@@ -27,6 +28,23 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [rule.kind for rule in BASE_RULES]
+    kinds = F.transform("spans", lambda s: s["kind"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(kinds, lambda k: k == kind)).cast("long").alias(f"n_{kind}")
+
+    of_base = F.filter("spans", lambda s: s["kind"].isin(base))
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in base],
+        F.sha2(spans_text(of_base), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return DigestIndex(spark).verdicts(docs)
@@ -34,5 +52,6 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op5_sharding": op5_sharding,
+    "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
 }
