@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronofeat.llm.digest_index import DigestIndex
+from chronofeat.llm.rules import judge, learn
 from chronofeat.llm.secrets import BASE_RULES, find_secrets, spans_text
 from chronofeat.llm.shards import shard_by_bytes
 
@@ -28,6 +29,21 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = learn(docs, table(spark, sf_dir, "labels"))
+    return judge(docs, rules).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = [rule.kind for rule in BASE_RULES]
@@ -52,6 +68,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op5_sharding": op5_sharding,
+    "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
 }
