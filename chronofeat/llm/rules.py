@@ -208,7 +208,8 @@ def learn(
 
     Two thirds of the labelled rows grow rules: conditions are added greedily by information gain
     over a histogram of (feature, bin, label). The last third prunes: the prefix of a rule with the
-    best (hits - misses) / covered stays, and a rule whose precision there is too low ends the list.
+    best (hits - misses) / covered stays. A rule whose precision there is too low is given up, and the
+    next one starts from another feature; the list ends when none is left or nothing bad remains.
     Rows that a rule covers leave both parts. Null labels and ids are ignored; of several labels of a
     document each counts. Without labelled rows of both classes the list is empty and keeps all.
     """
@@ -233,12 +234,18 @@ def learn(
     )
     rules: list[Rule] = []
     cuts = _cuts(table)
-    while cuts and len(rules) < MAX_RULES:
+    usable = dict(cuts)
+    while usable and len(rules) < MAX_RULES:
         left = _uncovered(table, rules)
-        rule = _prune(left.where("held_out"), _grow(left.where(~F.col("held_out")), cuts))
-        if rule is None:
+        grown = _grow(left.where(~F.col("held_out")), usable)
+        if not grown:
             break
-        rules.append(rule)
+        rule = _prune(left.where("held_out"), grown)
+        if rule is None:
+            del usable[grown[0].feature]
+        else:
+            rules.append(rule)
+            usable = dict(cuts)
     scratch.drop(table)
     return DecisionList(tuple(rules))
 
@@ -278,12 +285,11 @@ def _grow(rows: DataFrame, cuts: dict[str, list[float]]) -> Rule:
     while len(rule) < MAX_CONDITIONS:
         covered = rows.where(covers(tuple(rule), _plain())) if rule else rows
         counts = _histogram(covered, cuts)
-        bad = sum(counts[FEATURES[0]][0])
-        good = sum(counts[FEATURES[0]][1])
-        if not bad or not good:
+        bad, good = map(sum, next(iter(counts.values())))
+        if not bad or (rule and not good):
             break
         best, best_gain = [], 1e-6
-        for feature in FEATURES:
+        for feature in cuts:
             of_bad, of_good = counts[feature]
             low_bad = low_good = 0
             for k, cut in enumerate(cuts[feature]):
@@ -309,21 +315,17 @@ def _grow(rows: DataFrame, cuts: dict[str, list[float]]) -> Rule:
 
 def _histogram(rows: DataFrame, cuts: dict[str, list[float]]) -> dict[str, tuple[list, list]]:
     """Rows per bin and label of each feature, from one aggregation; bin k ends at the k-th cut."""
-    bins = [
-        F.struct(
-            F.lit(f).alias("feature"),
-            reduce(
-                lambda a, b: a + b, [(F.col(f) > cut).cast("int") for cut in cuts[f]], F.lit(0)
-            ).alias("bin"),
-        )
-        for f in FEATURES
-    ]
+
+    def bin_of(feature: str) -> Column:
+        below = F.filter(F.array(*map(F.lit, cuts[feature])), lambda cut: F.col(feature) > cut)
+        return F.struct(F.lit(feature).alias("feature"), F.size(below).alias("bin"))
+
     counted = (
-        rows.select("bad", F.explode(F.array(*bins)).alias("b"))
+        rows.select("bad", F.explode(F.array(*map(bin_of, cuts))).alias("b"))
         .groupBy("b.feature", "b.bin", "bad")
         .count()
     )
-    out = {f: ([0] * (len(cuts[f]) + 1), [0] * (len(cuts[f]) + 1)) for f in FEATURES}
+    out = {f: ([0] * (len(cuts[f]) + 1), [0] * (len(cuts[f]) + 1)) for f in cuts}
     for r in counted.collect():  # features x bins x 2 rows at most
         out[r["feature"]][0 if r["bad"] else 1][r["bin"]] = r["count"]
     return out
