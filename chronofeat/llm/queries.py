@@ -10,6 +10,8 @@ from chronofeat.llm.rules import judge, learn
 from chronofeat.llm.secrets import BASE_RULES, find_secrets, spans_text
 from chronofeat.llm.shards import shard_by_bytes
 
+from chronofeat.llm.simhash import near_duplicates
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,6 +31,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = learn(docs, table(spark, sf_dir, "labels"))
@@ -68,6 +76,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op5_sharding": op5_sharding,
+    "op7_simhash_dedup": op7_simhash_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
