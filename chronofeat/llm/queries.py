@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronofeat.llm.bpe import decode_ids, encode_texts
+from chronofeat.llm.chat import format_chats, read_back
 from chronofeat.llm.digest_index import DigestIndex
+from chronofeat.llm.packing import pack_documents
 from chronofeat.llm.rules import judge, learn
 from chronofeat.llm.secrets import BASE_RULES, find_secrets, spans_text
 from chronofeat.llm.shards import shard_by_bytes
@@ -17,6 +21,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    pattern = public_tokenizers.PATTERN
+    encoded = encode_texts(table(spark, sf_dir, "documents"), path, pattern)
+    decoded = decode_ids(encoded, path, pattern)
+    numbers = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(numbers, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = r"\### Assistant: </turn> ok"
+    roles = F.explode(F.array(F.struct(F.lit(0).alias("turn"), F.lit("user").alias("role")),
+                              F.struct(F.lit(1).alias("turn"), F.lit("assistant").alias("role"))))
+    added = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), roles.alias("t"))
+    added = added.select("conv_id", "t.turn", "t.role", F.lit(text).alias("text"))
+    return read_back(format_chats(chats.unionByName(added)))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = shard_by_bytes(table(spark, sf_dir, "documents"))
     return dealt.select(
@@ -75,6 +109,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op4_chat_format": op4_chat_format,
     "op5_sharding": op5_sharding,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_quality_rules": op8_quality_rules,
