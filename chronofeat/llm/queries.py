@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from chronofeat.llm.bpe import decode_ids, encode_texts
 from chronofeat.llm.chat import format_chats, read_back
 from chronofeat.llm.digest_index import DigestIndex
+from chronofeat.llm.html import extract_text
 from chronofeat.llm.packing import pack_documents
 from chronofeat.llm.rules import judge, learn
 from chronofeat.llm.secrets import BASE_RULES, find_secrets, spans_text
@@ -21,6 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
@@ -109,6 +114,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_html_text": op1_html_text,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_chat_format": op4_chat_format,
