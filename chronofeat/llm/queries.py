@@ -10,6 +10,7 @@ from chronofeat.llm.bpe import decode_ids, encode_texts
 from chronofeat.llm.chat import format_chats, read_back
 from chronofeat.llm.digest_index import DigestIndex
 from chronofeat.llm.html import extract_text
+from chronofeat.llm.lines import line_components
 from chronofeat.llm.packing import pack_documents
 from chronofeat.llm.rules import judge, learn
 from chronofeat.llm.secrets import BASE_RULES, find_secrets, spans_text
@@ -70,6 +71,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_components(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -119,6 +124,7 @@ LLM_QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_chat_format": op4_chat_format,
     "op5_sharding": op5_sharding,
+    "op6_line_dedup": op6_line_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
