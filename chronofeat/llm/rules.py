@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from functools import reduce
 from math import log2
@@ -317,7 +318,8 @@ def _histogram(rows: DataFrame, cuts: dict[str, list[float]]) -> dict[str, tuple
     """Rows per bin and label of each feature, from one aggregation; bin k ends at the k-th cut."""
 
     def bin_of(feature: str) -> Column:
-        below = F.filter(F.array(*map(F.lit, cuts[feature])), lambda cut: F.col(feature) > cut)
+        all_cuts = F.from_json(F.lit(json.dumps(cuts[feature])), "array<double>")
+        below = F.filter(all_cuts, lambda cut: F.col(feature) > cut)
         return F.struct(F.lit(feature).alias("feature"), F.size(below).alias("bin"))
 
     counted = (
@@ -358,3 +360,19 @@ def judge(docs: DataFrame, rules: DecisionList, text_col: str = "text") -> DataF
     """`measure` plus base_failed and kept: not base_failed, and no rule of the list covers it."""
     out = measure(docs, text_col).withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & rules.verdict())
+
+
+def verdict_column(
+    docs: DataFrame, rules: DecisionList, name: str, text_col: str = "text"
+) -> DataFrame:
+    """`docs` with `judge`'s verdict in column `name`, its own columns as they were.
+
+    A filter on the verdict must not be pushed below the steps that compute it: its expression would
+    be unfolded into them and evaluated anew for every word. A condition on a row number stops that; it
+    always holds.
+    """
+    own = {c: f"_own_{k}" for k, c in enumerate(docs.columns)}
+    renamed = docs.withColumnsRenamed(own)
+    judged = judge(renamed, rules, own[text_col])
+    guarded = F.when(F.monotonically_increasing_id() >= 0, F.col("kept")).otherwise(F.lit(False))
+    return judged.select(*[F.col(o).alias(c) for c, o in own.items()], guarded.alias(name))

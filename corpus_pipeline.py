@@ -2,22 +2,57 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chronofeat.llm.digest_index import DigestIndex
+from chronofeat.llm.packing import pack_documents
+from chronofeat.llm.rules import learn, verdict_column
+from chronofeat.llm.secrets import find_secrets, redact
+from chronofeat.llm.simhash import keep_one
 from chronofeat.session import stage_table
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither the base rule nor a rule learned from the labels rejects go on."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return verdict_column(docs, learn(docs, labels), "_kept").where("_kept").drop("_kept")
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id goes on."""
     return DigestIndex(spark).keep_new(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose fingerprints are linked the one with the smallest doc_id goes on."""
+    return keep_one(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; n_chars follows where a text has changed. No document goes."""
+    found = find_secrets(docs)
+    size = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    clean = redact(found.withColumn("_spans", F.col("spans")))
+    clean = clean.withColumnRenamed("_spans", "spans").withColumn("n_chars", size)
+    return clean.select(docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents with their sequence and place."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("secret_scan", secret_scan),
+    ("best_fit_packing", best_fit_packing),
 ]
 
-#: Learned rules, fingerprints and token ids have no SQL form; tests hold the rows against brute force.
+#: Learned rules, fingerprints and token ids have no SQL form; a test holds the rows against brute force.
 ORACLE_SQL = None
 
 
