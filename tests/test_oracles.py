@@ -6,7 +6,9 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-TABLES = "customer supplier orders lineitem events".split()
+TABLES = (
+    "customer supplier orders lineitem events documents pages labels conversations"
+).split()
 
 
 @pytest.fixture(scope="module")
