@@ -37,6 +37,17 @@ class Scratch:
             drop_path(self.spark, path)
 
 
+def shielded(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """`docs` under names that no operator uses, and the new name of each column."""
+    names = {c: f"_own_{k}" for k, c in enumerate(docs.columns)}
+    return docs.withColumnsRenamed(names), names
+
+
+def restored(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns of a frame that was `shielded`, as they were called."""
+    return df.select(*[F.col(own).alias(c) for c, own in names.items()])
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

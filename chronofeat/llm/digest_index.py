@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofeat.llm.common import Scratch, attach, repeat_rows
+from chronofeat.llm.common import Scratch, attach, repeat_rows, restored, shielded
 from chronofeat.session import new_shared_path
 
 
@@ -84,11 +84,9 @@ class DigestIndex:
         """The rows of `docs` that stay, with all their columns; the index grows. See `verdicts`."""
         verdict = self.verdicts(docs.select(id_col, text_col), id_col, text_col)
         stay = verdict.where("kept").select(F.col(id_col).alias("_id"), "text_sha256")
-        digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+        docs, own = shielded(docs)
+        digest = F.sha2(F.coalesce(F.col(own[text_col]), F.lit("")), 256)
         named = docs.withColumn("_digest", digest)
-        kept = named.join(
-            stay,
-            named[id_col].eqNullSafe(stay["_id"]) & (named["_digest"] == stay["text_sha256"]),
-            "left_semi",
-        )
-        return kept.dropDuplicates([id_col, "_digest"]).drop("_digest")
+        same_id = named[own[id_col]].eqNullSafe(stay["_id"])
+        kept = named.join(stay, same_id & (named["_digest"] == stay["text_sha256"]), "left_semi")
+        return restored(kept.dropDuplicates([own[id_col], "_digest"]), own)

@@ -10,7 +10,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofeat.llm.common import WORD, Scratch
+from chronofeat.llm.common import WORD, Scratch, shielded
 
 #: At most about this many labelled rows are read for fitting, chosen by a hash of their id.
 MAX_LABELLED = 10_000
@@ -371,8 +371,7 @@ def verdict_column(
     be unfolded into them and evaluated anew for every word. A condition on a row number stops that; it
     always holds.
     """
-    own = {c: f"_own_{k}" for k, c in enumerate(docs.columns)}
-    renamed = docs.withColumnsRenamed(own)
-    judged = judge(renamed, rules, own[text_col])
+    docs, own = shielded(docs)
+    judged = judge(docs, rules, own[text_col])
     guarded = F.when(F.monotonically_increasing_id() >= 0, F.col("kept")).otherwise(F.lit(False))
     return judged.select(*[F.col(o).alias(c) for c, o in own.items()], guarded.alias(name))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofeat.llm.common import Scratch
+from chronofeat.llm.common import Scratch, restored, shielded
 from chronofeat.llm.trigrams import candidates, postings, text_key, trigram_query
 
 
@@ -176,3 +176,18 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
     )
     clean = F.when(F.size("spans") == 0, F.col(text_col)).otherwise(done)
     return docs.withColumn(text_col, clean).drop("spans")
+
+
+def clean_secrets(
+    docs: DataFrame, text_col: str = "text", size_col: str | None = "n_chars"
+) -> DataFrame:
+    """All rows and columns of `docs`, secrets replaced; `size_col` follows texts that changed."""
+    renamed, own = shielded(docs)
+    found = find_secrets(renamed, text_col=own[text_col])
+    found = found.withColumn("_dirty", F.size("spans") > 0)
+    clean = redact(found, own[text_col])
+    if size_col in own:
+        kind = docs.schema[size_col].dataType
+        size = F.when(F.col("_dirty"), F.length(own[text_col]).cast(kind))
+        clean = clean.withColumn(own[size_col], size.otherwise(F.col(own[size_col])))
+    return restored(clean, own)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofeat.llm.common import Scratch, attach
+from chronofeat.llm.common import Scratch, attach, restored, shielded
 from chronofeat.llm.components import components
 
 SHINGLE = 4
@@ -217,10 +217,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """The rows of `docs` that `near_duplicates` keeps, with all their columns; equal rows once."""
     verdict = near_duplicates(docs.select(id_col, text_col), id_col, text_col, **options)
     stay = verdict.where("kept").select(F.col(id_col).alias("_id"), F.col("text_key").alias("_kept_key"))
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    kept = keyed.join(
-        stay,
-        keyed[id_col].eqNullSafe(stay["_id"]) & (keyed["_key"] == stay["_kept_key"]),
-        "left_semi",
-    )
-    return kept.dropDuplicates([id_col, "_key"]).drop("_key")
+    docs, own = shielded(docs)
+    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(own[text_col]), F.lit(""))))
+    same_id = keyed[own[id_col]].eqNullSafe(stay["_id"])
+    kept = keyed.join(stay, same_id & (keyed["_key"] == stay["_kept_key"]), "left_semi")
+    return restored(kept.dropDuplicates([own[id_col], "_key"]), own)

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from chronofeat.llm.digest_index import DigestIndex
 from chronofeat.llm.packing import pack_documents
 from chronofeat.llm.rules import learn, verdict_column
-from chronofeat.llm.secrets import find_secrets, redact
+from chronofeat.llm.secrets import clean_secrets
 from chronofeat.llm.simhash import keep_one
 from chronofeat.session import stage_table
 
@@ -17,7 +16,8 @@ from chronofeat.session import stage_table
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rule nor a rule learned from the labels rejects go on."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return verdict_column(docs, learn(docs, labels), "_kept").where("_kept").drop("_kept")
+    verdict = "kept by rules"
+    return verdict_column(docs, learn(docs, labels), verdict).where(f"`{verdict}`").drop(verdict)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,11 +32,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; n_chars follows where a text has changed. No document goes."""
-    found = find_secrets(docs)
-    size = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    clean = redact(found.withColumn("_spans", F.col("spans")))
-    clean = clean.withColumnRenamed("_spans", "spans").withColumn("n_chars", size)
-    return clean.select(docs.columns)
+    return clean_secrets(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
