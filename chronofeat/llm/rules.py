@@ -125,7 +125,11 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
         found, F.slice(found, F.lit(2), F.size(found)), lambda a, b: F.least(F.coalesce(b - a, F.lit(3)), F.lit(3))
     )
     total = F.aggregate(gaps, F.lit(0), lambda a, b: a + b)
-    df = df.withColumn("n_repeat_words", F.coalesce(total, F.lit(0)).cast("long"))
+    # A filter on a measure must not be pushed below the steps that compute it: its expression would
+    # be unfolded into them and evaluated anew for every word. A condition on a row number, which
+    # always holds, stops that.
+    total = F.when(F.monotonically_increasing_id() >= 0, F.coalesce(total, F.lit(0)))
+    df = df.withColumn("n_repeat_words", total.cast("long"))
     own = ("_words", "_lines", "_signs", "_hashes", "_may_repeat", "_packed", "_later", "_sorted")
     return df.drop(*own, "_places")
 
@@ -365,13 +369,7 @@ def judge(docs: DataFrame, rules: DecisionList, text_col: str = "text") -> DataF
 def verdict_column(
     docs: DataFrame, rules: DecisionList, name: str, text_col: str = "text"
 ) -> DataFrame:
-    """`docs` with `judge`'s verdict in column `name`, its own columns as they were.
-
-    A filter on the verdict must not be pushed below the steps that compute it: its expression would
-    be unfolded into them and evaluated anew for every word. A condition on a row number stops that; it
-    always holds.
-    """
+    """`docs` with `judge`'s verdict in column `name`, its own columns as they were."""
     docs, own = shielded(docs)
     judged = judge(docs, rules, own[text_col])
-    guarded = F.when(F.monotonically_increasing_id() >= 0, F.col("kept")).otherwise(F.lit(False))
-    return judged.select(*[F.col(o).alias(c) for c, o in own.items()], guarded.alias(name))
+    return judged.select(*[F.col(o).alias(c) for c, o in own.items()], F.col("kept").alias(name))

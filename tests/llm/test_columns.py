@@ -1,0 +1,197 @@
+"""Quality rules, secret scans and sharding against brute force."""
+
+from __future__ import annotations
+
+import collections
+import random
+import re
+import zlib
+
+import pytest
+
+from chronofeat.llm.rules import DecisionList, judge, learn, measure, verdict_column
+from chronofeat.llm.secrets import RULES, clean_secrets, find_secrets, spans_text
+from chronofeat.llm.shards import SlotMap, rebalance, shard_by_bytes
+from chronofeat.llm.trigrams import trigram_query
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOCS = "doc_id long, text string, spans string, n_words string, vslot string, n_chars long"
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y", "z", -1) for r in rows], DOCS)
+
+
+def slow_measure(text):
+    words = WORD.findall(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    windows = list(zip(words, words[1:], words[2:], strict=False))
+    times, inside = collections.Counter(windows), set()
+    for i, window in enumerate(windows):
+        if times[window] > 1:
+            inside |= {i, i + 1, i + 2}
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)),
+        len(inside),
+    )
+
+
+def texts(rng):
+    words = ["a", "b", "c", "é", "Long", "#1", "x|y"]
+    odd = ["", " \n\x0b", "one", "a b", "a a a a", "a b c a b c", "x\n\nx\n x", "z " * 30_000]
+    return odd + [
+        "".join(rng.choice(words) + rng.choice(" \n\t") for _ in range(rng.randint(1, 60)))
+        for _ in range(150)
+    ]
+
+
+def test_measures_equal_brute_force(spark):
+    given = dict(enumerate(texts(random.Random(2))))
+    docs = docs_of(spark, [*given.items(), (None, None)])
+    got = measure(docs).collect()
+    assert len(got) == len(given) + 1
+    for r in got:
+        wanted = slow_measure(given.get(r.doc_id, ""))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == wanted
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    rng = random.Random(6)
+    words = [f"word{i}" for i in range(900)]
+    rows, labels = [], []
+    for k in range(240):
+        own = [rng.choice(words) for _ in range(rng.randint(60, 120))]
+        bad = k % 3 == 0
+        if bad and k % 2:
+            own = [w + "###" for w in own]
+        elif bad:
+            own = [w.upper() + "!!" for w in own]
+        rows.append((k, " ".join(own)))
+        labels.append((k, int(not bad)))
+    labels += [(None, 0), (5, None), (10**6, 0)]
+    table = spark.createDataFrame(labels, "doc_id long, quality int")
+    return rows, labels, learn(docs_of(spark, rows), table)
+
+
+def test_learned_rules_hold_on_new_rows(spark, learned):
+    rows, _, rules = learned
+    assert rules.rules and "reject if" in str(rules)
+    new = [(k, t.replace("word", "term").replace("WORD", "TERM")) for k, t in rows]
+    kept = {r.doc_id: r.kept for r in judge(docs_of(spark, new), rules).collect()}
+    right = sum(kept[k] == (k % 3 != 0) for k, _ in rows)
+    assert right >= 0.95 * len(rows)
+
+
+def test_base_rule_comes_first(spark):
+    rows = [(1, "few words"), (2, "a b c " * 40), (3, " ".join(map(str, range(60)))), (4, None)]
+    got = {r.doc_id: (r.base_failed, r.kept) for r in judge(docs_of(spark, rows), DecisionList()).collect()}
+    assert got == {1: (True, False), 2: (True, False), 3: (False, True), 4: (True, False)}
+
+
+def test_no_labels_give_no_rules(spark):
+    docs = docs_of(spark, [(1, "x")])
+    empty = spark.createDataFrame([], "doc_id long, quality int")
+    assert learn(docs, empty) == DecisionList()
+    assert learn(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int")) == DecisionList()
+
+
+def test_verdict_keeps_columns_and_filters(spark, learned):
+    docs = docs_of(spark, learned[0])
+    judged = verdict_column(docs, learned[2], "ok").where("ok").drop("ok")
+    assert judged.columns == docs.columns
+    kept = {r.doc_id for r in judge(docs, learned[2]).where("kept").select("doc_id").collect()}
+    assert {r.doc_id for r in judged.collect()} == kept
+    assert verdict_column(docs.limit(0), learned[2], "ok").count() == 0
+
+
+def slow_spans(text):
+    found = []
+    for rank, rule in enumerate(RULES):
+        for m in re.finditer(rule.pattern, text):
+            if len(m[rule.group]) >= rule.least:
+                found.append((m.start(), rank, m.end(), rule.kind))
+    return ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(found))
+
+
+SECRETS = [
+    "token=token:abcdefgh x AKIA" + "A" * 16 + ' é ToKeN = "abcdef" ' + "a" * 30,
+    "xoxb-1234567890ab https://u:pw@h ghp_" + "a" * 40 + " -----BEGIN RSA PRIVATE KEY-----",
+    "password=abc passwd: 123456 api_key='zzzzzz' APIKEY:zzzzzzz AKIAAKIA",
+    "secret=" + "0123456789abcdef" * 3 + "." + "deadbeef" * 2 + " 漢字 token:漢字",
+    "nothing to see", "", None,
+    "token=abcdefg " * 2000,
+]
+
+
+def test_spans_equal_brute_force(spark):
+    docs = docs_of(spark, [*enumerate(SECRETS), (None, SECRETS[0]), (0, SECRETS[0])])
+    got = find_secrets(docs)
+    rows = got.select("doc_id", "text", spans_text(got.spans).alias("s")).collect()
+    assert len(rows) == len(SECRETS) + 2
+    assert all(r.s == slow_spans(r.text or "") for r in rows)
+    assert find_secrets(docs.limit(0)).count() == 0
+
+
+def test_secrets_are_replaced_and_clean_rows_stay(spark):
+    docs = docs_of(spark, list(enumerate(SECRETS)))
+    clean = clean_secrets(docs)
+    assert clean.columns == docs.columns
+    got = {r.doc_id: r for r in clean.collect()}
+    assert got[0].text == 'token=token:abcdefgh x [SECRET] é [SECRET]" [SECRET]'
+    assert (got[0].n_chars, got[0].spans) == (len(got[0].text), "x")
+    assert [(got[k].text, got[k].n_chars) for k in (4, 5, 6)] == [("nothing to see", -1), ("", -1), (None, -1)]
+
+
+@pytest.mark.parametrize(
+    "pattern, query",
+    [
+        ("abcd", [{"abc", "bcd"}]),
+        ("[aA]bcd?e", [{"abc", "bce"}, {"abc", "bcd", "cde"}]),
+        ("(foo|bar)[0-9]+x", [{"foo"}, {"bar"}]),
+        ("(abc)+d", [{"abc"}]),
+        ("[0-9a-f]{24,}", None),
+        ("ab|cdef", None),
+        ("x*abc", [{"abc"}]),
+    ],
+)
+def test_queries_from_patterns(pattern, query):
+    found = trigram_query(pattern)
+    assert (found and sorted(map(sorted, found))) == (query and sorted(map(sorted, query)))
+
+
+def test_shards_hold_equal_bytes_and_gapless_places(spark):
+    rng = random.Random(9)
+    rows = [(k, "é" * rng.randint(0, 400)) for k in range(3000)]
+    rows += [(None, None), (None, "x"), (7, rows[7][1]), (7, rows[7][1])]
+    got = shard_by_bytes(docs_of(spark, rows)).collect()
+    sizes, places = collections.Counter(), collections.defaultdict(list)
+    for r in got:
+        sizes[r.shard] += r.size
+        places[r.shard].append(r.slot)
+    assert sorted(sizes) == list(range(16))
+    assert max(sizes.values()) - min(sizes.values()) <= 0.01 * sum(sizes.values()) / 16
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    wanted = collections.Counter(
+        (d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in rows
+    )
+    assert collections.Counter((r.doc_id, r.size, r.text_crc32) for r in got) == wanted
+    assert shard_by_bytes(docs_of(spark, [])).count() == 0
+
+
+def test_an_edit_moves_few_slots(spark):
+    rng = random.Random(1)
+    sizes = [rng.randint(1, 1000) for _ in range(512)]
+    slots = SlotMap(spark)
+    slots.save(0, [s % 8 for s in range(512)], sizes)
+    first = slots.edit(0, sizes, 8)
+    grown = slots.edit(1, sizes, 9)
+    assert slots.load(1) == first and slots.load(2) == grown
+    moved = [s for s in range(512) if first[s] != grown[s]]
+    assert len(moved) < 512 / 4
+    shrunk = rebalance(grown, sizes, 8)
+    load = [sum(z for s, z in zip(shrunk, sizes, strict=True) if s == k) for k in range(8)]
+    assert max(load) - min(load) <= 0.01 * sum(load) / 8
