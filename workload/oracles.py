@@ -31,14 +31,14 @@ def floor_to(ts: str, step: str) -> str:
 def grid(name: str, step: str) -> str:
     """CTEs `<name>_c` (counts per bucket) and `<name>` (dense)."""
     return f"""
-    {name}_c AS (
+    {name}_c AS MATERIALIZED (
       SELECT user_id AS k, {floor_to('ts', step)} AS b,
              count(*) FILTER (event_type = 'click') AS d, count(*) FILTER (event_type = 'view') AS a
       FROM events GROUP BY ALL),
     {name}_g AS (
       SELECT k, unnest(generate_series(min(b), max(b), INTERVAL '{step}')) AS b
       FROM {name}_c GROUP BY k),
-    {name} AS (
+    {name} AS MATERIALIZED (
       SELECT g.k, g.b, coalesce(c.d, 0) AS d, coalesce(c.a, 0) AS a
       FROM {name}_g g LEFT JOIN {name}_c c ON c.k = g.k AND c.b = g.b)"""
 
@@ -62,15 +62,15 @@ HOURS = grid("hours", "1 hour")
 ACTIVE = f"""{QUARTERS},
     beating AS (SELECT user_id AS k, event_type AS kind, ts FROM events
                 UNION ALL SELECT k, 'heartbeat', b FROM quarters_g),
-    activity AS ({windows('beating')})"""
+    activity AS MATERIALIZED ({windows('beating')})"""
 PROFILE = f"""{HOURS},
-    profile AS (
+    profile AS MATERIALIZED (
       SELECT k, h, b + INTERVAL '1 hour' AS e, avg(d) OVER w AS avg_departures_4w,
              avg(a) OVER w AS avg_arrivals_4w
       FROM (SELECT *, {how('b')} AS h FROM hours)
       WINDOW w AS (PARTITION BY k, h ORDER BY b ROWS BETWEEN 3 PRECEDING AND CURRENT ROW))"""
 WEATHER = f"""
-    weather AS (
+    weather AS MATERIALIZED (
       SELECT user_id % 5 AS region_id, {floor_to('ts', '1 hour')} AS e, max(value) AS temperature_c,
              min(value) AS precipitation_mm, max(value * 2) AS wind_speed_kmh
       FROM events GROUP BY ALL)"""
@@ -84,7 +84,7 @@ STATUS = """
       FROM events WHERE event_type = 'signup')"""
 # Needs the quarters CTE.
 LABELS = """
-    labels_of AS (
+    labels_of AS MATERIALIZED (
       SELECT k, b AS e, y FROM (
         SELECT k, b, CAST(sum(d) OVER w AS BIGINT) AS y, count(d) OVER w AS n FROM quarters
         WINDOW w AS (PARTITION BY k ORDER BY b ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING))
@@ -104,20 +104,24 @@ TRIPS = f"""
       WHERE n = 1)"""
 
 
-def joined(weather_of: str = "l.k % 5", profile_and_weather: str = "all") -> str:
-    """CTEs up to `pit`: labels with every feature as known at their time."""
+def joined(weather_of: str = "l.k % 5") -> str:
+    """CTEs up to `pit`: labels with every feature as known at their time.
+
+    Labels and activity lie on the same grid of quarters without gaps, so the activity known at a
+    label's time is the one of that time. CTEs that are large or read twice are materialised.
+    """
     return f"""{ACTIVE}, {HOURS.strip()}, {PROFILE[len(HOURS) + 1 :].strip()}, {WEATHER}, {LABELS},
-    keyed AS (SELECT l.k, l.e, l.y, {how('l.e')} AS h, {weather_of} AS r FROM labels_of l),
-    j1 AS (
+    keyed AS MATERIALIZED (SELECT l.k, l.e, l.y, {how('l.e')} AS h, {weather_of} AS r FROM labels_of l),
+    j1 AS MATERIALIZED (
       SELECT l.*, f.e AS fe1, {', '.join(f'f.{c}' for c in ACTIVITY.split(', '))}
-      FROM keyed l ASOF LEFT JOIN activity f ON l.k = f.k AND l.e >= f.e),
-    j2 AS (
+      FROM keyed l LEFT JOIN activity f ON l.k = f.k AND l.e = f.e),
+    j2 AS MATERIALIZED (
       SELECT l.*, f.e AS fe2, f.avg_departures_4w, f.avg_arrivals_4w
       FROM j1 l ASOF LEFT JOIN profile f ON l.k = f.k AND l.h = f.h AND l.e >= f.e),
     j3 AS (
       SELECT l.*, f.e AS fe3, f.temperature_c, f.precipitation_mm, f.wind_speed_kmh
       FROM j2 l ASOF LEFT JOIN weather f ON l.r = f.region_id AND l.e >= f.e),
-    pit AS (
+    pit AS MATERIALIZED (
       SELECT k AS station_id, e AS event_timestamp, y AS target_departures_next_1h,
         h AS hour_of_week, r AS region_id,
         {', '.join(f"CASE WHEN e - fe1 <= INTERVAL '30 minutes' THEN {c} END AS {c}"
