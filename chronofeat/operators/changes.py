@@ -6,6 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from chronofeat.functions.timekit import bucket_start
 
@@ -49,10 +50,13 @@ def only_changed(
     """Rows whose `stamp` differs from the one before it, by arrival, of the same key.
 
     Each time bucket of a key is compared on its own, after taking in the last row of the
-    key's previous bucket. The heaviest buckets are cut into slices of 1/1440, a minute for a
+    key's previous bucket. Rows of one arrival go by `tiebreak`, then by stamp and the remaining
+    columns, so the result does not depend on the order of the input. The heaviest buckets are cut into slices of 1/1440, a minute for a
     day, which are buckets like any other.
     """
-    order = [arrival, *tiebreak]
+    lead = [arrival, *[c for c in tiebreak if c != stamp], stamp]
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))]
+    order = [*lead, *[c for c in plain if c not in lead and c not in keys]]
     rows = df.where(F.col(stamp).isNotNull() & F.col(arrival).isNotNull())
     rows = rows.withColumn("_bucket", bucket_start(F.col(arrival), bucket))
     group = [*keys, "_bucket"]
@@ -64,7 +68,7 @@ def only_changed(
         "_bucket", F.when(F.col("_hot"), slice_start).otherwise(F.col("_bucket"))
     ).drop("_hot")
 
-    tails = rows.groupBy(*group).agg(F.max(F.struct(*order, stamp)).alias("_tail"))
+    tails = rows.groupBy(*group).agg(F.max(F.struct(*lead)).alias("_tail"))
     carried = carry_in(tails, keys, ["_bucket"], "_tail").where(F.col("_tail").isNotNull())
     carried = carried.select(*group, "_tail.*", F.lit(True).alias("_carried"))
 

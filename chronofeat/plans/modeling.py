@@ -82,10 +82,10 @@ def fit_demand_model(
 
 
 def score(model: PipelineModel, frame: DataFrame) -> DataFrame:
-    """`frame` with `prediction`; predictions are never negative."""
-    scored = model.transform(frame).withColumn(
-        "prediction", F.greatest(F.col("prediction"), F.lit(0.0))
-    )
+    """`frame` with `prediction`: never negative, and missing where the model gives no number."""
+    found = F.nullif(F.col("prediction"), F.lit(float("nan")))
+    floored = F.when(found.isNotNull(), F.greatest(found, F.lit(0.0)))
+    scored = model.transform(frame).withColumn("prediction", floored)
     return scored.select(*frame.columns, "prediction")
 
 

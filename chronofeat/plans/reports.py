@@ -22,8 +22,17 @@ TOP_STATIONS = 15
 
 
 def requested_stations(stations: DataFrame, requested: DataFrame | None = None) -> DataFrame:
-    """The station ids asked for, or every known one."""
-    return stations.select("station_id") if requested is None else requested.select("station_id")
+    """The station ids asked for, each once; every known one if none is asked for."""
+    if requested is None or requested.isEmpty():
+        requested = stations
+    return requested.select("station_id").distinct()
+
+
+def _one_each(df: DataFrame) -> DataFrame:
+    """One row per station: the largest one, so that the choice does not depend on the order."""
+    rest = [c for c in df.columns if c != "station_id"]
+    picked = df.groupBy("station_id").agg(F.max(F.struct(*rest)).alias("_row"))
+    return picked.select("station_id", "_row.*")
 
 
 def score_report(
@@ -36,9 +45,11 @@ def score_report(
     """One row per scored station with its place, live counts, risk and features.
 
     `scores` has a prediction and the feature columns per station; `live` has the live counts
-    with lifetimes applied. A station missing from the station table keeps its row.
+    with lifetimes applied. A station missing from the station table keeps its row; of several
+    rows of a station in `stations` or `live` one is used. A missing prediction stays missing.
     """
-    expected = F.round(F.greatest(F.col(prediction), F.lit(0.0)), 2)
+    given = clean_numeric(F.col(prediction))
+    expected = F.when(given.isNotNull(), F.round(F.greatest(given, F.lit(0.0)), 2))
     echo = F.struct(*[F.col(f).alias(f) for f in features])
     scored = scores.select("station_id", expected.alias("predicted_departures_next_hour"), echo.alias("features"))
     counts = live.select(
@@ -52,7 +63,8 @@ def score_report(
         clean_numeric(F.col("lon")).alias("lon"),
     )
     short = F.col("predicted_departures_next_hour") > F.col("bikes_available")
-    joined = scored.join(places, "station_id", "left").join(counts, "station_id", "left")
+    joined = scored.join(_one_each(places), "station_id", "left")
+    joined = joined.join(_one_each(counts), "station_id", "left")
     return joined.select(
         "station_id",
         "name",
@@ -68,7 +80,7 @@ def score_report(
 
 
 def display_table(report: DataFrame) -> DataFrame:
-    """The report as people read it, largest prediction first."""
+    """The report as people read it; sort it by `predicted`, descending, where it is shown."""
     has_name = F.col("name").isNotNull() & (F.col("name") != "")
     return report.select(
         F.when(has_name, F.col("name")).otherwise(F.col("station_id").cast("string")).alias("station"),
@@ -82,7 +94,7 @@ def display_table(report: DataFrame) -> DataFrame:
         F.coalesce(F.col("features.avg_departures_4w"), F.lit(0.0)).alias("typical_for_hour"),
         F.when(F.col("stockout_risk"), "may run out").otherwise("ok").alias("risk"),
         F.col("stockout_risk").alias("at_risk"),
-    ).orderBy(F.col("predicted").desc(), "station_id")
+    )
 
 
 def top_k(df: DataFrame, score: str, key: str, n: int = TOP_STATIONS) -> DataFrame:

@@ -16,7 +16,6 @@ from chronofeat.contracts import (
     WEATHER_HOURLY,
     Contract,
 )
-from chronofeat.operators.ranks import seeded_cap
 from chronofeat.plans.backfill import weather_history
 from chronofeat.plans.modeling import (
     error_metrics,
@@ -38,9 +37,9 @@ from chronofeat.plans.training import (
     MAX_ROWS,
     MODEL_FEATURES,
     TARGET,
+    capped_split,
     model_frame,
     point_in_time,
-    time_split,
     with_entity_keys,
 )
 from chronofeat.plans.views import BATCH_VIEWS, DEMAND_SERVICE, LIVE_SERVICE
@@ -91,12 +90,14 @@ def run_training(
     rounds: int = 600,
     cap: int = MAX_ROWS,
 ) -> dict:
-    """Join, split, fit, evaluate and save; returns the run's record."""
+    """Split, cap the rows to fit on, join, fit, evaluate on all held-out rows, and save.
+
+    Returns the run's record.
+    """
     stored = read_feature_table(spark, LABELS, settings.table("training", LABELS.name))
     keyed = with_entity_keys(stored, settings.timezone, settings.region)
-    labels = stage_table(seeded_cap(keyed, cap, CAP_SEED), "training-labels")
-    joined = point_in_time(labels, DEMAND_SERVICE, feature_history(spark, settings))
-    split = time_split(joined, reference=labels)
+    labels = stage_table(capped_split(keyed, cap, CAP_SEED), "training-labels")
+    split = point_in_time(labels, DEMAND_SERVICE, feature_history(spark, settings))
     keep = ("event_timestamp", TARGET, "is_validation")
     frame = stage_table(model_frame(split, keep=keep), "training-frame")
     model, summary = fit_demand_model(frame, kind, rounds)

@@ -118,3 +118,10 @@ def time_split(
     # Times are whole microseconds: later than the cutoff means later than its whole part.
     whole = F.timestamp_micros(F.lit(math.floor(cutoff)))
     return df.withColumn(flag, F.col(ts) > whole)
+
+
+def capped_split(labels: DataFrame, cap: int, seed: int = 7) -> DataFrame:
+    """`time_split` of all labels with at most `cap` rows to fit on; every held-out row stays."""
+    split = time_split(labels)
+    fitted = seeded_cap(split.where(~F.col("is_validation")), cap, seed)
+    return fitted.unionByName(split.where("is_validation"))

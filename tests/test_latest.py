@@ -182,7 +182,8 @@ def test_report_keeps_unknown_stations_and_flags_risk(spark):
 
 def test_display_top_kpis_and_map(spark):
     shown = display_table(report(spark))
-    assert [(r["station"], r["risk"], r["departures_last_hour"]) for r in shown.collect()] == [
+    listed = shown.orderBy(shown["predicted"].desc()).collect()
+    assert [(r["station"], r["risk"], r["departures_last_hour"]) for r in listed] == [
         ("Z", "ok", 1), ("Main St", "may run out", 4), ("B", "ok", 0),
     ]
     assert [r["station_id"] for r in top_k(shown, "predicted", "station_id", 2).collect()] == ["Z", "A"]

@@ -45,6 +45,7 @@ from chronofeat.plans.reports import (
 from chronofeat.plans.training import (
     MAX_ROWS,
     TARGET,
+    capped_split,
     model_frame,
     point_in_time,
     time_split,
@@ -452,11 +453,10 @@ def seeded_cap_events(spark, sf_dir):
 
 @query("demand_model_scores")
 def demand_model_scores(spark, sf_dir):
-    """Poisson regression on the capped training frame; errors of model and baselines."""
-    capped = seeded_cap(stage_table(t.keyed_labels(spark, sf_dir), "labels"), MAX_ROWS)
-    labels = stage_table(capped, "capped-labels")
-    joined = point_in_time(labels, t.SERVICE, _history(spark, sf_dir))
-    split = time_split(joined, reference=labels)
+    """Poisson regression on capped rows; errors of model and baselines on all held-out rows."""
+    labels = stage_table(t.keyed_labels(spark, sf_dir), "labels")
+    labels = stage_table(capped_split(labels, MAX_ROWS), "split-labels")
+    split = point_in_time(labels, t.SERVICE, _history(spark, sf_dir))
     frame = stage_table(model_frame(split, keep=(TARGET, "is_validation")), "frame")
     model, _ = fit_demand_model(frame, "glm")
     held = score(model, frame.where("is_validation"))
