@@ -237,6 +237,22 @@ def test_lines_equal_brute_force(spark):
     assert all(r.kept == ((r.doc_id, r.line_no) == (r.keep_doc_id, r.keep_line_no)) for r in got)
 
 
+def test_lines_of_long_tokens_equal_brute_force(spark):
+    rng = random.Random(106)
+    rows = []
+    for doc in range(300):
+        sizes = [70] + [4] * 9 if doc < 150 else rng.choices((22, 23, 24), k=rng.randrange(8, 17))
+        words = ["".join(rng.choice("abcdefghijklmnop0123") for _ in range(n)) for n in sizes]
+        line = " ".join(words)
+        near = line + "z" if doc % 2 else line.rsplit(" ", 1)[0]
+        rows.append((doc, f"{line}\n{near}"))
+    got = line_components(docs_of(spark, rows)).collect()
+    found = {(r.doc_id, r.line_no): (r.keep_doc_id, r.keep_line_no, r.copies) for r in got}
+    wanted = slow_lines(rows)
+    assert found == wanted
+    assert any(copies == 2 for _, _, copies in wanted.values())
+
+
 def test_documents_without_repeated_lines(spark):
     rows = [(1, "keep me once\nfirst own"), (2, "second own\n\nkeep me once"), (3, None)]
     got = {r.doc_id: r.text for r in drop_repeated_lines(docs_of(spark, rows)).collect()}
