@@ -36,7 +36,15 @@ FRAME_WORDS = frozenset(
     "subscribe subscription signup login search pagination pager toolbar complementary contentinfo "
     "form skip".split()
 )
+#: Words that may stand beside them in a name made of several words.
+PART_WORDS = frozenset(
+    "area bar block box btn button container group inner item items link links list outer panel "
+    "row section slot top bottom left right unit wrap wrapper".split()
+)
+#: Of these words, the ones whose parts may hold the site's name as a heading.
+TITLE_WORDS = frozenset("header masthead topbar banner nav navbar navigation menu".split())
 MAIN = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose beginning and end leave an empty line.
 PARTS = MAIN | FRAME | frozenset("div section table ul ol dl blockquote figure".split())
 #: Elements inside a line; all others end it.
@@ -53,8 +61,8 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)|</?\Z",
     re.DOTALL,
 )
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+_NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
@@ -70,14 +78,16 @@ class Line:
         self.text = " ".join(unescape("".join(self.pieces)).split())
 
 
-def strip_markup(page: str) -> tuple[list[Line | None], bool]:
+def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], bool]:
     """Lines of the page in order, None where a part begins or ends; whether it marks its main part.
 
     Skipped and framing elements give no lines. A framing element that the page never closes ends
-    where its parent does, or where a main part starts.
+    where its parent does, or where a main part starts. A part that frames by its class, id or role
+    only (not at all unless `by_name`) ceases to at a first-level heading, unless it may be the
+    page's head.
     """
     lines: list[Line | None] = []
-    stack: list[tuple[str, bool]] = []  # open elements, and whether each frames
+    stack: list[tuple[str, str]] = []  # open elements, and how each frames
     depth: Counter[str] = Counter()
     unclosed: set[str] = set()
     framed = in_main = in_link = 0
@@ -99,7 +109,7 @@ def strip_markup(page: str) -> tuple[list[Line | None], bool]:
         nonlocal framed, in_main, in_link
         name, frames = stack.pop()
         depth[name] -= 1
-        framed -= frames
+        framed -= bool(frames)
         in_main -= name in MAIN
         in_link -= name == "a"
         return name
@@ -142,10 +152,13 @@ def strip_markup(page: str) -> tuple[list[Line | None], bool]:
             if name not in INLINE:
                 break_line()
             continue
-        if name in MAIN and not _frames(name, token[3], in_main):
+        if name in MAIN and not _frames(name, token[3], in_main, by_name):
             while framed:
                 pop()
             marked = True
+        if name == "h1" and framed and all(kind in ("", "name") for _, kind in stack):
+            stack = [(own, "") for own, _ in stack]
+            framed = 0
         if name not in INLINE:
             break_line(name in PARTS and not closed)
         if closed:
@@ -153,12 +166,12 @@ def strip_markup(page: str) -> tuple[list[Line | None], bool]:
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
             while stack and (stack[-1][0] == name or stack[-1][0] in INLINE and _has(stack, name)):
                 pop()
-        frames = _frames(name, token[3], in_main)
+        frames = _frames(name, token[3], in_main, by_name)
         if frames:
             break_line()
         stack.append((name, frames))
         depth[name] += 1
-        framed += frames
+        framed += bool(frames)
         in_main += name in MAIN
         in_link += name == "a"
         line.main = in_main > 0
@@ -166,7 +179,7 @@ def strip_markup(page: str) -> tuple[list[Line | None], bool]:
     return lines, marked
 
 
-def _has(stack: list[tuple[str, bool]], name: str) -> bool:
+def _has(stack: list[tuple[str, str]], name: str) -> bool:
     """Whether `name` is open below inline elements only."""
     for own, _ in reversed(stack):
         if own == name:
@@ -176,20 +189,36 @@ def _has(stack: list[tuple[str, bool]], name: str) -> bool:
     return False
 
 
-def _frames(name: str, attributes: str, in_main: int) -> bool:
-    """Whether an element frames the page; a header inside the main part belongs to it."""
+def _frames(name: str, attributes: str, in_main: int, by_name: bool = True) -> str:
+    """How an element frames the page: "kind", "hidden", "title", "name", or not at all.
+
+    A header inside the main part belongs to it. A class, id or role names a frame as a whole: by one
+    frame word, or by several of which the others only say what part it is. Headings, elements inside
+    a line and main parts do not frame by such names.
+    """
     if name in ("html", "body"):
-        return False
+        return ""
     if name in FRAME:
-        return not (in_main and name == "header")
+        return "" if in_main and name == "header" else "kind"
     if not attributes.strip():
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    words = {
-        w.lower() for value in _NAMED.findall(attributes) for w in _WORDS.findall(value)
-    } & FRAME_WORDS
-    return bool(words - {"header", "masthead"} if in_main else words)
+        return ""
+    given: dict[str, str] = {}
+    for key, value in _ATTRIBUTE.findall(attributes):
+        given.setdefault(key.lower(), value.strip("\"'"))
+    hidden = given.get("aria-hidden", "").strip().lower() == "true"
+    if "hidden" in given or hidden or _NONE.search(given.get("style", "")):
+        return "hidden"
+    if not by_name or name in MAIN or name in HEADINGS or name in INLINE:
+        return ""
+    found: set[str] = set()
+    for key in ("class", "id", "role"):
+        for value in unescape(given.get(key, "")).split():
+            words = {w.lower() for w in _WORDS.findall(value)}
+            if words <= FRAME_WORDS | PART_WORDS:
+                found |= words & FRAME_WORDS
+    if in_main:
+        found -= {"header", "masthead"}
+    return ("title" if found & TITLE_WORDS else "name") if found else ""
 
 
 def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
@@ -201,10 +230,23 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     reaches `surge`, and dives where a window is empty; what lies between is kept. Where the page
     marks its main part, lines outside it weigh nothing and any text inside it is a surge. A page on
     which nothing surges gives its heaviest stretch between two gaps.
+
+    Where nothing surges because a class, id or role names the part that holds the text like a frame,
+    the page is read without regard to such names.
     """
-    lines, marked = strip_markup(page)
+    text, surged = _surging(*strip_markup(page), window, surge)
+    if not surged:
+        whole, surged = _surging(*strip_markup(page, by_name=False), window, surge)
+        text = whole if surged else text
+    return text
+
+
+def _surging(
+    lines: list[Line | None], marked: bool, window: int, surge: int
+) -> tuple[str, bool]:
+    """The text that is kept of these lines, and whether anything surged."""
     if not any(lines):
-        return ""
+        return "", False
     weights: list[int] = []
     owner: list[Line | None] = []
     for line in lines:
@@ -234,9 +276,10 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
             if inside:
                 kept.append(line)
     stretches.append((weight, current))
+    surged = bool(kept)
     if not kept:
         kept = max(stretches, key=lambda s: s[0])[1]
-    return " ".join(line.text for line in kept)
+    return " ".join(line.text for line in kept), surged
 
 
 def extract_text(

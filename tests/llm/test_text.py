@@ -51,6 +51,28 @@ def test_a_marked_article_is_whole():
     assert main_text(page) == "T x y z"
 
 
+@pytest.mark.parametrize(
+    "attributes",
+    [
+        'class="overflow-hidden"', 'style="overflow:hidden"', 'aria-hidden="false"',
+        'data-id="related"', 'class="post comments-open"', 'class="content with-sidebar"',
+        'id="search-methods"', 'class="layout has-sidebar"',
+    ],
+)
+@pytest.mark.parametrize("name", ["article", "main", "div", "section"])
+def test_names_and_states_that_do_not_frame(name, attributes):
+    assert main_text(f"<{name} {attributes}><p>{ARTICLE}</{name}>") == ARTICLE.strip()
+
+
+def test_headings_links_and_wrappers_of_the_text_stay():
+    inside = '<h2 id="related-work">R</h2><h2 id=related>S</h2>x <a href="/hidden-valley">y</a>'
+    inside += ' <span class="alert">z</span><p hidden>no</p><p style="color:red;display: none">no</p>'
+    assert main_text(f"<article>{inside}</article>") == "R S x y z"
+    page = f"<div class=sidebar><h1>T</h1><p>{ARTICLE}</div><div class=comments>{ARTICLE}</div>"
+    assert main_text(page) == f"T {ARTICLE.strip()}"
+    assert main_text(f'<div class="page sidebar"><p>{ARTICLE}</div><p>x') == f"{ARTICLE.strip()} x"
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
