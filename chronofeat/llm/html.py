@@ -15,7 +15,7 @@ from chronofeat.llm.units import slices
 
 #: Lines per window.
 WINDOW = 3
-#: Characters outside links that a window needs to start a text, on pages that mark no main part.
+#: Characters outside links that a window needs to start a text; twice as many outside the main part.
 SURGE = 86
 
 #: Elements whose content is never text.
@@ -67,19 +67,21 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
 class Line:
-    """A block's text: its pieces, how many characters are in links, and whether it can count."""
+    """A block's text: its pieces, how many characters are in links, and its main part (0: none)."""
 
     __slots__ = ("links", "main", "pieces", "text")
 
-    def __init__(self, main: bool):
+    def __init__(self, main: int):
         self.pieces, self.links, self.main, self.text = [], 0, main, ""
 
     def close(self) -> None:
         self.text = " ".join(unescape("".join(self.pieces)).split())
 
 
-def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], bool]:
-    """Lines of the page in order, None where a part begins or ends; whether it marks its main part.
+def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], dict[int, str]]:
+    """Lines of the page in order, None where a part begins or ends; the element of each main part.
+
+    Main parts are the outermost `article` and `main` elements, numbered from 1.
 
     Skipped and framing elements give no lines. A framing element that the page never closes ends
     where its parent does, or where a main part starts. A part that frames by its class, id or role
@@ -91,8 +93,8 @@ def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], bo
     depth: Counter[str] = Counter()
     unclosed: set[str] = set()
     framed = in_main = in_link = 0
-    marked = False
-    line = Line(False)
+    parts: dict[int, str] = {}
+    line = Line(0)
     at = 0
 
     def break_line(gap: bool = False) -> None:
@@ -103,7 +105,7 @@ def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], bo
                 lines.append(line)
         if gap and not framed:
             lines.append(None)
-        line = Line(in_main > 0)
+        line = Line(len(parts) if in_main else 0)
 
     def pop() -> str:
         nonlocal framed, in_main, in_link
@@ -155,7 +157,8 @@ def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], bo
         if name in MAIN and not _frames(name, token[3], in_main, by_name):
             while framed:
                 pop()
-            marked = True
+            if not in_main:
+                parts[len(parts) + 1] = name
         if name == "h1" and framed and all(kind in ("", "name") for _, kind in stack):
             stack = [(own, "") for own, _ in stack]
             framed = 0
@@ -174,9 +177,9 @@ def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], bo
         framed += bool(frames)
         in_main += name in MAIN
         in_link += name == "a"
-        line.main = in_main > 0
+        line.main = len(parts) if in_main else 0
     break_line()
-    return lines, marked
+    return lines, parts
 
 
 def _has(stack: list[tuple[str, str]], name: str) -> bool:
@@ -227,9 +230,13 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     A line's weight is its length outside links; where a part begins or ends stands an empty line, so
     an advert between two paragraphs is bridged and a change of several parts is not. The sum over a
     sliding window of lines is the distribution. It surges where a window that starts with text
-    reaches `surge`, and dives where a window is empty; what lies between is kept. Where the page
-    marks its main part, lines outside it weigh nothing and any text inside it is a surge. A page on
-    which nothing surges gives its heaviest stretch between two gaps.
+    reaches `surge`, and dives where a window is empty; what lies between is kept. Windows end where a
+    main part begins or ends. A page on which nothing surges gives its heaviest stretch between two
+    gaps.
+
+    A line in a main part weighs its whole length and a bonus of `surge`. Where a page has a `main` or
+    a single `article`, text outside has to reach twice `surge`. Of several articles (teaser cards,
+    say) those that hold less text than the heaviest text that surges outside get no bonus.
 
     Where nothing surges because a class, id or role names the part that holds the text like a frame,
     the page is read without regard to such names.
@@ -242,44 +249,64 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
 
 
 def _surging(
-    lines: list[Line | None], marked: bool, window: int, surge: int
+    lines: list[Line | None], parts: dict[int, str], window: int, surge: int
 ) -> tuple[str, bool]:
     """The text that is kept of these lines, and whether anything surged."""
-    if not any(lines):
-        return "", False
-    weights: list[int] = []
-    owner: list[Line | None] = []
+    held: Counter[int] = Counter()
+    runs: list[tuple[int, list[Line | None]]] = []
     for line in lines:
-        if line is None or (marked and not line.main):
-            weights.append(0)
-            owner.append(None)
-        else:
-            weights.append(len(line.text) if marked else max(0, len(line.text) - line.links))
-            owner.append(line)
+        part = line.main if line else runs[-1][0] if runs else 0
+        if not runs or runs[-1][0] != part:
+            runs.append((part, []))
+        runs[-1][1].append(line)
+        held[part] += _outside_links(line)
+    marked = len(parts) == 1 or "main" in parts.values()
+    least = 2 * surge if marked else surge
+    found = [None if part else _dealt(run, window, least, 0) for part, run in runs]
+    rival = 0
+    if not marked:
+        rival = max((weight for f in found if f for weight, _, surged in f if surged), default=0)
+    for k, (part, run) in enumerate(runs):
+        if part:
+            found[k] = _dealt(run, window, surge, surge if held[part] >= rival else 0)
+    stretches = [stretch for f in found for stretch in f]
+    kept = [line for _, own, surged in stretches if surged for line in own]
+    if kept or not stretches:
+        return " ".join(line.text for line in kept), bool(kept)
+    return " ".join(line.text for line in max(stretches, key=lambda s: s[0])[1]), False
+
+
+def _outside_links(line: Line | None) -> int:
+    return max(0, len(line.text) - line.links) if line else 0
+
+
+def _dealt(
+    lines: list[Line | None], window: int, least: int, bonus: int
+) -> list[tuple[int, list[Line], bool]]:
+    """Stretches between dives: (weight, lines, whether they surged, then from the surge on)."""
+    weights = [
+        (len(line.text) + bonus if bonus else _outside_links(line)) if line else 0 for line in lines
+    ]
     sums, running = [0] * len(weights), 0
     for k in range(len(weights) - 1, -1, -1):
         running += weights[k] - (weights[k + window] if k + window < len(weights) else 0)
         sums[k] = running
-    least = 1 if marked else surge
-    kept: list[Line] = []
-    stretches: list[tuple[int, list[Line]]] = []
+    stretches: list[tuple[int, list[Line], bool]] = []
     inside, current, weight = False, [], 0
-    for k, line in enumerate(owner):
+    for k, line in enumerate(lines):
         if sums[k] == 0:
-            stretches.append((weight, current))
+            if current:
+                stretches.append((weight, current, inside))
             inside, current, weight = False, [], 0
             continue
-        inside = inside or (weights[k] > 0 and sums[k] >= least)
+        if not inside and weights[k] > 0 and sums[k] >= least:
+            inside, current, weight = True, [], 0
         if line is not None:
             current.append(line)
             weight += weights[k]
-            if inside:
-                kept.append(line)
-    stretches.append((weight, current))
-    surged = bool(kept)
-    if not kept:
-        kept = max(stretches, key=lambda s: s[0])[1]
-    return " ".join(line.text for line in kept), surged
+    if current:
+        stretches.append((weight, current, inside))
+    return stretches
 
 
 def extract_text(

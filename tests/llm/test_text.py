@@ -64,6 +64,24 @@ def test_names_and_states_that_do_not_frame(name, attributes):
     assert main_text(f"<{name} {attributes}><p>{ARTICLE}</{name}>") == ARTICLE.strip()
 
 
+def test_article_cards_beside_a_story():
+    card = "<article class=card><h3><a href=/x>Title</a></h3><p>A teaser.</p></article>"
+    story = f"<div id=content><p>{ARTICLE}<p>Short.<p>{ARTICLE}</div>"
+    assert main_text(card + story + card * 3) == f"{ARTICLE.strip()} Short. {ARTICLE.strip()}"
+    assert main_text(card * 2) == "Title A teaser. Title A teaser."
+    assert main_text(f"{card}{story}<article>{ARTICLE * 5}<p>x</article>").endswith(" x")
+
+
+def test_text_outside_the_main_part_can_surge():
+    long = (ARTICLE * 2).strip()
+    assert main_text(f"<main>x</main><div>no</div><div><p>{long}</div>") == f"x {long}"
+
+
+def test_pages_without_a_main_part():
+    page = f"<div><a href=/x>{ARTICLE}</a></div><div></div><div><h2>T</h2><p>{ARTICLE}<p>x</div>"
+    assert main_text(f"{page}<div></div><div></div><div>end</div>") == f"T {ARTICLE.strip()} x"
+
+
 def test_headings_links_and_wrappers_of_the_text_stay():
     inside = '<h2 id="related-work">R</h2><h2 id=related>S</h2>x <a href="/hidden-valley">y</a>'
     inside += ' <span class="alert">z</span><p hidden>no</p><p style="color:red;display: none">no</p>'
