@@ -25,6 +25,8 @@ SKIPPED = frozenset(
 )
 #: Of these, the ones that end by themselves where no end tag follows.
 MAY_STAY_OPEN = frozenset("head label option select button".split())
+#: The ones that reach to the end of the page where no end tag follows.
+RAW = frozenset("script style textarea title iframe".split())
 #: Elements that frame a page.
 FRAME = frozenset("nav header footer aside form menu dialog search".split())
 #: Words of class, id or role that name such parts.
@@ -52,6 +54,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rb rp rt ruby s "
     "samp small span strike strong sub sup time tt u var wbr".split()
 )
+#: Elements that end another skipped element which the page never closes.
+BLOCKS = PARTS | HEADINGS | {"p", "pre"}
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr keygen frame".split()
 )
@@ -84,7 +88,8 @@ def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], di
     Main parts are the outermost `article` and `main` elements, numbered from 1.
 
     Skipped and framing elements give no lines. A framing element that the page never closes ends
-    where its parent does, or where a main part starts. A part that frames by its class, id or role
+    where its parent does, or where a main part starts; a skipped one that swallows no markup, also
+    where a block starts. A part that frames by its class, id or role
     only (not at all unless `by_name`) ceases to at a first-level heading, unless it may be the
     page's head.
     """
@@ -92,7 +97,7 @@ def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], di
     stack: list[tuple[str, str]] = []  # open elements, and how each frames
     depth: Counter[str] = Counter()
     unclosed: set[str] = set()
-    framed = in_main = in_link = 0
+    framed = swallowing = in_main = in_link = 0
     parts: dict[int, str] = {}
     line = Line(0)
     at = 0
@@ -108,10 +113,11 @@ def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], di
         line = Line(len(parts) if in_main else 0)
 
     def pop() -> str:
-        nonlocal framed, in_main, in_link
+        nonlocal framed, swallowing, in_main, in_link
         name, frames = stack.pop()
         depth[name] -= 1
         framed -= bool(frames)
+        swallowing -= frames == "unclosed"
         in_main -= name in MAIN
         in_link -= name == "a"
         return name
@@ -147,13 +153,17 @@ def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], di
         if name in SKIPPED and not closed:
             close = rf"</{re.escape(name)}\b[^>]*(?:>|\Z)"
             end = None if name in unclosed else re.compile(close, re.IGNORECASE).search(page, at)
-            if end is None and name in MAY_STAY_OPEN:
+            if end is None and name not in RAW:
                 unclosed.add(name)
-                continue
-            at = end.end() if end else size
-            if name not in INLINE:
+                if name in MAY_STAY_OPEN:
+                    continue
+            else:
+                at = end.end() if end else size
                 break_line()
-            continue
+                continue
+        if name in BLOCKS:
+            while swallowing:
+                pop()
         if name in MAIN and not _frames(name, token[3], in_main, by_name):
             while framed:
                 pop()
@@ -170,11 +180,14 @@ def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], di
             while stack and (stack[-1][0] == name or stack[-1][0] in INLINE and _has(stack, name)):
                 pop()
         frames = _frames(name, token[3], in_main, by_name)
+        if name in SKIPPED and name not in MAY_STAY_OPEN:
+            frames = "unclosed"
         if frames:
             break_line()
         stack.append((name, frames))
         depth[name] += 1
         framed += bool(frames)
+        swallowing += frames == "unclosed"
         in_main += name in MAIN
         in_link += name == "a"
         line.main = len(parts) if in_main else 0

@@ -82,6 +82,13 @@ def test_pages_without_a_main_part():
     assert main_text(f"{page}<div></div><div></div><div>end</div>") == f"T {ARTICLE.strip()} x"
 
 
+@pytest.mark.parametrize("name", "video object svg canvas noscript template audio map math".split())
+def test_unclosed_skipped_elements_end_with_their_parent_or_at_a_block(name):
+    assert main_text(f"<article><p>x<{name} id=v>no<g>no</g></p>y</article>") == "x y"
+    assert main_text(f"<article>x<{name}>no<p>y<p>z</article>") == "x y z"
+    assert main_text(f"<article>x<{name}>no</{name}>y<textarea>no<p>no</article>") == "x y"
+
+
 def test_headings_links_and_wrappers_of_the_text_stay():
     inside = '<h2 id="related-work">R</h2><h2 id=related>S</h2>x <a href="/hidden-valley">y</a>'
     inside += ' <span class="alert">z</span><p hidden>no</p><p style="color:red;display: none">no</p>'
