@@ -35,6 +35,7 @@ from chronofeat.streaming import (
 )
 from chronofeat.streaming.pipeline import trip_stream
 from tests.conftest import MONDAY_NOON, rows_of
+from workload.queries import QUERIES
 
 NOW = {"availableNow": True}
 
@@ -92,6 +93,15 @@ def test_stream_and_table_give_the_same_activity(spark, tmp_path, prebucket):
     assert rows_of(got) != []
 
 
+def test_the_stream_query_gives_every_window(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    got = QUERIES["stream_trailing_activity"](spark, sf_dir)
+    expected = QUERIES["trailing_activity"](spark, sf_dir)
+    assert rows_of(got.select(*sorted(got.columns))) == rows_of(
+        expected.select(*sorted(expected.columns))
+    )
+
+
 def test_memory_sink_holds_small_results(spark, tmp_path):
     put(tmp_path / "in", 0, [event("a", "S", "departure", 1)])
     stream = read_json_files_stream(spark, str(tmp_path / "in"), EVENTS.schema)

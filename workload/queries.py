@@ -618,11 +618,31 @@ def _drain(queries: list[StreamQuery], checkpoints: str) -> None:
 
 @query("stream_trailing_activity")
 def stream_trailing_activity(spark, sf_dir):
-    """The events as a stream, deduplicated and counted; windows final at the watermark."""
+    """The events as a stream, deduplicated and counted; every window, final at the watermark.
+
+    A sentinel a day after the last event moves the watermark past all windows; its own go.
+    """
     home = new_shared_path(spark, "stream-activity")
-    rows = trailing_activity(dedupe_events(_event_stream(spark, sf_dir)), kinds=t.KINDS)
+    stream = _event_stream(spark, sf_dir)
+    last = t.events(spark, sf_dir).agg(F.max("event_ts"), F.max("event_id") + 1)
+    last = last.toDF("event_ts", "event_id")
+    sentinel = last.select(
+        "event_id",
+        F.lit(None).cast("long").alias("station_id"),
+        F.lit("click").alias("event_type"),
+        (F.col("event_ts") + F.expr("INTERVAL 1 DAY")).alias("event_ts"),
+        F.lit(None).cast("long").alias("num_bikes_available"),
+    )
+    sentinel.write.parquet(f"{home}/sentinel")
+    end = spark.read.schema(sentinel.schema).parquet(f"{home}/sentinel")
+    end = F.timestamp_micros(F.lit(end.select(F.unix_micros("event_ts")).first()[0]))
+    stream = stream.unionByName(
+        spark.readStream.schema(sentinel.schema).parquet(f"{home}/sentinel")
+    )
+    rows = trailing_activity(dedupe_events(stream), kinds=t.KINDS)
     _drain([StreamQuery("activity", rows, history_sink(f"{home}/history"))], f"{home}/checkpoint")
-    return read_history(spark, f"{home}/history", rows.schema)
+    history = read_history(spark, f"{home}/history", rows.schema)
+    return history.where(F.col("event_timestamp") < end)
 
 
 @query("stream_latest_status")
