@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +45,18 @@ MORE_RULES = (
 
 RULES = BASE_RULES + MORE_RULES
 
+#: What follows a key's BEGIN line: its headers, and its body up to the END line, or the lines of
+#: base64 where no END follows. Character classes, not groups, repeat: long keys need no deep stack.
+_KEY_BODY = (
+    r"(?:\s*Proc-Type:[^\n]*\s*DEK-Info:[^\n]*)?"
+    r"(?:[A-Za-z0-9+/=\s\\]*?-----END [A-Z ]*PRIVATE KEY-----"
+    r"|[\r\n]+[A-Za-z0-9+/=\r\n]*[A-Za-z0-9+/=](?m:$))?"
+)
+#: The rules by which texts are cleaned: of a private key not only the BEGIN line goes.
+CLEAN_RULES = tuple(
+    replace(r, pattern=r.pattern + _KEY_BODY) if r.kind == "pem" else r for r in RULES
+)
+
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
 _STEP = 256
 
@@ -181,9 +193,12 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
 def clean_secrets(
     docs: DataFrame, text_col: str = "text", size_col: str | None = "n_chars"
 ) -> DataFrame:
-    """All rows and columns of `docs`, secrets replaced; `size_col` follows texts that changed."""
+    """All rows and columns of `docs`, secrets replaced; `size_col` follows texts that changed.
+
+    A private key goes with its body and its END line (`CLEAN_RULES`).
+    """
     renamed, own = shielded(docs)
-    found = find_secrets(renamed, text_col=own[text_col])
+    found = find_secrets(renamed, CLEAN_RULES, own[text_col])
     found = found.withColumn("_dirty", F.size("spans") > 0)
     clean = redact(found, own[text_col])
     if size_col in own:
