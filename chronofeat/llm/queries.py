@@ -6,17 +6,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronofeat.llm.blocks import top_k
 from chronofeat.llm.bpe import decode_ids, encode_texts
 from chronofeat.llm.chat import format_chats, read_back
 from chronofeat.llm.digest_index import DigestIndex
 from chronofeat.llm.html import extract_text
 from chronofeat.llm.lines import line_components
 from chronofeat.llm.packing import pack_documents
+from chronofeat.llm.resample import resample
 from chronofeat.llm.rules import judge, learn
 from chronofeat.llm.secrets import BASE_RULES, find_secrets, spans_text
 from chronofeat.llm.shards import shard_by_bytes
-
 from chronofeat.llm.simhash import near_duplicates
+from chronofeat.llm.whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,6 +120,29 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DigestIndex(spark).verdicts(docs)
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whiten(table(spark, sf_dir, "embeddings"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")
+    rows = white.select("vec_id", "n", "deviation", "identity_error", each)
+    return rows.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        "n",
+        "deviation",
+        "c.whitened",
+        "c.explained",
+        "identity_error",
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -129,4 +154,7 @@ LLM_QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_exact_top_k": op11_exact_top_k,
+    "op12_whitening": op12_whitening,
+    "op13_importance_resampling": op13_importance_resampling,
 }

@@ -1,0 +1,268 @@
+"""Exact top-k search, whitening and resampling against brute force."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from chronofeat.llm import blocks as blocks_module
+from chronofeat.llm.blocks import top_k
+from chronofeat.llm.queries import op12_whitening, op13_importance_resampling
+from chronofeat.llm.resample import draw, feature_codes, resample, text_codes, word_chunks
+from chronofeat.llm.whitening import whiten
+
+VECTORS = "vec_id long, embedding array<float>, place string, x string, block string, copies int"
+NAN, INF = float("nan"), float("inf")
+
+
+def vectors_of(spark, rows):
+    return spark.createDataFrame([(*r, "p", "x", "b", -1) for r in rows], VECTORS)
+
+
+def usable(vec):
+    return vec is not None and all(c is not None and math.isfinite(c) for c in vec)
+
+
+def slow_top_k(rows, k=5):
+    rows = [(i, v) for i, v in rows if usable(v)]
+    width = max((len(v) for _, v in rows), default=0)
+    x = [
+        [math.floor(256 * float(np.float32(c))) for c in v] + [0] * (width - len(v))
+        for _, v in rows
+    ]
+    out = []
+    for q, (query, _) in enumerate(rows):
+        if query is None or query % 50:
+            continue
+        scores = [
+            (-sum(a * b for a, b in zip(x[q], x[c], strict=True)), i is None, i or 0, i)
+            for c, (i, _) in enumerate(rows)
+            if c != q
+        ]
+        for rank, (score, _, _, i) in enumerate(sorted(scores, key=lambda s: s[:3])[:k], 1):
+            out.append((query, rank, i, -score))
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted(map(tuple, df.select("query_id", "rank", "vec_id", "score").collect()), key=repr)
+
+
+def test_top_k_equals_brute_force(spark):
+    rng = random.Random(5)
+    centres = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(4)]
+    rows = []
+    for i in range(3000):
+        centre = centres[i // 750]  # neighbours in id are alike, so bounds differ
+        rows.append((i, [c + rng.gauss(0, 0.2) for c in centre]))
+    rows += [(i, rows[7][1]) for i in range(3000, 3700)]  # one vector many times
+    rows += [(50, rows[1][1]), (50, rows[50][1]), (None, rows[7][1]), (None, [9.0] * 8)]
+    rows += [(-100, None), (4000, [1.0, None] * 4), (4050, [NAN] * 8), (4100, [INF] * 8)]
+    rows += [(4150, []), (4200, [2.0, -1.5])]
+    rng.shuffle(rows)
+    assert found(top_k(vectors_of(spark, rows))) == slow_top_k(rows)
+
+
+def test_top_k_of_few_rows(spark):
+    assert top_k(vectors_of(spark, [])).count() == 0
+    for rows in (
+        [(50, [1.0])],
+        [(51, [1.0]), (52, [2.0])],
+        [(0, [1.0]), (1, [-1.0]), (2, None)],
+        [(0, []), (1, [])],
+        [(0, [3.0e38]), (1, [-3.0e38])],
+    ):
+        got = top_k(vectors_of(spark, rows))
+        if rows[0][1] == [3.0e38]:
+            assert found(got) == [(0, 1, 1, -(2**48))]
+        else:
+            assert found(got) == slow_top_k(rows)
+
+
+def test_bounds_spare_blocks(monkeypatch):
+    rng = np.random.default_rng(1)
+    import pandas as pd
+
+    width, n = 16, 40
+    parts = [rng.normal(3 * rng.normal(size=width), 0.1, (512, width)) for _ in range(n)]
+    rows = [np.floor(256 * p).astype(np.int32) for p in parts]
+    held = pd.DataFrame(
+        {
+            "block": [512 * i for i in range(n)],
+            "rows": [r.tobytes() for r in rows],
+            "high": [r.max(axis=0).tobytes() for r in rows],
+            "low": [r.min(axis=0).tobytes() for r in rows],
+            "wide": [int(np.abs(r).max()) for r in rows],
+        }
+    )
+    asked = pd.DataFrame({"place": [512 * i for i in range(n)], "x": [r[0].tobytes() for r in rows]})
+    scored = []
+    products = blocks_module._products
+    monkeypatch.setattr(
+        blocks_module, "_products", lambda x, r, e: scored.append(len(r)) or products(x, r, e)
+    )
+    best = blocks_module._search(asked, held, width, 5)
+    every = np.concatenate(rows).astype(np.int64)
+    for q in range(n):
+        scores = every @ rows[q][0].astype(np.int64)
+        scores[512 * q] = -(2**62)
+        order = np.lexsort((np.arange(len(scores)), -scores))[:5]
+        assert best.places[q].tolist() == order.tolist()
+        assert best.scores[q].tolist() == scores[order].tolist()
+    assert scored.count(512) < n * n / 4  # of n * n pairs of query and block
+
+
+def slow_whitening(rows, counts=False):
+    rows = [(i, v) for i, v in rows if usable(v)]
+    width = max(len(v) for _, v in rows)
+    x = [
+        [math.floor(64 * float(np.float32(c))) + 1_000_000 for c in [*v, *[0.0] * (width - len(v))]]
+        for _, v in rows
+    ]
+    fit = np.array([list(t) for t in (x if counts else set(map(tuple, x)))])
+    n, sums = len(fit), fit.sum(axis=0)
+    centred = fit - fit.mean(axis=0)
+    cov = centred.T @ centred / n
+    out = []
+    for (i, _), own in zip(rows, x, strict=True):
+        dev = sum((n * a - int(s)) ** 2 for a, s in zip(own, sums, strict=True))
+        out.append((i, dev, np.array(own) - fit.mean(axis=0)))
+    return n, cov, out
+
+
+@pytest.mark.parametrize("weights", ["one", "counts"])
+def test_whitening_equals_brute_force(spark, weights):
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1 + k / 4) for k in range(20)]) for i in range(600)]
+    rows += [(i, rows[3][1]) for i in range(600, 900)]
+    rows += [(5, rows[5][1]), (None, rows[6][1]), (None, [0.5] * 18)]
+    rows += [(1000, None), (1001, [NAN] * 20), (1002, [INF] * 20), (1003, [None] * 20)]
+    n, cov, wanted = slow_whitening(rows, weights == "counts")
+    got = whiten(vectors_of(spark, rows), weights=weights).collect()
+    assert {r.n for r in got} == {n}
+    key = lambda i, deviation: (i is None, i or 0, deviation)
+    got = sorted(got, key=lambda r: key(r.vec_id, r.deviation))
+    wanted.sort(key=lambda w: key(*w[:2]))
+    assert [(r.vec_id, r.deviation) for r in got] == [w[:2] for w in wanted]
+    values, vectors = np.linalg.eigh(cov)
+    values, vectors = values[::-1][:16], vectors[:, ::-1][:, :16]
+    white = np.array([r.whitened for r in got])
+    plain = np.array([w[2] for w in wanted]) @ vectors / np.sqrt(values)
+    signs = np.sign((white * plain).sum(axis=0))
+    assert np.allclose(white, plain * signs, atol=1e-8)
+    assert np.allclose(got[0].explained, values / np.trace(cov), rtol=1e-9)
+    assert {r.identity_error for r in got} == {got[0].identity_error}
+    assert got[0].identity_error < 1e-8
+
+
+def test_whitening_of_odd_tables(spark):
+    assert whiten(vectors_of(spark, [])).count() == 0
+    assert whiten(vectors_of(spark, [(1, None), (2, [NAN])])).count() == 0
+    same = whiten(vectors_of(spark, [(1, [0.5, 2.0]), (2, [0.5, 2.0])])).collect()
+    assert [(r.n, r.deviation, r.whitened) for r in same] == [(1, 0, [None, None])] * 2
+    none = whiten(vectors_of(spark, [(1, []), (2, [])])).collect()
+    assert [(r.n, r.deviation, r.whitened) for r in none] == [(1, 0, [])] * 2
+    wide = whiten(vectors_of(spark, [(1, [3e38, 0.0]), (2, [-3e38, 1.0]), (3, [0.0, 0.0])]))
+    assert {r.vec_id: r.deviation for r in wide.collect()} == {1: None, 2: None, 3: 4096}
+
+
+def test_whitening_query(spark):
+    rows = op12_whitening(spark, "/root/testdata/sf0.001").collect()
+    per = collections.Counter(r.vec_id for r in rows)
+    assert set(per.values()) == {16}
+    assert rows[0].identity_error < 1e-6
+
+
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def slow_features(text, order):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = WORDS.findall(lower)
+    runs = [
+        " ".join(words[i : i + k]).encode() for k in range(1, order + 1)
+        for i in range(len(words) - k + 1)
+    ]
+    return len(words), [zlib.crc32(r) for r in runs]
+
+
+def slow_resample(docs, target, order, buckets, percent, least, seed):
+    s = collections.Counter(c % buckets for _, t in docs for c in slow_features(t, order)[1])
+    t = collections.Counter(c % buckets for x in target for c in slow_features(x, order)[1])
+    every, wanted = sum(s.values()) + buckets, sum(t.values()) + buckets
+    rows = []
+    for doc, text in docs:
+        n, codes = slow_features(text, order)
+        gains = [
+            math.floor(1000 * math.log((t[c % buckets] + 1) * every / ((s[c % buckets] + 1) * wanted)))
+            for c in codes
+        ]
+        weight = sum(gains) // len(gains) if gains else 0
+        name = f"{seed}:{'' if doc is None else doc}".encode()
+        h = int(hashlib.sha256(name).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append([doc, len(codes), weight, score, None, n])
+    able = sorted((r for r in rows if r[5] >= least), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for rank, row in enumerate(able[: percent * len(able) // 100], 1):
+        row[4] = rank
+    return sorted((tuple(r[:5]) for r in rows), key=repr)
+
+
+TEXTS = "doc_id long, text string, rank string, score string, n_words string, bucket string"
+
+
+def texts_of(spark, rows):
+    return spark.createDataFrame([(*r, "a", "b", "c", "d") for r in rows], TEXTS)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_resample_equals_brute_force(spark, order):
+    rng = random.Random(order)
+    pool = ["Haus", "ÉTÉ", "x1", "naïve", "a-b", " ", "\x85", "日本", "Z", "it's", "\n", "0"]
+    docs = [
+        (i, " ".join(rng.choice(pool) for _ in range(rng.randint(0, 60)))) for i in range(400)
+    ]
+    docs += [(None, docs[1][1]), (None, None), (7, docs[7][1]), (7, docs[7][1]), (500, "")]
+    docs += [(k, "one text of many words and more " * 5) for k in range(600, 800)]
+    docs += [(501, "word, " * 400_000)]
+    target = [docs[3][1], docs[9][1], None, ""]
+    args = {"order": order, "buckets": 97, "percent": 30, "least_words": 20, "seed": 11}
+    frame = spark.createDataFrame([(t,) for t in target], "text string")
+    got = resample(texts_of(spark, docs), frame, **args).collect()
+    assert sorted(map(tuple, got), key=repr) == slow_resample(docs, target, order, 97, 30, 20, 11)
+
+
+def test_resample_of_odd_tables(spark):
+    none = spark.createDataFrame([], "text string")
+    some = texts_of(spark, [(1, "a b " * 20), (2, None)])
+    assert resample(texts_of(spark, []), some).count() == 0
+    got = sorted(map(tuple, resample(some, none, percent=100).collect()))
+    assert got == slow_resample([(1, "a b " * 20), (2, None)], [], 1, 10_000, 100, 20, 2024)
+    drawn = draw(some, none, percent=100)
+    assert drawn.columns == some.columns and [r.doc_id for r in drawn.collect()] == [1]
+
+
+@pytest.mark.parametrize("order", [1, 2, 4])
+def test_chunks_do_not_change_features(order):
+    text = "Ab c, é  d1 \t e" * 40 + "x" * 300 + " end"
+    whole = feature_codes(text.lower().replace(",", " ").encode().split(), order)
+    for chunk in (1, 7, 64, 10_000):
+        words = [w for part in word_chunks(text.encode(), chunk) for w in part]
+        assert words == text.lower().replace(",", " ").encode().split()
+        codes = [c for _, part in text_codes(text.encode(), order, chunk) for c in part.tolist()]
+        assert sorted(codes) == sorted(whole)
+
+
+def test_resampling_query(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    target = [r.text for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    got = sorted(map(tuple, op13_importance_resampling(spark, folder).collect()), key=repr)
+    assert got == slow_resample(list(map(tuple, docs)), target, 1, 10_000, 10, 20, 2024)
