@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
-    "customer supplier orders lineitem events documents pages labels conversations"
+    "customer supplier orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 
 
