@@ -74,6 +74,11 @@ STATIONS = Contract(
     ),
     keys=("station_id",),
 )
+STATION_IDS = Contract(
+    "station_ids",
+    schema_of(gbfs_station_id="string", station_id="string"),
+    keys=("gbfs_station_id",),
+)
 EVENTS = Contract(
     "events",
     schema_of(event_id="string", station_id="string", event_type="string", event_ts="timestamp"),

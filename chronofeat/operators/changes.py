@@ -12,16 +12,27 @@ from chronofeat.functions.timekit import bucket_start
 
 DAY = timedelta(days=1)
 
-# Rows of one (key, bucket) that a task may order, and how many groups above that get special
-# treatment. At most HOT_GROUPS groups can each hold more than 1/HOT_GROUPS of all rows, so the
-# list of them may be broadcast, and a group left off it is small by comparison.
-HOT_ROWS = 1_000_000
-HOT_GROUPS = 1024
+# Groups below this size are not worth splitting.
+HOT_ROWS = 100_000
 
 
-def heaviest(counts: DataFrame, rows: str, hot_rows: int) -> DataFrame:
-    """The groups with more than `hot_rows` rows, the heaviest 1024 of them at most."""
-    return counts.where(F.col(rows) > hot_rows).orderBy(F.col(rows).desc()).limit(HOT_GROUPS)
+def shares_of(df: DataFrame) -> int:
+    """Parts into which the cluster's work is thought to be dealt: four for each core.
+
+    A group with more rows than one share would hold up the cluster. There are at most as many
+    such groups as shares, so a list of them is bounded by the cluster and not by the data.
+    """
+    spark = df.sparkSession
+    cores = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    return 4 * cores
+
+
+def heaviest(counts: DataFrame, rows: str, least: int = HOT_ROWS) -> DataFrame:
+    """The groups that hold more than one share of all rows, and more than `least`."""
+    share = counts.agg(F.sum(rows) / shares_of(counts)).scalar()
+    return counts.where((F.col(rows) > least) & (F.col(rows) > share))
 
 
 def carry_in(rows: DataFrame, keys: list[str], order: list, tail: str) -> DataFrame:
@@ -51,8 +62,9 @@ def only_changed(
 
     Each time bucket of a key is compared on its own, after taking in the last row of the
     key's previous bucket. Rows of one arrival go by `tiebreak`, then by stamp and the remaining
-    columns, so the result does not depend on the order of the input. The heaviest buckets are cut into slices of 1/1440, a minute for a
-    day, which are buckets like any other.
+    columns, so the result does not depend on the order of the input. Buckets with more than their
+    share of all rows are cut into slices of 1/1440, a minute for a day, which are buckets like any
+    other.
     """
     lead = [arrival, *[c for c in tiebreak if c != stamp], stamp]
     plain = [f.name for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))]

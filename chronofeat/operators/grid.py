@@ -59,13 +59,26 @@ def dense_grid(
     if trim:
         before, after = F.lag(ts, trim).over(by_time), F.lead(ts, trim).over(by_time)
         rows = rows.withColumn("_inner", before.isNotNull() & after.isNotNull()).where("_inner")
-    filled = rows.select(
-        key, *values, F.posexplode(F.sequence(ts, "_until", F.lit(step))).alias("_gap", "_at")
-    )
-    zero_in_gap = [F.when(F.col("_gap") == 0, F.col(v)).otherwise(0).alias(v) for v in values]
+    filled = every_step(rows, ts, "_until", step, "_at")
+    own = F.col("_at") == F.col(ts)
+    zero_in_gap = [F.when(own, F.col(v)).otherwise(0).alias(v) for v in values]
     return filled.select(key, F.col("_at").alias(ts), *zero_in_gap)
 
 
+def every_step(
+    rows: DataFrame, first: str, last: str, step: timedelta, at: str, stretch: int = 2048
+) -> DataFrame:
+    """Each row once for every `step` from its `first` to its `last` time, which goes to `at`.
+
+    Long gaps unfold in two levels, stretches of steps and then their steps, and rows of stretches
+    are written one by one, so no array grows with the gap.
+    """
+    wide = step * stretch
+    steps = F.sequence("_stretch", F.least(F.col("_stretch") + F.lit(wide - step), F.col(last)), F.lit(step))
+    stretches = rows.withColumn("_stretch", F.explode(F.sequence(first, last, F.lit(wide))))
+    return stretches.withColumn(at, F.explode(steps)).drop("_stretch")
+
+
 def heartbeats(
     events: DataFrame,
     step: timedelta = QUARTER,

@@ -7,19 +7,20 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofeat.contracts import EVENTS, HOURLY_PROFILE, LABELS, RECENT_ACTIVITY
+from chronofeat.contracts import EVENTS, HOURLY_PROFILE, LABELS, RECENT_ACTIVITY, Contract
 from chronofeat.operators.activity import activity_with_zeros
 from chronofeat.operators.latest import latest_per_key, merge_prefer_first
 from chronofeat.operators.seasonal import forward_label, seasonal_profile
 from chronofeat.operators.trips import normalize_trips, observed_only, scope_filter, trip_events
-from chronofeat.settings import SMALL_SCOPE_PREFIXES, Settings
-from chronofeat.sources.tables import read_feature_table, write_table
+from chronofeat.settings import Settings
+from chronofeat.sources.periods import newest_month_paths
+from chronofeat.sources.tables import read_feature_table, register_table, write_table
 from chronofeat.sources.trips import read_trips
 
 
 def events_from_raw(raw: DataFrame, settings: Settings) -> DataFrame:
     events = trip_events(normalize_trips(raw, settings.timezone))
-    return scope_filter(events, SMALL_SCOPE_PREFIXES, keep=settings.scope_is_prefixed)
+    return scope_filter(events, settings.scope_prefixes, keep=settings.scope_is_prefixed)
 
 
 def build_tables(events: DataFrame, settings: Settings) -> dict[str, DataFrame]:
@@ -34,17 +35,25 @@ def build_tables(events: DataFrame, settings: Settings) -> dict[str, DataFrame]:
 def run_backfill(spark: SparkSession, settings: Settings) -> dict[str, int]:
     """Write the event table and the tables made from it; returns rows written per table.
 
-    Events are written once and read back, so the three outputs share one pass over the raw
-    text and nothing has to stay in executor memory.
+    Reads the newest months of raw trips, chosen by their folders' names. Events are written once
+    and read back, so the three outputs share one pass over the raw text and nothing has to stay
+    in executor memory. Every table can then be read by name.
     """
-    raw = read_trips(spark, settings.table("raw", "trips", "*", "*.csv"))
-    event_path = settings.table("features", "events")
-    rows = {EVENTS.name: write_table(events_from_raw(raw, settings), event_path, EVENTS)}
-    events = read_feature_table(spark, EVENTS, event_path)
+    months = newest_month_paths(spark, settings.table("raw", "trips"), settings.trip_months)
+    raw = read_trips(spark, *months)
+
+    def write(table: DataFrame, contract: Contract, folder: str) -> int:
+        path = settings.table(folder, contract.name)
+        rows = write_table(table, path, contract)
+        register_table(spark, contract, path, f"{settings.database}.{contract.name}")
+        return rows
+
+    rows = {EVENTS.name: write(events_from_raw(raw, settings), EVENTS, "features")}
+    events = read_feature_table(spark, EVENTS, settings.table("features", EVENTS.name))
     contracts = {c.name: c for c in (RECENT_ACTIVITY, HOURLY_PROFILE, LABELS)}
     for name, table in build_tables(events, settings).items():
         folder = "training" if name == LABELS.name else "features"
-        rows[name] = write_table(table, settings.table(folder, name), contracts[name])
+        rows[name] = write(table, contracts[name], folder)
     return rows
 
 

@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-import math
-import random
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler, VectorSlicer
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    GeneralizedLinearRegression,
-)
+from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
+from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronofeat.contracts import ContractError
+from chronofeat.plans.boosting import CountTrees, fit_count_trees
 from chronofeat.plans.training import MODEL_FEATURES, STAYS_MISSING, TARGET
 from chronofeat.session import stage_table
+from chronofeat.sources.files import exists
 from chronofeat.sources.tables import read_run_record, write_run_record
 
 # Boosting settings. Depth 6 stands for 63 leaves.
@@ -62,19 +58,26 @@ def fit_demand_model(
     rounds: int = ROUNDS,
     validation: str = "is_validation",
     target: str = TARGET,
-) -> tuple[PipelineModel, dict]:
+) -> tuple[PipelineModel | CountTrees, dict]:
     """Fit on the rows where `validation` is false; returns the model and a fit summary.
 
-    Kinds: "poisson_trees" (boosted trees, Poisson objective), "gbt" (boosted trees, squared
-    error) and "glm" (Poisson regression). `data` should be a written table, since every kind
-    reads it many times.
+    Kinds: "poisson_trees" (boosted trees, Poisson objective, missing inputs as they are), "gbt"
+    (boosted trees, squared error) and "glm" (Poisson regression). `data` should be a written table,
+    since every kind reads it many times.
     """
-    fits: dict[str, Callable] = {"poisson_trees": _poisson_trees, "gbt": _gbt, "glm": _glm}
-    if kind not in fits:
+    fits: dict[str, Callable] = {"gbt": _gbt, "glm": _glm}
+    if kind not in (*fits, "poisson_trees"):
         raise ValueError(f"unknown model kind {kind!r}")
     rows = data.withColumns(
         {"label": F.col(target).cast("double"), "held_out": F.col(validation).cast("boolean")}
     )
+    if kind == "poisson_trees":
+        trees, losses = fit_count_trees(
+            rows, list(MODEL_FEATURES), rounds, LEARNING_RATE, MAX_DEPTH, MIN_ROWS_PER_LEAF,
+            FEATURE_FRACTION, SEED, _stalled, _first_stop,
+        )
+        summary = {"best_round": len(trees.trees), "importance": trees.importance()}
+        return trees, {"kind": kind, "losses": losses, **summary}
     prepare = _preparation().fit(rows.where(~F.col("held_out")))
     ready = stage_table(prepare.transform(rows).select("features", "label", "held_out"), "fit")
     stages, summary = fits[kind](ready, rounds)
@@ -95,19 +98,28 @@ def feature_importance(spark: SparkSession, summary: dict) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
-def save_model(spark: SparkSession, model: PipelineModel, record: dict, path: str) -> None:
-    model.write().overwrite().save(f"{path}/model")
+def save_model(
+    spark: SparkSession, model: PipelineModel | CountTrees, record: dict, path: str
+) -> None:
+    """The model and its record. Boosted trees are one JSON document."""
+    if isinstance(model, CountTrees):
+        write_run_record(spark, {"trees": model.to_json()}, f"{path}/model")
+    else:
+        model.write().overwrite().save(f"{path}/model")
     write_run_record(spark, {"features": list(MODEL_FEATURES), **record}, f"{path}/record")
 
 
 def load_model(
     spark: SparkSession, path: str, features: tuple[str, ...] = MODEL_FEATURES
-) -> tuple[PipelineModel, dict]:
+) -> tuple[PipelineModel | CountTrees, dict]:
     """The saved model and its record; refuses one trained on other columns."""
     record = read_run_record(spark, f"{path}/record")
     if record["features"] != list(features):
         raise ContractError("the saved model was trained on a different list of features")
-    return PipelineModel.load(f"{path}/model"), record
+    if exists(spark, f"{path}/model/metadata"):
+        return PipelineModel.load(f"{path}/model"), record
+    document = read_run_record(spark, f"{path}/model")
+    return CountTrees.from_json(document["trees"]), record
 
 
 def _preparation() -> Pipeline:
@@ -150,54 +162,6 @@ def _gbt(ready: DataFrame, rounds: int) -> tuple[list, dict]:
     return [model], {"best_round": best, "importance": weights}
 
 
-def _poisson_trees(ready: DataFrame, rounds: int) -> tuple[list, dict]:
-    """Boosted trees for counts, each round one weighted regression tree.
-
-    With margin m and mean u = exp(m), a Newton step of the Poisson loss in a leaf is
-    sum(y - u) / sum(u): the weighted mean of (y - u) / u with weights u. So a round is an
-    ordinary distributed tree fit. The margin is written to the shared folder now and then,
-    which keeps the lineage short and survives lost executors.
-    """
-    mean = ready.where(~F.col("held_out")).agg(F.avg("label")).first()[0]
-    start = math.log(max(mean, 1e-9))
-    rows = ready.withColumn("margin", F.lit(start))
-    picker = random.Random(SEED)
-    size = max(1, round(FEATURE_FRACTION * len(INPUTS)))
-    weights = dict.fromkeys(INPUTS, 0.0)
-    stages, losses = [], []
-    for i in range(rounds):
-        chosen = sorted(picker.sample(range(len(INPUTS)), size))
-        pick = VectorSlicer(inputCol="features", outputCol=f"x{i}", indices=chosen)
-        mu = F.exp("margin")
-        step = pick.transform(rows).withColumns(
-            {"mu": mu, "pull": (F.col("label") - mu) / mu}
-        )
-        tree = DecisionTreeRegressor(
-            featuresCol=f"x{i}", labelCol="pull", weightCol="mu", predictionCol=f"t{i}",
-            maxDepth=MAX_DEPTH, minInstancesPerNode=MIN_ROWS_PER_LEAF, seed=SEED,
-        ).fit(step.where(~F.col("held_out")))
-        stages += [pick, tree]
-        for j, gain in zip(chosen, tree.featureImportances.toArray(), strict=True):
-            weights[INPUTS[j]] += float(gain)
-        rows = tree.transform(step).select(
-            "features", "label", "held_out",
-            (F.col("margin") + LEARNING_RATE * F.col(f"t{i}")).alias("margin"),
-        )
-        if (i + 1) % 10 == 0:
-            rows = stage_table(rows, "margin")
-        loss = F.avg(F.exp("margin") - F.col("label") * F.col("margin"))
-        losses.append(rows.where("held_out").agg(loss).first()[0])
-        if _stalled(losses):
-            break
-    best = _first_stop(losses)
-    used = [c for i in range(best) for c in (f"x{i}", f"t{i}")]
-    margin = " + ".join([f"{start!r}", *[f"{LEARNING_RATE} * t{i}" for i in range(best)]])
-    total = SQLTransformer(
-        statement=f"SELECT * EXCEPT ({', '.join(used)}), exp({margin}) AS prediction FROM __THIS__"
-    )
-    return [*stages[: 2 * best], total], {"best_round": best, "importance": weights}
-
-
 def _stalled(losses: list) -> bool:
     """No better loss in the last `PATIENCE` rounds. Without held-out rows losses are null."""
     if losses[-1] is None or len(losses) <= PATIENCE:

@@ -1,12 +1,19 @@
 """Latest-value tables: upserts, incremental materialisation, reads with lifetimes applied.
 
-A latest-value table is a folder of Parquet parts, one per written batch plus compacted
-bases. The newest row of a key wins over all parts, so the order of writes, a repeated batch
-and a half-finished compaction are all harmless, and a batch costs its own size only.
+A latest-value table is a base, which holds one row per key, and the batches written since, each
+reduced to one row per key. The newest row of a key wins over all of them; of rows with an equal
+time the one written last. So a batch costs its own size, and a repeated batch, the order of
+writes and a half-finished compaction are all harmless.
+
+Versions (`sources.versions`) make compaction safe beside readers and writers. Batches written
+under version v lie in `delta/version=v`; a reader of version v takes its base and the batches of
+v and v - 1, because a writer may have looked up the version before it changed. Compaction folds
+just these into the base of v + 1, puts that in force, and deletes what only readers of v - 1 needed.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from datetime import datetime
 from functools import reduce
@@ -18,22 +25,37 @@ from pyspark.sql import types as T
 from chronofeat.functions.timekit import instant
 from chronofeat.operators.latest import latest_per_key
 from chronofeat.plans.views import FeatureService, FeatureView
+from chronofeat.sources.files import delete, exists
 from chronofeat.sources.tables import read_run_record, write_run_record
+from chronofeat.sources.versions import current_version, publish, retire
 
-_PART = "part"
+_ORDER = "_written"
 
 
 def upsert_latest(
-    batch: DataFrame, path: str, keys: list[str], ts: str, batch_name: str | int
+    batch: DataFrame,
+    path: str,
+    keys: list[str],
+    ts: str,
+    batch_name: str | int,
+    order: int | None = None,
 ) -> None:
-    """Put the newest row per key of `batch` into the table; a repeat replaces itself."""
+    """Put the newest row per key of `batch` into the table; a repeat replaces itself.
+
+    `order` ranks writes whose rows have equal times; it defaults to the clock, so the last write
+    wins.
+    """
+    spark = batch.sparkSession
+    version, _ = current_version(spark, path)
+    order = time.time_ns() // 1000 if order is None else order
     (
         latest_per_key(batch, keys, ts)
-        .withColumn(_PART, F.lit(f"batch-{batch_name}"))
+        .withColumn(_ORDER, F.lit(order).cast("long"))
+        .withColumn("batch", F.lit(str(batch_name)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(_PART)
-        .parquet(path)
+        .partitionBy("batch")
+        .parquet(_delta(path, version))
     )
 
 
@@ -41,31 +63,50 @@ def read_latest(
     spark: SparkSession, path: str, schema: T.StructType, keys: list[str], ts: str
 ) -> DataFrame:
     """The newest row of every key."""
-    return latest_per_key(_parts(spark, path, schema).drop(_PART), keys, ts)
+    version, base = current_version(spark, path)
+    return _newest(spark, path, version, base, schema, keys, ts).drop(_ORDER)
 
 
 def compact_latest(
     spark: SparkSession, path: str, schema: T.StructType, keys: list[str], ts: str
-) -> None:
-    """Fold all parts into one base, then remove the parts that were folded.
+) -> int:
+    """Fold all batches into a new base and put it in force; the new version's number.
 
-    Run it between readers: a reader that listed the old parts would miss them.
+    Readers and writers may run beside it: what a reader of the version before needs stays until
+    the next compaction, and so does what a writer of that version still adds.
     """
-    parts = _parts(spark, path, schema)
-    folded = [row[0] for row in parts.select(_PART).distinct().collect()]  # folder names
-    base = f"base-{uuid.uuid4().hex}"
-    (
-        latest_per_key(parts.where(F.col(_PART).isin(folded)).drop(_PART), keys, ts)
-        .withColumn(_PART, F.lit(base))
-        .write.mode("append")
-        .partitionBy(_PART)
-        .parquet(path)
-    )
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for part in folded:
-        old = hadoop.Path(f"{path}/{_PART}={part}")
-        old.getFileSystem(conf).delete(old, True)
+    version, base = current_version(spark, path)
+    folder = f"base/{version + 1}-{uuid.uuid4().hex}"
+    _newest(spark, path, version, base, schema, keys, ts).write.parquet(f"{path}/{folder}")
+    if not publish(spark, path, version + 1, folder):
+        delete(spark, f"{path}/{folder}")
+        raise RuntimeError(f"{path} is being compacted by someone else")
+    retire(spark, path, version - 1)
+    delete(spark, _delta(path, version - 2))
+    return version + 1
+
+
+def _newest(
+    spark: SparkSession,
+    path: str,
+    version: int,
+    base: str | None,
+    schema: T.StructType,
+    keys: list[str],
+    ts: str,
+) -> DataFrame:
+    stored = T.StructType([*schema.fields, T.StructField(_ORDER, T.LongType())])
+    deltas = [_delta(path, v) for v in (version - 1, version) if v >= 0]
+    places = [f"{path}/{base}"] if base else []
+    places += [d for d in deltas if exists(spark, d)]
+    if not places:
+        return spark.createDataFrame([], stored)
+    rows = spark.read.schema(stored).option("recursiveFileLookup", "true").parquet(*places)
+    return latest_per_key(rows, keys, ts, (_ORDER,))
+
+
+def _delta(path: str, version: int) -> str:
+    return f"{path}/delta/version={version}"
 
 
 def materialize_latest(
@@ -86,11 +127,9 @@ def materialize_view(
     The first run starts one lifetime back: an older value would be blanked on every read.
     """
     mark = f"{path}/_upto"
-    try:
+    if exists(spark, mark):
         since = datetime.fromisoformat(read_run_record(spark, mark)["until"])
-    except Exception as missing:  # no earlier run
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
+    else:
         since = until - view.ttl if view.ttl else None
     newest = materialize_latest(history, list(view.keys), view.ts, since, until)
     upsert_latest(newest, path, list(view.keys), view.ts, f"{until:%Y%m%dT%H%M%S%f}")
@@ -151,6 +190,3 @@ def feature_freshness(lookup: DataFrame, service: FeatureService, as_of: datetim
     ]
     return totals.select(F.inline(F.array(*rows)))
 
-
-def _parts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField(_PART, T.StringType())])).parquet(path)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from chronofeat.contracts import (
     LABELS,
     LIVE_STATUS,
     RECENT_ACTIVITY,
+    STATION_IDS,
     STATIONS,
     WEATHER_HOURLY,
     Contract,
@@ -25,12 +27,13 @@ from chronofeat.plans.modeling import (
     score,
 )
 from chronofeat.plans.online import (
+    compact_latest,
     feature_freshness,
     materialize_view,
     online_lookup,
     read_latest,
 )
-from chronofeat.plans.replay import WARM_UP, local_events, replay
+from chronofeat.plans.replay import WARM_UP, ReplayCursor, local_events, replay, run_replay
 from chronofeat.plans.reports import requested_stations, score_report
 from chronofeat.plans.training import (
     CAP_SEED,
@@ -40,24 +43,36 @@ from chronofeat.plans.training import (
     capped_split,
     model_frame,
     point_in_time,
+    time_cutoff,
     with_entity_keys,
 )
 from chronofeat.plans.views import BATCH_VIEWS, DEMAND_SERVICE, LIVE_SERVICE
 from chronofeat.session import stage_table
-from chronofeat.settings import SMALL_SCOPE_PREFIXES, Settings
+from chronofeat.settings import Settings
 from chronofeat.sources.feeds import flatten_hourly, flatten_stations
-from chronofeat.sources.periods import newest_periods, with_path_month
+from chronofeat.sources.files import exists
+from chronofeat.sources.periods import newest_month_paths
 from chronofeat.sources.tables import read_feature_table, write_table
+from chronofeat.sources.trips import read_trips
+from chronofeat.sources.versions import replace_table
 from chronofeat.streaming.sinks import read_history, write_history_batch
 
 BACKFILL_BATCH = -1
 
 
 def load_stations(spark: SparkSession, settings: Settings, documents: str) -> int:
-    """The station table from archived station documents, one JSON document per file."""
+    """The station table from archived station documents, one JSON document per file.
+
+    The feed's ids go into a table with versions as well, which running streams look up anew.
+    """
     docs = spark.read.text(documents, wholetext=True)
-    scoped = flatten_stations(docs, SMALL_SCOPE_PREFIXES, settings.scope_is_prefixed)
-    return write_table(scoped, settings.table("reference", "stations"), STATIONS)
+    prefixes = settings.scope_prefixes or None
+    scoped = flatten_stations(docs, prefixes, settings.scope_is_prefixed)
+    path = settings.table("reference", "stations")
+    rows = write_table(scoped, path, STATIONS)
+    ids = read_feature_table(spark, STATIONS, path).select(*STATION_IDS.columns).distinct()
+    replace_table(ids, settings.table("reference", "station_ids"))
+    return rows
 
 
 def load_weather(
@@ -96,7 +111,8 @@ def run_training(
     """
     stored = read_feature_table(spark, LABELS, settings.table("training", LABELS.name))
     keyed = with_entity_keys(stored, settings.timezone, settings.region)
-    labels = stage_table(capped_split(keyed, cap, CAP_SEED), "training-labels")
+    cutoff = time_cutoff(keyed)
+    labels = stage_table(capped_split(keyed, cap, CAP_SEED, cutoff), "training-labels")
     split = point_in_time(labels, DEMAND_SERVICE, feature_history(spark, settings))
     keep = ("event_timestamp", TARGET, "is_validation")
     frame = stage_table(model_frame(split, keep=keep), "training-frame")
@@ -114,14 +130,13 @@ def run_training(
     counts = frame.agg(
         F.count_if(~F.col("is_validation")).alias("train"),
         F.count_if("is_validation").alias("validation"),
-        F.min(F.when(F.col("is_validation"), F.col("event_timestamp"))).alias("since"),
     ).first()
     record = {
         "trained_at": trained_at.isoformat(),
         "feature_service": DEMAND_SERVICE.name,
         "features": list(MODEL_FEATURES),
         "rows": {"train": counts["train"], "validation": counts["validation"]},
-        "validation_from": counts["since"],
+        "validation_from": datetime.fromtimestamp(cutoff / 1e6, UTC).isoformat(),
         "metrics": {r["predictor"]: {"mae": r["mae"], "rmse": r["rmse"]} for r in errors.collect()},
         **summary,
     }
@@ -168,13 +183,45 @@ def run_scoring(
     return score_report(scores, stations, live, echo), ages
 
 
+def replay_events(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Events of the newest month, the only one whose files are read."""
+    newest = newest_month_paths(spark, settings.table("raw", "trips"), 1)
+    raw = read_trips(spark, *newest)
+    return local_events(raw, settings.scope_prefixes, settings.scope_is_prefixed)
+
+
 def replay_messages(
     spark: SparkSession, settings: Settings, as_of: datetime, since: datetime | None = None
 ) -> DataFrame:
-    """Messages of the newest month for the slice up to `as_of`; the first one warms up."""
-    root = settings.table("raw", "trips", "*", "*.csv")
-    dated = with_path_month(spark.read.option("header", True).option("enforceSchema", False).csv(root))
-    newest = newest_periods(dated, "month", 1)
-    events = local_events(newest, SMALL_SCOPE_PREFIXES, settings.scope_is_prefixed)
+    """What a replay would send for the slice up to `as_of`, a warm-up long if not told otherwise.
+
+    Nothing is sent, and no cursor is read or moved.
+    """
+    events = replay_events(spark, settings)
     return replay(events, settings.timezone, since or as_of - WARM_UP, as_of)
 
+
+def run_replaying(
+    spark: SparkSession,
+    settings: Settings,
+    as_of: datetime,
+    send: Callable[[DataFrame, int], None],
+    since: datetime | None = None,
+) -> int:
+    """Send the newest month's events that have become due since the last run."""
+    cursor = ReplayCursor(spark, settings.table("checkpoints", "replay"))
+    return run_replay(
+        replay_events(spark, settings), settings.timezone, as_of, cursor, send, since
+    )
+
+
+def run_compaction(spark: SparkSession, settings: Settings) -> dict[str, int]:
+    """Fold the batches of every latest-value table into its base; versions now in force."""
+    done = {}
+    for contract in (RECENT_ACTIVITY, HOURLY_PROFILE, LIVE_STATUS, WEATHER_HOURLY):
+        path = settings.table("online", contract.name)
+        if exists(spark, path):
+            done[contract.name] = compact_latest(
+                spark, path, contract.schema, list(contract.keys), contract.ts
+            )
+    return done

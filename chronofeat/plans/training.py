@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chronofeat.functions.columns import as_number
 from chronofeat.functions.timekit import hour_of_week
-from chronofeat.operators.asof import asof_join
+from chronofeat.operators.asof import asof_join, time_span
 from chronofeat.operators.ranks import exact_quantile, seeded_cap
 from chronofeat.plans.views import FeatureService
 
@@ -48,11 +48,13 @@ def point_in_time(
 ) -> DataFrame:
     """One row per label row, with the features of every view of `service`.
 
-    `tables` holds each view's history by view name. Every view shuffles the growing rows
-    once; the labels are read once more per view to find hot keys, so pass a written table
-    rather than a long computation.
+    `tables` holds each view's history by view name. A view of few rows joins as intervals, any
+    other shuffles the growing rows once. The labels' span is measured once for all views and bounds
+    what is read of each history; the views that shuffle also count the labels per key, so pass a
+    written table rather than a long computation.
     """
     joined = labels
+    span = time_span(labels, ts)
     for view in service.views:
         joined = asof_join(
             joined,
@@ -64,6 +66,8 @@ def point_in_time(
             view.ts,
             view.bucket,
             counted=labels,
+            strategy=view.strategy,
+            span=span,
         )
     return joined.withColumns({name: make() for name, make in service.on_demand.items()})
 
@@ -101,12 +105,20 @@ def model_frame(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     ).select(*keep, *MODEL_FEATURES)
 
 
+def time_cutoff(
+    df: DataFrame, ts: str = "event_timestamp", fraction: float = VALIDATION_FRACTION
+) -> float:
+    """The time, in epoch microseconds, after which the newest `fraction` of rows lies; exact."""
+    return exact_quantile(df, ts, 1 - fraction)
+
+
 def time_split(
     df: DataFrame,
     ts: str = "event_timestamp",
     fraction: float = VALIDATION_FRACTION,
     flag: str = "is_validation",
     reference: DataFrame | None = None,
+    cutoff: float | None = None,
 ) -> DataFrame:
     """Adds a flag to the newest `fraction` of rows: those strictly after the time quantile.
 
@@ -114,14 +126,17 @@ def time_split(
     the labels are far cheaper to scan than the training set joined from them. The flag
     compares the time itself, so filtering on it reaches the scan.
     """
-    cutoff = exact_quantile(df if reference is None else reference, ts, 1 - fraction)
+    if cutoff is None:
+        cutoff = time_cutoff(df if reference is None else reference, ts, fraction)
     # Times are whole microseconds: later than the cutoff means later than its whole part.
     whole = F.timestamp_micros(F.lit(math.floor(cutoff)))
     return df.withColumn(flag, F.col(ts) > whole)
 
 
-def capped_split(labels: DataFrame, cap: int, seed: int = 7) -> DataFrame:
+def capped_split(
+    labels: DataFrame, cap: int, seed: int = CAP_SEED, cutoff: float | None = None
+) -> DataFrame:
     """`time_split` of all labels with at most `cap` rows to fit on; every held-out row stays."""
-    split = time_split(labels)
+    split = time_split(labels, cutoff=cutoff)
     fitted = seeded_cap(split.where(~F.col("is_validation")), cap, seed)
     return fitted.unionByName(split.where("is_validation"))

@@ -20,7 +20,8 @@ class FeatureView:
     """Named value columns of a table, found by `keys`, valid for `ttl` after `ts`.
 
     `bucket` is the time slice in which as-of joins order rows of one key; None for views
-    whose keys have few rows each.
+    whose keys have few rows each. `strategy` is the plan of the as-of join: "interval" for views
+    with few rows, "window" for ones about as large as the labels.
     """
 
     name: str
@@ -29,6 +30,7 @@ class FeatureView:
     ttl: timedelta | None
     ts: str = "event_timestamp"
     bucket: timedelta | None = DAY
+    strategy: str = "window"
 
 
 @dataclass(frozen=True)
@@ -55,7 +57,12 @@ LIVE_STATUS_VIEW = FeatureView(
     "station_live_status", ("station_id",), tuple(LIVE_STATUS.values), timedelta(minutes=10)
 )
 WEATHER_VIEW = FeatureView(
-    "weather_hourly", ("region_id",), tuple(WEATHER_HOURLY.values), timedelta(hours=3)
+    "weather_hourly",
+    ("region_id",),
+    tuple(WEATHER_HOURLY.values),
+    timedelta(hours=3),
+    bucket=timedelta(hours=1),
+    strategy="interval",
 )
 PROFILE_VIEW = FeatureView(
     "station_hourly_profile",
@@ -64,6 +71,7 @@ PROFILE_VIEW = FeatureView(
     timedelta(days=90),
     # One row per key and week.
     bucket=None,
+    strategy="interval",
 )
 DEMAND_SERVICE = FeatureService(
     "demand_forecast_v1",

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, fields
 
-# Station id prefixes that make up the small scope; the large scope is the rest.
+# Station id prefixes that make up the small scope ("jc"); the large scope is the
+# rest, and the scope "all" is both.
 SMALL_SCOPE_PREFIXES = ("JC", "HB")
 
 
@@ -13,6 +14,7 @@ SMALL_SCOPE_PREFIXES = ("JC", "HB")
 class Settings:
     data_root: str = "/data"
     scope: str = "jc"
+    #: Newest months of raw trips that the backfill reads; 0 for all that are there.
     trip_months: int = 3
     timezone: str = "America/New_York"
     kafka_servers: str = "localhost:9092"
@@ -20,6 +22,10 @@ class Settings:
     trip_topic: str = "trip_events"
     status_topic: str = "station_status"
     weather_topic: str = "weather"
+    #: Folder with `status/` and `weather/`, into which polled documents are put; none if empty.
+    landing: str = ""
+    #: Database in which jobs register their tables.
+    database: str = "chronofeat"
 
     @classmethod
     def from_env(cls, env: dict[str, str] | None = None) -> Settings:
@@ -39,5 +45,10 @@ class Settings:
     def scope_is_prefixed(self) -> bool:
         return self.scope == "jc"
 
+    @property
+    def scope_prefixes(self) -> tuple[str, ...]:
+        """Prefixes that the scope keeps or leaves out; none for the scope of all stations."""
+        return () if self.scope == "all" else SMALL_SCOPE_PREFIXES
+
     def table(self, *parts: str) -> str:
         return "/".join([self.data_root.rstrip("/"), *parts])

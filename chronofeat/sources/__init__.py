@@ -4,7 +4,10 @@ from chronofeat.sources.feeds import flatten_hourly, flatten_stations, flatten_s
 from chronofeat.sources.periods import (
     backfill_range,
     load_new_periods,
+    loaded_periods,
+    month_folders,
     new_periods_only,
+    newest_month_paths,
     newest_periods,
     with_path_month,
 )
@@ -15,24 +18,32 @@ from chronofeat.sources.tables import (
     write_table,
 )
 from chronofeat.sources.topics import (
+    in_time_order,
     kafka_options,
     parse_messages,
     read_json_files_stream,
     read_json_topic,
     to_envelope,
+    write_json_folder,
     write_json_topic,
 )
 from chronofeat.sources.trips import read_trips
+from chronofeat.sources.versions import RefreshedTable, replace_table
 
 __all__ = [
+    "RefreshedTable",
     "backfill_range",
     "flatten_hourly",
     "flatten_stations",
     "flatten_status",
+    "in_time_order",
     "kafka_options",
     "load_new_periods",
+    "loaded_periods",
     "map_ids",
+    "month_folders",
     "new_periods_only",
+    "newest_month_paths",
     "newest_periods",
     "parse_messages",
     "read_feature_table",
@@ -40,8 +51,10 @@ __all__ = [
     "read_json_topic",
     "read_trips",
     "register_table",
+    "replace_table",
     "to_envelope",
     "with_path_month",
+    "write_json_folder",
     "write_json_topic",
     "write_run_record",
     "write_table",

@@ -93,16 +93,24 @@ def flatten_status(docs: DataFrame, id_map: DataFrame) -> DataFrame:
     )
 
 
-def flatten_hourly(docs: DataFrame, region: Column | str) -> DataFrame:
-    """Parallel arrays of hourly readings to one row per hour that has a temperature."""
+def flatten_hourly(
+    docs: DataFrame, region: Column | str, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Parallel arrays of hourly readings to one row per hour that has a temperature.
+
+    The columns `keep` of a document go to each of its rows.
+    """
     region = F.lit(region) if isinstance(region, str) else region
-    doc = docs.select(region.alias("region_id"), F.from_json("value", HOURLY_DOCUMENT).alias("d"))
+    parsed = F.from_json("value", HOURLY_DOCUMENT).alias("d")
+    doc = docs.select(*keep, region.alias("region_id"), parsed)
     zipped = F.arrays_zip(
         "d.hourly.time", "d.hourly.temperature_2m", "d.hourly.precipitation",
         "d.hourly.wind_speed_10m",
     )
-    rows = doc.select("region_id", F.inline(zipped)).where(F.col("temperature_2m").isNotNull())
+    rows = doc.select(*keep, "region_id", F.inline(zipped))
+    rows = rows.where(F.col("temperature_2m").isNotNull())
     return rows.select(
+        *keep,
         "region_id",
         F.try_to_timestamp("time").alias("event_timestamp"),
         F.col("temperature_2m").alias("temperature_c"),

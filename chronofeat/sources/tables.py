@@ -38,15 +38,44 @@ def write_table(
 
 
 def register_table(
-    spark: SparkSession, contract: Contract, path: str, name: str | None = None
+    spark: SparkSession,
+    contract: Contract,
+    path: str,
+    name: str | None = None,
+    partition_by: dict[str, str] | None = None,
 ) -> str:
-    """An external table with the contract's columns over the Parquet files at `path`."""
+    """An external table with the contract's columns over the Parquet files at `path`.
+
+    `partition_by` names partition columns and their types; folders that were added since the last
+    call become partitions. A name that stands for another place is given to this one: the files of
+    an external table are not touched. Registering again after a load is how readers by name see it.
+    """
     name = name or contract.name
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in contract.schema)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING PARQUET LOCATION '{path}'")
+    parts = partition_by or {}
+    if "." in name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name.split('.')[0]}`")
+    if spark.catalog.tableExists(name):
+        held = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+        if held is None or _place(spark, held["data_type"]) != _place(spark, path):
+            spark.sql(f"DROP TABLE {name}")
+    fields = [(f.name, f.dataType.simpleString()) for f in contract.schema if f.name not in parts]
+    columns = ", ".join(f"`{c}` {kind}" for c, kind in [*fields, *parts.items()])
+    split = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)})" if parts else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING PARQUET{split} LOCATION '{path}'"
+    )
+    if parts:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.sql(f"REFRESH TABLE {name}")
     return name
 
 
+def _place(spark: SparkSession, path: str) -> str:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(target).toString()
+
+
 def write_run_record(spark: SparkSession, record: dict, path: str) -> None:
     """One JSON document describing a run."""
     spark.createDataFrame([(json.dumps(record, default=str),)], "value string").coalesce(

@@ -1,25 +1,36 @@
-"""Micro-batch sinks. No row passes the driver, and a repeated batch changes nothing."""
+"""Micro-batch sinks. No row passes the driver, and a repeated batch changes nothing.
+
+A batch is computed once, by the write of its history. An empty batch leaves no folder there, which
+is how the sinks know; asking it whether it is empty would run a stateful plan a second time.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronofeat.plans.online import upsert_latest
+from chronofeat.sources.files import delete, exists, names_in
 
 BatchSink = Callable[[DataFrame, int], None]
 _BATCH = "batch_id"
 
 
+@dataclass(frozen=True)
+class StreamQuery:
+    name: str
+    rows: DataFrame
+    sink: BatchSink
+
+
 def history_sink(path: str) -> BatchSink:
     """Append each batch under `batch_id=<n>`; a retry replaces exactly what it wrote."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         write_history_batch(batch, path, batch_id)
 
     return sink
@@ -33,13 +44,10 @@ def dual_sink(history_path: str, latest_path: str, keys: list[str], ts: str) ->
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        write_history_batch(batch, history_path, batch_id)
-        written = batch.sparkSession.read.schema(batch.schema).parquet(
-            f"{history_path}/{_BATCH}={batch_id}"
-        )
-        upsert_latest(written, latest_path, keys, ts, batch_id)
+        if write_history_batch(batch, history_path, batch_id):
+            own = f"{history_path}/{_BATCH}={batch_id}"
+            written = batch.sparkSession.read.schema(batch.schema).parquet(own)
+            upsert_latest(written, latest_path, keys, ts, batch_id)
 
     return sink
 
@@ -47,9 +55,10 @@ def dual_sink(history_path: str, latest_path: str, keys: list[str], ts: str) ->
 def enrich_in_batch(
     read_dimension: Callable[[SparkSession], DataFrame], on: str, sink: BatchSink
 ) -> BatchSink:
-    """Join each batch with a table read anew, then hand it to `sink`.
+    """Join each batch with a table as it is then, and hand the rows to `sink`.
 
     A table joined to the stream itself would keep the files it had when the query started.
+    `RefreshedTable.read` reads one that is looked up anew only once it has reached some age.
     """
 
     def enriched(batch: DataFrame, batch_id: int) -> None:
@@ -71,8 +80,12 @@ def compact_history(
     days.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(target)
 
 
-def write_history_batch(batch: DataFrame, path: str, batch_id: int) -> None:
-    """Write rows as one batch of a history; a backfill uses a negative number."""
+def write_history_batch(batch: DataFrame, path: str, batch_id: int) -> bool:
+    """Write rows as one batch of a history; a backfill uses a negative number.
+
+    False for a batch without rows, which leaves nothing behind.
+    """
+    spark = batch.sparkSession
     (
         batch.withColumn(_BATCH, F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
@@ -80,6 +93,11 @@ def write_history_batch(batch: DataFrame, path: str, batch_id: int) -> None:
         .partitionBy(_BATCH)
         .parquet(path)
     )
+    if exists(spark, f"{path}/{_BATCH}={batch_id}"):
+        return True
+    if set(names_in(spark, path)) <= {"_SUCCESS"}:
+        delete(spark, path)
+    return False
 
 
 def _with_batch(schema: T.StructType) -> T.StructType:

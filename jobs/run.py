@@ -6,10 +6,13 @@
     spark-submit jobs/run.py train --kind poisson_trees
     spark-submit jobs/run.py materialize
     spark-submit jobs/run.py score
-    spark-submit jobs/run.py replay
+    spark-submit jobs/run.py replay --since 2026-08-01T00:00:00+00:00
+    spark-submit jobs/run.py compact
     spark-submit jobs/run.py stream
 
-Settings come from CHRONOFEAT_* variables; `--as-of` replaces the clock.
+Settings come from CHRONOFEAT_* variables; `--as-of` replaces the clock. A replay goes on from where
+the last one ended; `--since` is where the first one starts, and `--folder` takes its messages in
+place of the topic. `compact` runs beside readers and writers of the latest-value tables.
 """
 
 from __future__ import annotations
@@ -27,15 +30,21 @@ from chronofeat.plans.backfill import run_backfill  # noqa: E402
 from chronofeat.plans.reports import freshness_status  # noqa: E402
 from chronofeat.session import STREAM_CONF, build_session  # noqa: E402
 from chronofeat.settings import Settings  # noqa: E402
-from chronofeat.sources.topics import kafka_options, write_json_topic  # noqa: E402
+from chronofeat.sources.topics import (  # noqa: E402
+    kafka_options,
+    write_json_folder,
+    write_json_topic,
+)
 from chronofeat.streaming.pipeline import run_stream  # noqa: E402
 
 
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
-    commands = "backfill stations weather train materialize score replay stream".split()
+    commands = "backfill stations weather train materialize score replay compact stream".split()
     parser.add_argument("command", choices=commands)
     parser.add_argument("--as-of", type=datetime.fromisoformat, default=datetime.now(UTC))
+    parser.add_argument("--since", type=datetime.fromisoformat)
+    parser.add_argument("--folder")
     parser.add_argument("--documents")
     parser.add_argument("--archive")
     parser.add_argument("--recent")
@@ -67,8 +76,16 @@ def main() -> None:
         freshness_status(ages).write.mode("overwrite").parquet(settings.table("reports", "freshness"))
     elif args.command == "replay":
         options = kafka_options(settings.kafka_servers, settings.kafka_auth)
-        messages = runs.replay_messages(spark, settings, args.as_of)
-        write_json_topic(messages, settings.trip_topic, "station_id", options)
+
+        def send(messages, number):
+            if args.folder:
+                write_json_folder(messages, f"{args.folder}/slice={number:010d}", "station_id")
+            else:
+                write_json_topic(messages, settings.trip_topic, "station_id", options)
+
+        print(runs.run_replaying(spark, settings, args.as_of, send, args.since))
+    elif args.command == "compact":
+        print(json.dumps(runs.run_compaction(spark, settings)))
     else:
         run_stream(spark, settings, args.watermark)
 

@@ -6,7 +6,8 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from chronofeat.operators import asof_join, only_changed
+from chronofeat.operators import asof, asof_join, only_changed
+from chronofeat.operators.asof import PLANS
 from chronofeat.plans.training import model_frame, point_in_time, training_set, with_entity_keys
 from chronofeat.plans.views import DEMAND_SERVICE, FeatureService, FeatureView
 from tests.conftest import MONDAY_NOON, aware, rows_of
@@ -73,17 +74,84 @@ def random_case(seed, n=250):
     return labels, features
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 5])
+@pytest.mark.parametrize(
+    "plan", [{"hot_rows": 1_000_000}, {"hot_rows": 5}, {"strategy": "interval"}]
+)
 @pytest.mark.parametrize("bucket", [None, timedelta(days=1), timedelta(minutes=30)])
 @pytest.mark.parametrize("ttl", [None, 45])
-def test_asof_join_equals_brute_force(spark, hot_rows, bucket, ttl):
+def test_asof_join_equals_brute_force(spark, plan, bucket, ttl):
     labels, features = random_case(seed=ttl or 1)
     left, right = frames(spark, labels, features)
     limit = None if ttl is None else timedelta(minutes=ttl)
-    joined = asof_join(left, right, ["k"], ["a", "b"], limit, bucket=bucket, hot_rows=hot_rows)
+    joined = asof_join(left, right, ["k"], ["a", "b"], limit, bucket=bucket, **plan)
     assert as_rows(joined) == brute(labels, features, ttl)
 
 
+def test_both_plans_give_the_same_rows_with_the_time_found(spark):
+    left, right = frames(spark, *random_case(4))
+    for ttl, bucket in ((None, timedelta(hours=6)), (timedelta(hours=3), timedelta(hours=1))):
+        plans = [
+            asof_join(
+                left, right, ["k"], ["a", "b"], ttl, bucket=bucket, found_at="found", strategy=s
+            )
+            for s in PLANS
+        ]
+        assert rows_of(plans[0]) == rows_of(plans[1])
+        assert plans[0].schema == plans[1].schema
+
+
+def test_interval_plan_of_empty_tables(spark):
+    left, right = frames(spark, *random_case(4))
+    none = left.where("false")
+    assert asof_join(none, right, ["k"], ["a"], strategy="interval").count() == 0
+    lost = asof_join(left, right.where("false"), ["k"], ["a"], found_at="at", strategy="interval")
+    assert lost.count() == left.count() and lost.where("a IS NOT NULL OR at IS NOT NULL").count() == 0
+    timeless = left.withColumn("event_timestamp", F.lit(None).cast("timestamp"))
+    lost = asof_join(timeless, right, ["k"], ["a"], found_at="at", strategy="interval")
+    assert lost.count() == left.count() and lost.dtypes[-1] == ("at", "timestamp")
+    with pytest.raises(ValueError):
+        asof_join(left, right, ["k"], ["a"], strategy="other")
+
+
+def scans(df):
+    """Scans of tables in the plan as it is before adaptive execution reuses any."""
+    return df._jdf.queryExecution().sparkPlan().toString().count("FileScan")
+
+
+@pytest.mark.parametrize("ttl", [None, timedelta(hours=2)])
+@pytest.mark.parametrize("strategy", PLANS)
+def test_two_tables_take_few_scans(spark, tmp_path, strategy, ttl):
+    left, right = frames(spark, *random_case(2))
+    left.write.parquet(f"{tmp_path}/labels")
+    right.write.parquet(f"{tmp_path}/features")
+    left = spark.read.schema(left.schema).parquet(f"{tmp_path}/labels")
+    right = spark.read.schema(right.schema).parquet(f"{tmp_path}/features")
+    joined = asof_join(left, right, ["k"], ["a"], ttl, strategy=strategy)
+    assert scans(joined) <= 4
+
+
+def test_more_than_a_thousand_hot_groups(spark):
+    """Shares follow from the cluster; with as many as here, 1,500 groups are each over one."""
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    try:
+        groups = spark.range(1500).select(F.col("id").cast("string").alias("k"))
+        labels = groups.crossJoin(spark.range(20).select(F.col("id").alias("y")))
+        labels = labels.withColumn("event_timestamp", F.lit(at(500))).coalesce(4)
+        features = groups.select(
+            "k", F.lit(at(400)).alias("event_timestamp"), F.length("k").cast("long").alias("a")
+        ).coalesce(2)
+        per = labels.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        hot = asof._hot_groups(per, "n", ["k"], asof.shares_of(labels), 3)
+        assert hot.count() == 1500 and hot.agg(F.min("_salts")).first()[0] > 1
+        joined = asof_join(labels, features, ["k"], ["a"], bucket=None, hot_rows=3)
+        assert joined.where(F.col("a") == F.length("k")).count() == 30_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
 def test_bounds_are_inclusive_and_rows_are_taken_whole(spark):
     labels = [("a", 10, 1), ("a", 40, 2), ("a", 41, 3), ("a", 9, 4)]
     features = [("a", 5, 7, 7), ("a", 10, None, 8)]

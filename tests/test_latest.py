@@ -25,6 +25,7 @@ from chronofeat.plans.reports import (
     top_k,
 )
 from chronofeat.plans.views import LIVE_SERVICE, FeatureService, FeatureView
+from chronofeat.sources.versions import RefreshedTable, current_version, publish, replace_table
 from tests.conftest import MONDAY_NOON, rows_of
 
 ROW = "k string, event_timestamp timestamp, v long"
@@ -87,12 +88,77 @@ def test_upserts_are_independent_of_order_and_repeats(spark, tmp_path):
     read = read_latest(spark, path, schema, ["k"], "event_timestamp").select("k", "v")
     assert rows_of(read) == expected
     compact_latest(spark, path, schema, ["k"], "event_timestamp")
-    assert [p.name.split("-")[0] for p in (tmp_path / "latest").glob("part=*")] == ["part=base"]
+    assert current_version(spark, path)[0] == 1
     upsert_latest(batches[0], path, ["k"], "event_timestamp", 0)  # replayed after compaction
     again = read_latest(spark, path, schema, ["k"], "event_timestamp").select("k", "v")
     assert rows_of(again) == expected
 
 
+def test_of_equal_times_the_last_write_counts(spark, tmp_path):
+    """A correction may be smaller; it counts before and after compaction."""
+    path, schema = str(tmp_path / "latest"), table(spark, []).schema
+    read = lambda: rows_of(read_latest(spark, path, schema, ["k"], "event_timestamp").select("k", "v"))
+    upsert_latest(table(spark, [("a", 10, 9), ("b", 10, 1)]), path, ["k"], "event_timestamp", 1)
+    upsert_latest(table(spark, [("a", 10, 2)]), path, ["k"], "event_timestamp", 2)
+    assert read() == [("a", 2), ("b", 1)]
+    compact_latest(spark, path, schema, ["k"], "event_timestamp")
+    upsert_latest(table(spark, [("b", 10, 0), ("a", 9, 7)]), path, ["k"], "event_timestamp", 3)
+    assert read() == [("a", 2), ("b", 0)]
+    upsert_latest(table(spark, [("a", 10, 5)]), path, ["k"], "event_timestamp", 4, order=1)
+    assert read() == [("a", 2), ("b", 0)]  # an older write that comes late
+
+
+def test_compaction_runs_beside_readers_and_writers(spark, tmp_path):
+    path, schema = str(tmp_path / "latest"), table(spark, []).schema
+    args = (schema, ["k"], "event_timestamp")
+    assert read_latest(spark, path, *args).count() == 0
+    upsert_latest(table(spark, [("a", 1, 1)]), path, ["k"], "event_timestamp", 0)
+    reader = read_latest(spark, path, *args)  # has listed its files
+    assert compact_latest(spark, path, *args) == 1
+    assert rows_of(reader.select("k", "v")) == [("a", 1)]
+    # A writer that had looked up version 0 before the switch.
+    late = table(spark, [("a", 2, 2)]).withColumn("_written", F.lit(5).cast("long"))
+    late.write.parquet(f"{path}/delta/version=0/batch=late")
+    assert rows_of(read_latest(spark, path, *args).select("v")) == [(2,)]
+    reader = read_latest(spark, path, *args)
+    assert compact_latest(spark, path, *args) == 2
+    assert rows_of(reader.select("v")) == rows_of(read_latest(spark, path, *args).select("v")) == [(2,)]
+    for version in range(3, 7):
+        upsert_latest(table(spark, [("b", version, version)]), path, ["k"], "event_timestamp", version)
+        assert compact_latest(spark, path, *args) == version
+    assert rows_of(read_latest(spark, path, *args).select("k", "v")) == [("a", 2), ("b", 6)]
+    # What is kept does not grow: the base in force, the one before, and the batches of two versions.
+    assert len(list((tmp_path / "latest" / "base").iterdir())) == 2
+    assert len(list((tmp_path / "latest" / "delta").iterdir())) <= 2
+
+
+def test_two_compactions_at_once_leave_one(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "latest"), table(spark, []).schema
+    upsert_latest(table(spark, [("a", 1, 1)]), path, ["k"], "event_timestamp", 0)
+    assert publish(spark, path, 1, "base/other")  # while ours is at work
+    monkeypatch.setattr("chronofeat.plans.online.current_version", lambda s, p: (0, None))
+    with pytest.raises(RuntimeError, match="someone else"):
+        compact_latest(spark, path, schema, ["k"], "event_timestamp")
+    assert list((tmp_path / "latest" / "base").iterdir()) == []
+
+
+def test_a_refreshed_table_is_looked_up_again_after_its_age(spark, tmp_path):
+    clock = [0.0]
+    make = lambda v: table(spark, [("a", 0, v)])
+    held = RefreshedTable(str(tmp_path), make(0).schema, timedelta(hours=1), lambda: clock[0])
+    assert held.read(spark).count() == 0
+    assert replace_table(make(1), str(tmp_path)) == 1
+    assert held.read(spark).first()["v"] == 1  # nothing was held yet
+    assert replace_table(make(2), str(tmp_path)) == 2
+    clock[0] = 3600.0
+    assert held.read(spark).first()["v"] == 1
+    clock[0] = 3601.0
+    assert held.read(spark).first()["v"] == 2
+    for v in (3, 4):
+        replace_table(make(v), str(tmp_path), keep=2)
+    assert len(list((tmp_path / "rows").iterdir())) == 2
+
+
 def test_materialisation_goes_on_from_the_last_run(spark, tmp_path):
     path = str(tmp_path / "profile")
     view = FeatureView("v", ("k",), ("v",), timedelta(hours=1))

@@ -3,11 +3,12 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from chronofeat.contracts import ContractError
-from chronofeat.plans import modeling
+from chronofeat.plans import boosting, modeling
 from chronofeat.plans.modeling import (
     error_metrics,
     feature_importance,
@@ -74,3 +75,87 @@ def test_errors_of_several_predictors_in_one_pass(spark):
     df = spark.createDataFrame([(1, 1.0, 3.0), (2, 4.0, None)], "y long, p double, q double")
     got = {r["predictor"]: (r["mae"], r["rmse"]) for r in error_metrics(df, "y", {"p": "p", "q": "q"}).collect()}
     assert got == {"p": (1.0, math.sqrt(2.0)), "q": (2.0, 2.0)}
+
+
+def split_by_hand(rows, min_rows):
+    """The best split of (bin, pull, weight) rows, tried one by one; bin 0 is a missing value."""
+    whole = sum(g for _, g, _ in rows) ** 2 / sum(h for *_, h in rows)
+    best = None
+    for upto in range(1, max(b for b, *_ in rows) + 1):
+        for missing_left in (False, True):
+            left = [r for r in rows if (0 < r[0] <= upto) or (r[0] == 0 and missing_left)]
+            right = [r for r in rows if r not in left]
+            if min(len(left), len(right)) < min_rows:
+                continue
+            sides = [(sum(g for _, g, _ in s), sum(h for *_, h in s)) for s in (left, right)]
+            gain = sum(g * g / h for g, h in sides) - whole
+            if best is None or gain > best[0] + 1e-12:
+                best = (gain, upto, missing_left, *(g / h for g, h in sides))
+    return best
+
+
+def test_a_split_equals_the_one_found_by_hand():
+    pick = random.Random(4)
+    for _ in range(20):
+        rows = [(pick.randrange(6), pick.gauss(0, 1), pick.uniform(0.5, 2)) for _ in range(60)]
+        sums = np.zeros((3, 1, boosting.BINS + 2))
+        for b, g, h in rows:
+            sums[:, 0, b] += (g, h, 1)
+        found = boosting.best_split(sums, 5)
+        hand = split_by_hand(rows, 5)
+        assert found[0] == 0 and found[3] == pytest.approx(hand[0])
+        assert found[1] == hand[1] or found[3] == pytest.approx(hand[0])
+        assert sorted(found[4:]) == pytest.approx(sorted(hand[3:]))
+    assert boosting.best_split(sums, 40) is None
+
+
+def test_one_tree_of_one_split(spark):
+    """Means 1 and 4 on either side of 0.5: the leaves move the start, log 2, by G / H."""
+    rows = [(float(i % 2), [1, 4][i % 2] if i % 3 else [1, 4][i % 2], i % 10 == 9) for i in range(300)]
+    rows = [(x if i % 7 else None, y, held) for i, (x, y, held) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "x double, label long, held_out boolean").repartition(3)
+    trees, losses = boosting.fit_count_trees(
+        df, ["x"], 1, 0.5, 1, 10, 1.0, 7, lambda found: False, lambda found: len(found)
+    )
+    train = [(x, y) for x, y, held in rows if not held]
+    mean = sum(y for _, y in train) / len(train)
+    (tree,) = trees.trees
+    low = [y for x, y in train if x == 0.0]
+    high = [y for x, y in train if x == 1.0]
+    lost = [y for x, y in train if x is None]
+    groups = [low + lost, high] if tree.missing_left[0] else [low, high + lost]
+    value = [sum(y - mean for y in g) / (mean * len(g)) for g in groups]
+    gain = sum(sum(y - mean for y in g) ** 2 / (mean * len(g)) for g in groups)
+    assert tree.value[1:] == pytest.approx(value) and tree.gain[0] == pytest.approx(gain)
+    assert trees.importance() == {"x": pytest.approx(gain)}
+    got = {r["x"]: r["prediction"] for r in trees.transform(df).collect()}
+    assert got[0.0] == pytest.approx(mean * math.exp(0.5 * value[0]))
+    assert got[1.0] == pytest.approx(mean * math.exp(0.5 * value[1]))
+    assert got[None] == pytest.approx(got[0.0] if tree.missing_left[0] else got[1.0])
+    held = [(x, y) for x, y, out in rows if out]
+    loss = sum(got[x] - y * math.log(got[x]) for x, y in held) / len(held)
+    assert losses == [pytest.approx(loss)]
+
+
+def test_discarded_rounds_do_not_count(spark, frame, monkeypatch):
+    """Gains are those of the kept trees, also when later rounds have been grown and thrown away."""
+    monkeypatch.setattr(modeling, "LEARNING_RATE", 0.9)
+    monkeypatch.setattr(modeling, "PATIENCE", 3)
+    model, summary = fit_demand_model(frame, "poisson_trees", 60)
+    assert summary["best_round"] == len(model.trees) < len(summary["losses"]) < 60
+    total = dict.fromkeys(MODEL_FEATURES, 0.0)
+    for tree in model.trees:
+        for feature, gain in zip(tree.feature, tree.gain, strict=True):
+            total[MODEL_FEATURES[feature]] += gain if feature >= 0 else 0.0
+    assert summary["importance"] == pytest.approx(total)
+    again, _ = fit_demand_model(frame, "poisson_trees", summary["best_round"])
+    assert again.importance() == pytest.approx(total)  # fewer rounds, the same trees
+
+
+def test_margins_written_anew_change_nothing(spark, frame, monkeypatch):
+    fit = lambda: fit_demand_model(frame, "poisson_trees", 7)
+    model, summary = fit()
+    monkeypatch.setattr(boosting, "FOLD", 2)
+    folded, other = fit()
+    assert other["losses"] == pytest.approx(summary["losses"])
+    assert [t.feature for t in folded.trees] == [t.feature for t in model.trees]

@@ -17,25 +17,30 @@ from chronofeat.contracts import (
     WEATHER_HOURLY,
     WEATHER_MESSAGE,
 )
-from chronofeat.operators import dedupe_events, status_heartbeats, trailing_activity
+from chronofeat.operators import dedupe_events, only_changed, status_heartbeats, trailing_activity
 from chronofeat.plans.online import read_latest
 from chronofeat.settings import Settings
-from chronofeat.sources import read_json_files_stream
+from chronofeat.sources import parse_messages, read_json_files_stream, replace_table
 from chronofeat.streaming import (
     StreamQuery,
     activity_stream,
+    changes_sink,
     compact_history,
     demand_queries,
     dropped_by_watermark,
     dual_sink,
     enrich_in_batch,
     history_sink,
+    poll_queries,
+    polling,
     read_history,
     start_pipeline,
 )
 from chronofeat.streaming.pipeline import trip_stream
+from chronofeat.streaming.polling import station_ids
 from tests.conftest import MONDAY_NOON, rows_of
-from workload.queries import QUERIES
+from workload import tables as t
+from workload.queries import QUERIES, activity_of_stream
 
 NOW = {"availableNow": True}
 
@@ -102,6 +107,137 @@ def test_the_stream_query_gives_every_window(spark):
     )
 
 
+@pytest.mark.parametrize("files", [1, 6])
+def test_the_stream_query_is_whole_in_many_batches(spark, tmp_path, files):
+    """Events in six files, ordered by time: in one batch, and with a batch for each."""
+    table = spark.read.schema(t.EVENTS_SCHEMA).parquet("/root/testdata/sf0.001/events.parquet")
+    rows = sorted(table.collect(), key=lambda r: r["ts"])
+    for n in range(6):
+        part = rows[n * len(rows) // 6 : (n + 1) * len(rows) // 6]
+        frame = spark.createDataFrame(part, table.schema).coalesce(1)
+        frame.write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    assert QUERIES["trailing_activity"](spark, str(tmp_path)).count() > 0
+    if files == 1:
+        got = QUERIES["stream_trailing_activity"](spark, str(tmp_path))
+    else:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        stream = spark.readStream.schema(t.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1)
+        stream = stream.parquet(f"{tmp_path}/events.parquet").select(
+            "event_id", F.col("user_id").alias("station_id"), "event_type",
+            F.col("ts").alias("event_ts"), F.floor("value").alias("num_bikes_available"),
+        )
+        last = t.events(spark, str(tmp_path)).agg(
+            F.max("event_ts").alias("event_ts"), F.max("event_id").alias("event_id")
+        )
+        got = t.naive(activity_of_stream(stream, str(tmp_path / "home"), last))
+        assert len(list((tmp_path / "home" / "checkpoint" / "activity" / "offsets").glob("[0-9]*"))) >= 7
+    expected = QUERIES["trailing_activity"](spark, str(tmp_path))
+    columns = sorted(got.columns)
+    assert rows_of(got.select(*columns)) == rows_of(expected.select(*columns))
+
+
+def stamped(rows):
+    """(key, minute of arrival, id, minute of the stamp)"""
+    make = lambda m: None if m is None else MONDAY_NOON + timedelta(minutes=m)
+    return [(k, make(a), i, make(s)) for k, a, i, s in rows]
+
+
+STAMPED = "k string, arrived timestamp, id long, stamp timestamp"
+
+
+def test_a_stream_passes_on_only_what_has_changed(spark, tmp_path):
+    """Over many batches as over the whole table, with nulls, ties and a hot key."""
+    pick = random.Random(11)
+    minutes = sorted(pick.randrange(4000) for _ in range(300))
+    rows = stamped(
+        [(pick.choice(["hot", "hot", "hot", "b", None]), m, i, pick.choice([None, 0, 60])) for i, m in enumerate(minutes)]
+    )
+    got = []
+    sink = changes_sink(
+        str(tmp_path / "state"), ["k"], "arrived", "stamp",
+        lambda batch, n: got.extend(r["id"] for r in batch.collect()), ("id",),
+    )
+    for n in range(6):
+        batch = spark.createDataFrame(rows[50 * n : 50 * n + 50], STAMPED)
+        sink(batch, n)
+        sink(batch, n)  # a batch that is repeated does nothing
+    sink(spark.createDataFrame([], STAMPED), 6)
+    whole = only_changed(spark.createDataFrame(rows, STAMPED).where("k IS NOT NULL"), ["k"], "arrived", "stamp", ("id",))
+    keyed = {r[2] for r in rows if r[0] is not None}
+    assert sorted(i for i in got if i in keyed) == sorted(r["id"] for r in whole.collect())
+    assert len(list((tmp_path / "state" / "_done").glob("[0-9]*"))) == 2
+
+
+def test_an_interrupted_batch_of_changes_is_done_again(spark, tmp_path):
+    calls = []
+
+    def sink(batch, n):
+        calls.append(sorted(r["id"] for r in batch.collect()))
+        if len(calls) == 2:
+            raise OSError("disk full")
+
+    changed = changes_sink(str(tmp_path / "state"), ["k"], "arrived", "stamp", sink)
+    first = spark.createDataFrame(stamped([("a", 0, 1, 0), ("a", 1, 2, 0)]), STAMPED)
+    second = spark.createDataFrame(stamped([("a", 2, 3, 0), ("a", 3, 4, 5)]), STAMPED)
+    changed(first, 0)
+    with pytest.raises(OSError):
+        changed(second, 1)
+    changed(second, 1)
+    assert calls == [[1], [4], [4]]
+
+
+def document(folder, number, doc, minute):
+    folder.mkdir(parents=True, exist_ok=True)
+    path = folder / f"{number:04d}.json"
+    path.write_text(json.dumps(doc, indent=1))
+    moment = (MONDAY_NOON + timedelta(minutes=minute)).timestamp()
+    os.utime(path, (moment, moment))
+
+
+def test_polled_documents_become_messages(spark, tmp_path, monkeypatch):
+    """Hours are passed on once; a station that the table learns of is known after its age."""
+    settings = Settings(data_root=str(tmp_path / "data"), landing=str(tmp_path / "landing"))
+    clock, out = [0.0], {"status": [], "weather": []}
+    ids = station_ids(settings)
+    ids.clock = lambda: clock[0]
+    monkeypatch.setattr(polling, "station_ids", lambda settings: ids)
+    sinks = [lambda b, n, to=out[k]: to.extend(b.collect()) for k in out]
+
+    def known(*names):
+        rows = [(f"u{n}", n) for n in names]
+        replace_table(spark.createDataFrame(rows, "gbfs_station_id string, station_id string"), ids.path)
+
+    def poll(number, minute, hours):
+        places = [{"station_id": f"u{n}", "is_installed": 1, "num_bikes_available": number} for n in "AB"]
+        document(tmp_path / "landing" / "status", number, {"last_updated": 60 * minute, "data": {"stations": places}}, minute)
+        times = [(MONDAY_NOON + timedelta(hours=h)).strftime("%Y-%m-%dT%H:%M") for h in hours]
+        reading = {"time": times, "temperature_2m": [float(h) for h in hours], "precipitation": [None] * len(hours), "wind_speed_10m": [1.0] * len(hours)}
+        document(tmp_path / "landing" / "weather", number, {"hourly": reading}, minute)
+        queries = poll_queries(spark, settings, *sinks)
+        for query in start_pipeline(queries, str(tmp_path / "checkpoints"), NOW):
+            query.awaitTermination()
+
+    known("A")
+    poll(0, 5, [-1, 0, 1])
+    known("A", "B")
+    clock[0] = 600.0
+    poll(1, 15, [-1, 0, 1])
+    clock[0] = 3700.0
+    poll(2, 65, [0, 1, 2])
+    assert [(m["station_id"], m["num_bikes_available"]) for m in out["status"][:2]] == [("A", 0), ("A", 1)]
+    assert sorted((m["station_id"], m["num_bikes_available"]) for m in out["status"][2:]) == [("A", 2), ("B", 2)]
+    assert [m["temperature_c"] for m in out["weather"]] == [0.0, 1.0]
+    assert {m["region_id"] for m in out["weather"]} == {settings.region}
+
+
+def test_unreadable_messages_can_be_kept(spark):
+    texts = ['{"station_id": "S", "event_ts_ms": 5}', "no json", '{"station_id": "S"}']
+    df = spark.createDataFrame([(x.encode(),) for x in texts], "value binary")
+    assert parse_messages(df, STATUS_MESSAGE.schema).count() == 1
+    kept = parse_messages(df, STATUS_MESSAGE.schema, unreadable="bad").collect()
+    assert sorted(str(r["bad"]) for r in kept) == sorted(["None", *texts[1:]])
+
+
 def test_memory_sink_holds_small_results(spark, tmp_path):
     put(tmp_path / "in", 0, [event("a", "S", "departure", 1)])
     stream = read_json_files_stream(spark, str(tmp_path / "in"), EVENTS.schema)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import UTC, date, datetime
 
 import pytest
@@ -13,6 +14,9 @@ from chronofeat.settings import Settings
 from chronofeat.sources import (
     backfill_range,
     load_new_periods,
+    loaded_periods,
+    month_folders,
+    newest_month_paths,
     newest_periods,
     read_feature_table,
     read_trips,
@@ -125,13 +129,38 @@ def test_csv_columns_are_found_by_name_and_months_by_path(spark, tmp_path):
     assert rows_of(several) == [("r1",), ("r2",)]
 
 
-def test_a_csv_of_another_layout_fails_instead_of_being_misread(spark, tmp_path):
+def test_files_of_different_layout_are_read_by_their_headers(spark, tmp_path):
     root = tmp_path / "raw"
     write_csv(root, "a.csv", ["r1,x,2026-07-01 08:00:00,2026-07-01 08:05:00,Main,S1,S2"])
     swapped = "ride_id,kind,ended_at,started_at,start_station_name,start_station_id,end_station_id"
-    write_csv(root, "b.csv", ["r2,x,2026-07-01 08:00:00,2026-07-01 08:05:00,Main,S1,S2"], swapped)
-    with pytest.raises(Exception, match="(?i)header"):
-        read_trips(spark, f"{root}/*.csv").collect()
+    write_csv(root, "b.csv", ["r2,x,2026-07-01 08:05:00,2026-07-01 08:00:00,Main,S1,S2"], swapped)
+    more = '\ufeff"end_station_id","a, b",ride_id,started_at,ended_at,start_station_id'
+    write_csv(root, "c.csv", ["S2,y,r3,2026-07-01 08:00:00,2026-07-01 08:05:00,S1"], more)
+    same = ("2026-07-01 08:00:00", "2026-07-01 08:05:00", "S1", "S2")
+    got = read_trips(spark, f"{root}/*.csv")
+    assert rows_of(got) == [("r1", *same), ("r2", *same), ("r3", *same)]
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan csv") == 3 and "kind" not in plan
+
+
+def test_a_csv_without_a_trip_column_is_refused(spark, tmp_path):
+    write_csv(tmp_path, "a.csv", ["r1,x"], "ride_id,kind")
+    with pytest.raises(ValueError, match="a.csv has no column started_at"):
+        read_trips(spark, f"{tmp_path}/*.csv")
+    assert rows_of(read_trips(spark, str(tmp_path), columns=["ride_id"])) == [("r1",)]
+    with pytest.raises(FileNotFoundError):
+        read_trips(spark, f"{tmp_path}/none/*.csv")
+
+
+def test_months_are_listed_without_opening_files(spark, tmp_path):
+    for month in ("202606", "month=202608", "202607", "2026", "notes"):
+        write_csv(tmp_path / month, "t.csv", ["not a trip file"], "whatever")
+    assert list(month_folders(spark, str(tmp_path))) == ["202606", "202607", "202608"]
+    newest = [p.rsplit("/", 1)[1] for p in newest_month_paths(spark, str(tmp_path), 2)]
+    assert newest == ["202607", "month=202608"]
+    assert len(newest_month_paths(spark, str(tmp_path), 0)) == 3
+    assert newest_month_paths(spark, f"{tmp_path}/none", 2) == []
+    assert loaded_periods(spark, str(tmp_path), "month") == ["202608"]
 
 
 def test_loaded_periods_are_skipped_unless_forced(spark, tmp_path):
@@ -189,6 +218,12 @@ def test_external_table_and_run_record(spark, events, tmp_path):
     name = register_table(spark, contracts.EVENTS, path, "test_events")
     assert spark.table(name).schema == contracts.EVENTS.schema
     assert spark.table(name).count() == 1
+    other = str(tmp_path / "other")
+    write_table(events([("JC1", "departure", m) for m in range(3)]), other, contracts.EVENTS)
+    assert spark.table(register_table(spark, contracts.EVENTS, other, name)).count() == 3
+    write_table(events([("JC1", "departure", m) for m in range(5)]), other, contracts.EVENTS)
+    assert spark.table(register_table(spark, contracts.EVENTS, other, name)).count() == 5
+    assert read_feature_table(spark, contracts.EVENTS, path).count() == 1  # files are left alone
     spark.sql(f"DROP TABLE {name}")
     write_run_record(spark, {"rows": {"train": 3}, "features": ["a"]}, str(tmp_path / "rec"))
     assert read_run_record(spark, str(tmp_path / "rec")) == {"rows": {"train": 3}, "features": ["a"]}
@@ -200,9 +235,14 @@ def test_backfill_job_writes_every_table(spark, tmp_path):
         for i in range(72)
     ]
     write_csv(tmp_path / "raw" / "trips" / "202607", "t.csv", lines + ["zz,x,2026-07-01 00:00:00,2026-07-01 00:10:00,M,5400.1,5400.2"])
-    settings = Settings(data_root=str(tmp_path))
+    settings = Settings(data_root=str(tmp_path), trip_months=1)
+    write_csv(tmp_path / "raw" / "trips" / "202606", "old.csv", ["not read"], "whatever")
     rows = run_backfill(spark, settings)
     assert rows["events"] == 144  # the trip outside the scope is gone
+    everywhere = run_backfill(spark, replace(settings, scope="all"))
+    assert everywhere["events"] == 146 and run_backfill(spark, replace(settings, scope="nyc"))["events"] == 2
+    rows = run_backfill(spark, settings)
+    assert spark.table("chronofeat.events").count() == 144
     for contract in (contracts.RECENT_ACTIVITY, contracts.HOURLY_PROFILE, contracts.LABELS):
         folder = "training" if contract is contracts.LABELS else "features"
         stored = read_feature_table(spark, contract, settings.table(folder, contract.name))

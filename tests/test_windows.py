@@ -17,7 +17,7 @@ from chronofeat.operators import (
     status_heartbeats,
     trailing_activity,
 )
-from chronofeat.operators.grid import QUARTER
+from chronofeat.operators.grid import QUARTER, every_step
 from tests.conftest import MONDAY_NOON, aware, rows_of
 
 NY = "America/New_York"
@@ -159,3 +159,18 @@ def test_no_ordering_is_done_over_raw_rows(events):
         plan = table._jdf.queryExecution().sparkPlan().toString()
         assert "HashAggregate" in plan[plan.index("Window") :]
         assert "Join" not in plan
+
+
+def test_a_long_gap_unfolds_without_a_long_array(spark):
+    """1970 and 2024 in one key: 1.9 million buckets, in arrays of 2,048 at most."""
+    counts = spark.createDataFrame(
+        [("a", datetime(1970, 1, 1, tzinfo=UTC), 3), ("a", datetime(2024, 1, 1, tzinfo=UTC), 4)],
+        "station_id string, bucket timestamp, n int",
+    )
+    grid = dense_grid(counts, QUARTER)
+    steps = (datetime(2024, 1, 1) - datetime(1970, 1, 1)) // QUARTER + 1
+    assert grid.agg(F.count("*"), F.countDistinct("bucket"), F.sum("n")).first() == (steps, steps, 7)
+    arrays = every_step(counts.withColumn("end", F.col("bucket") + F.lit(QUARTER * 5000)), "bucket", "end", QUARTER, "at")
+    assert arrays.count() == 2 * 5001
+    found = arrays.where("n = 3").agg(F.min("at"), F.max("at"), F.countDistinct("at")).first()
+    assert found[2] == 5001

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 TZ = "America/New_York"
 AS_OF = "TIMESTAMP '2024-01-20 12:00:00'"
+_WALL = "%Y-%m-%d %H:%M:%S"
 ACTIVITY = "departures_15m, departures_1h, arrivals_15m, arrivals_1h"
 
 
@@ -405,13 +406,41 @@ ORACLES: dict[str, str] = {
         FROM placed WHERE {local('placed_at')} = wall
           AND placed_at > TIMESTAMP '2024-03-05 00:00:00'
           AND placed_at <= TIMESTAMP '2024-03-12 00:00:00'""",
-    "stream_trailing_activity": f"""SELECT k AS station_id, e AS event_timestamp, {ACTIVITY} FROM (
-        {windows('(SELECT user_id AS k, event_type AS kind, ts FROM events)')})
-        WHERE e <= (SELECT make_timestamp({millis('max(ts)')} * 1000) FROM events)
-          - INTERVAL '2 minutes'""",
     "stream_latest_status": f"""WITH {STATUS} SELECT station_id, e AS event_timestamp,
         num_bikes_available FROM ({newest('status', 'station_id')})""",
 }
 _DIRECT = f"""SELECT k AS station_id, e AS event_timestamp, {ACTIVITY} FROM (
     {windows('(SELECT user_id AS k, event_type AS kind, ts FROM events)')})"""
-ORACLES["trailing_activity"] = ORACLES["trailing_activity_one_pass"] = _DIRECT
+_AS_ON_TABLES = ("trailing_activity_one_pass", "stream_trailing_activity")
+ORACLES |= dict.fromkeys(("trailing_activity", *_AS_ON_TABLES), _DIRECT)
+ORACLES["asof_join_ttl_interval"] = ORACLES["asof_join_ttl"]
+ORACLES["asof_join_hot_keys_interval"] = ORACLES["asof_join_hot_keys"]
+ORACLES["stream_only_changed"] = ORACLES["only_changed"]
+ORACLES["table_by_name"] = f"SELECT {EVENT_COLUMNS} FROM events"
+ORACLES["trips_of_two_layouts"] = f"""SELECT concat(l_orderkey, '-', l_linenumber) AS ride_id,
+      strftime(o_orderdate, '{_WALL}') AS started_at,
+      CASE WHEN l_discount = 0 THEN 'unknown' ELSE strftime(l_shipdate, '{_WALL}') END AS ended_at,
+      concat('C', o_custkey) AS start_station_id, concat('S', l_suppkey) AS end_station_id
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+ORACLES["latest_corrections"] = f"""SELECT station_id, event_timestamp, reading FROM (
+      SELECT user_id AS station_id, {floor_to('ts', '1 hour')} AS event_timestamp,
+             event_id AS reading,
+             row_number() OVER (PARTITION BY user_id ORDER BY {floor_to('ts', '1 hour')} DESC,
+               event_id % 3 DESC, event_id DESC) AS place FROM events)
+    WHERE place = 1"""
+# A pass shifts by w weeks and lasts until the shifted end of the data, so it plays the last week.
+ORACLES["replay_job"] = f"""WITH ev AS (SELECT * FROM events WHERE event_type IN ('click', 'view')),
+    final AS (SELECT * FROM ev WHERE ts > (SELECT max(ts) FROM ev) - INTERVAL '7 days'),
+    moved AS (SELECT final.*, weeks, ts + weeks * INTERVAL '7 days' AS wall
+              FROM final, range(20) w(weeks)),
+    placed AS (SELECT *, {utc('wall')} AS placed_at FROM moved)
+    SELECT concat(event_id, ':', CASE event_type WHEN 'click' THEN 'd' ELSE 'a' END, ':', weeks)
+        AS event_id, CAST(event_id AS VARCHAR) AS ride_id,
+      CASE event_type WHEN 'click' THEN 'departure' ELSE 'arrival' END AS event_type,
+      user_id AS station_id, {millis('placed_at')} AS event_ts_ms
+    FROM placed WHERE {local('placed_at')} = wall
+      AND placed_at > TIMESTAMP '2024-03-05 00:00:00'
+      AND placed_at <= TIMESTAMP '2024-03-12 00:00:00'"""
+ORACLES["stream_refreshed_names"] = """SELECT event_id, c_custkey AS station_id, c_name
+    FROM events JOIN customer ON user_id = c_custkey
+    WHERE c_custkey % 2 = 0 OR ts >= TIMESTAMP '2024-01-22 00:00:00'"""

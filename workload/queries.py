@@ -8,7 +8,7 @@ from datetime import UTC, date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofeat.contracts import schema_of
+from chronofeat.contracts import Contract, schema_of
 from chronofeat.functions.columns import age_label, net_flow
 from chronofeat.functions.timekit import bucket_start, event_time_from_millis, hour_of_week
 from chronofeat.operators.activity import activity_with_zeros, trailing_activity
@@ -27,13 +27,14 @@ from chronofeat.operators.ranks import seeded_cap
 from chronofeat.operators.trips import normalize_trips, observed_only, scope_filter, trip_events
 from chronofeat.plans.modeling import error_metrics, fit_demand_model, score
 from chronofeat.plans.online import (
+    compact_latest,
     feature_freshness,
     materialize_latest,
     online_lookup,
     read_latest,
     upsert_latest,
 )
-from chronofeat.plans.replay import replay
+from chronofeat.plans.replay import ReplayCursor, replay, run_replay
 from chronofeat.plans.reports import (
     display_table,
     freshness_status,
@@ -54,14 +55,26 @@ from chronofeat.plans.training import (
 from chronofeat.session import new_shared_path, stage_table
 from chronofeat.sources.feeds import flatten_hourly, flatten_stations, flatten_status, map_ids
 from chronofeat.sources.periods import backfill_range, new_periods_only, newest_periods
-from chronofeat.sources.topics import to_envelope
-from chronofeat.streaming.pipeline import StreamQuery, start_pipeline
-from chronofeat.streaming.sinks import dual_sink, history_sink, read_history
+from chronofeat.sources.tables import register_table, write_table
+from chronofeat.sources.topics import to_envelope, write_json_folder
+from chronofeat.sources.trips import read_trips
+from chronofeat.sources.versions import RefreshedTable, replace_table
+from chronofeat.streaming.pipeline import start_pipeline
+from chronofeat.streaming.polling import changes_sink
+from chronofeat.streaming.sinks import (
+    BatchSink,
+    StreamQuery,
+    dual_sink,
+    enrich_in_batch,
+    history_sink,
+    read_history,
+)
 from workload import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+EVENT_ROW = schema_of(event_id="long", station_id="long", event_type="string", event_ts="timestamp")
 SCOPE = ("U00", "U012")
 REPLAY_SINCE = datetime(2024, 3, 5, tzinfo=UTC)
 REPLAY_AS_OF = datetime(2024, 3, 12, tzinfo=UTC)
@@ -165,6 +178,32 @@ def _dated_orders(spark, sf_dir):
     return orders.withColumn("period", F.date_format("o_orderdate", PERIOD))
 
 
+@query("trips_of_two_layouts")
+def trips_of_two_layouts(spark, sf_dir):
+    """The raw trips as CSV files of two layouts, one with more columns in another order."""
+    home = new_shared_path(spark, "trip-files")
+    raw = t.raw_trips(spark, sf_dir)
+    odd = F.pmod(F.xxhash64("ride_id"), F.lit(2)) == 1
+    other = raw.where(odd).withColumn("vehicle", F.lit("classic"))
+    other = other.select("end_station_id", "vehicle", "ended_at", "ride_id", "start_station_id", "started_at")
+    for name, part in (("a", raw.where(~odd)), ("b", other)):
+        part.write.option("header", True).csv(f"{home}/202401/{name}")
+    return read_trips(spark, *[f"{home}/202401/{name}" for name in "ab"])
+
+
+@query("table_by_name")
+def table_by_name(spark, sf_dir):
+    """The events as a registered table: kinds loaded in two goes, read by name."""
+    path = new_shared_path(spark, "named-events")
+    contract = Contract("workload_events", EVENT_ROW, ("station_id",), "event_ts")
+    ev = t.bare_events(spark, sf_dir)
+    first = F.col("event_type").isin("click", "view")
+    for part in (ev.where(first), ev.where(~first)):
+        write_table(part, path, partition_by=("event_type",))
+        register_table(spark, contract, path, partition_by={"event_type": "string"})
+    return spark.table("workload_events").select(*EVENT_ROW.names)
+
+
 @query("newest_periods")
 def newest_periods_of_orders(spark, sf_dir):
     return newest_periods(_dated_orders(spark, sf_dir), "period", 3)
@@ -374,17 +413,37 @@ def asof_join_ttl(spark, sf_dir):
     )
 
 
-@query("asof_join_hot_keys")
-def asof_join_hot_keys(spark, sf_dir):
-    """All events against the weather of five regions: few keys, many labels per key."""
-    marked = t.events(spark, sf_dir).select(
+@query("asof_join_ttl_interval")
+def asof_join_ttl_interval(spark, sf_dir):
+    return asof_join(
+        _purchases(spark, sf_dir), _signups(spark, sf_dir), ["station_id"], ["value"],
+        ttl=timedelta(hours=36), found_at="feature_ts", strategy="interval",
+    )
+
+
+def _regional(spark, sf_dir) -> DataFrame:
+    return t.events(spark, sf_dir).select(
         "event_id",
         (F.col("station_id") % 5).alias("region_id"),
         F.col("event_ts").alias("event_timestamp"),
     )
+
+
+@query("asof_join_hot_keys")
+def asof_join_hot_keys(spark, sf_dir):
+    """All events against the weather of five regions: few keys, many labels per key."""
+    return asof_join(
+        _regional(spark, sf_dir), t.weather(spark, sf_dir), ["region_id"],
+        list(t.WEATHER.features), ttl=t.WEATHER.ttl, found_at="feature_ts",
+    )
+
+
+@query("asof_join_hot_keys_interval")
+def asof_join_hot_keys_interval(spark, sf_dir):
     return asof_join(
-        marked, t.weather(spark, sf_dir), ["region_id"], list(t.WEATHER.features),
-        ttl=t.WEATHER.ttl, found_at="feature_ts",
+        _regional(spark, sf_dir), t.weather(spark, sf_dir), ["region_id"],
+        list(t.WEATHER.features), ttl=t.WEATHER.ttl, found_at="feature_ts", bucket=HOUR,
+        strategy="interval",
     )
 
 
@@ -479,9 +538,6 @@ def latest_per_station(spark, sf_dir):
     return latest_per_key(t.bare_events(spark, sf_dir), ["station_id"], "event_ts", ("event_id",))
 
 
-EVENT_ROW = schema_of(event_id="long", station_id="long", event_type="string", event_ts="timestamp")
-
-
 @query("upsert_latest")
 def upsert_latest_events(spark, sf_dir):
     """The newer half is put in first, then the older, then the newer again."""
@@ -494,6 +550,27 @@ def upsert_latest_events(spark, sf_dir):
     return read_latest(spark, path, EVENT_ROW, ["station_id"], "event_ts")
 
 
+@query("latest_corrections")
+def latest_corrections(spark, sf_dir):
+    """Readings of whole hours in three writes: of one hour the later write counts.
+
+    The table is compacted in between, and the last write comes twice.
+    """
+    readings = t.events(spark, sf_dir).select(
+        "station_id",
+        bucket_start(F.col("event_ts"), HOUR).alias("event_timestamp"),
+        F.col("event_id").alias("reading"),
+    )
+    schema = schema_of(station_id="long", event_timestamp="timestamp", reading="long")
+    path = new_shared_path(spark, "corrected")
+    for number in (0, 1, 2, 2):
+        batch = readings.where(F.col("reading") % 3 == number)
+        upsert_latest(batch, path, ["station_id"], "event_timestamp", number)
+        if number == 1:
+            compact_latest(spark, path, schema, ["station_id"], "event_timestamp")
+    return read_latest(spark, path, schema, ["station_id"], "event_timestamp")
+
+
 @query("materialize_latest")
 def materialize_latest_status(spark, sf_dir):
     since = t.AS_OF - timedelta(days=10)
@@ -586,23 +663,46 @@ def map_points_rows(spark, sf_dir):
 # --- replay and streams ----------------------------------------------------------------
 
 
-@query("replay")
-def replay_slice(spark, sf_dir):
-    """A week around the spring change of clocks, six weeks after the data."""
+def _local_events(spark, sf_dir) -> DataFrame:
     ev = t.events(spark, sf_dir).where(F.col("event_type").isin("click", "view"))
-    local = ev.select(
+    return ev.select(
         F.col("event_id").cast("string").alias("ride_id"),
         "station_id",
         F.when(F.col("event_type") == "click", "departure").otherwise("arrival").alias("event_type"),
         F.col("event_ts").alias("local_ts"),
     )
-    return replay(local, t.TZ, REPLAY_SINCE, REPLAY_AS_OF)
+
+
+@query("replay")
+def replay_slice(spark, sf_dir):
+    """A week around the spring change of clocks, six weeks after the data."""
+    return replay(_local_events(spark, sf_dir), t.TZ, REPLAY_SINCE, REPLAY_AS_OF)
+
+
+@query("replay_job")
+def replay_in_runs(spark, sf_dir):
+    """The same week sent by three runs and a needless one, across a step-up of the shift.
+
+    Messages go to a folder per slice, each file in the order of time, and are read back.
+    """
+    home = new_shared_path(spark, "replay-job")
+    cursor = ReplayCursor(spark, f"{home}/cursor")
+
+    def send(messages: DataFrame, number: int) -> None:
+        write_json_folder(messages, f"{home}/sent/slice={number}", "station_id")
+
+    whole = REPLAY_AS_OF - REPLAY_SINCE
+    for until in (REPLAY_SINCE + whole / 10, REPLAY_SINCE + whole / 2, REPLAY_AS_OF, REPLAY_AS_OF):
+        run_replay(_local_events(spark, sf_dir), t.TZ, until, cursor, send, REPLAY_SINCE)
+    schema = "event_id string, ride_id string, event_type string, station_id long, event_ts_ms long"
+    return spark.read.schema(schema).json(f"{home}/sent").drop("slice")
 
 
 def _event_stream(spark, sf_dir) -> DataFrame:
+    """The events table, a file or a folder of files, as a stream."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    stream = spark.readStream.schema(t.EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
-    return stream.parquet(sf_dir).select(
+    stream = spark.readStream.schema(t.EVENTS_SCHEMA)
+    return stream.parquet(f"{sf_dir}/events.parquet*").select(
         "event_id",
         F.col("user_id").alias("station_id"),
         "event_type",
@@ -616,33 +716,40 @@ def _drain(queries: list[StreamQuery], checkpoints: str) -> None:
         running.awaitTermination()
 
 
-@query("stream_trailing_activity")
-def stream_trailing_activity(spark, sf_dir):
-    """The events as a stream, deduplicated and counted; every window, final at the watermark.
+def activity_of_stream(stream: DataFrame, home: str, last: DataFrame) -> DataFrame:
+    """Every window of an event stream that has come to its end.
 
-    A sentinel a day after the last event moves the watermark past all windows; its own go.
+    A first run takes all events. Then one more, of no station and a day after the last (time and
+    id in `last`), is put into a source that was empty so far, and a second run on the same
+    checkpoint takes it: the watermark passes every window, whatever the batches were.
     """
-    home = new_shared_path(spark, "stream-activity")
-    stream = _event_stream(spark, sf_dir)
-    last = t.events(spark, sf_dir).agg(F.max("event_ts"), F.max("event_id") + 1)
-    last = last.toDF("event_ts", "event_id")
+    spark = stream.sparkSession
     sentinel = last.select(
-        "event_id",
+        (F.col("event_id") + 1).alias("event_id"),
         F.lit(None).cast("long").alias("station_id"),
         F.lit("click").alias("event_type"),
         (F.col("event_ts") + F.expr("INTERVAL 1 DAY")).alias("event_ts"),
         F.lit(None).cast("long").alias("num_bikes_available"),
     )
-    sentinel.write.parquet(f"{home}/sentinel")
-    end = spark.read.schema(sentinel.schema).parquet(f"{home}/sentinel")
-    end = F.timestamp_micros(F.lit(end.select(F.unix_micros("event_ts")).first()[0]))
-    stream = stream.unionByName(
-        spark.readStream.schema(sentinel.schema).parquet(f"{home}/sentinel")
-    )
-    rows = trailing_activity(dedupe_events(stream), kinds=t.KINDS)
-    _drain([StreamQuery("activity", rows, history_sink(f"{home}/history"))], f"{home}/checkpoint")
+    sentinel.where("false").write.parquet(f"{home}/sentinel")
+    ends = spark.readStream.schema(sentinel.schema).parquet(f"{home}/sentinel")
+    rows = trailing_activity(dedupe_events(stream.unionByName(ends)), kinds=t.KINDS)
+    query = StreamQuery("activity", rows, history_sink(f"{home}/history"))
+    _drain([query], f"{home}/checkpoint")
+    sentinel.write.mode("append").parquet(f"{home}/sentinel")
+    _drain([query], f"{home}/checkpoint")
     history = read_history(spark, f"{home}/history", rows.schema)
-    return history.where(F.col("event_timestamp") < end)
+    return history.where(F.col("station_id").isNotNull())
+
+
+@query("stream_trailing_activity")
+def stream_trailing_activity(spark, sf_dir):
+    """The events as a stream, deduplicated and counted: every window, as on the table."""
+    last = t.events(spark, sf_dir).agg(
+        F.max("event_ts").alias("event_ts"), F.max("event_id").alias("event_id")
+    )
+    home = new_shared_path(spark, "stream-activity")
+    return activity_of_stream(_event_stream(spark, sf_dir), home, last)
 
 
 @query("stream_latest_status")
@@ -655,3 +762,64 @@ def stream_latest_status(spark, sf_dir):
     sink = dual_sink(f"{home}/history", f"{home}/latest", ["station_id"], "event_timestamp")
     _drain([StreamQuery("status", rows, sink)], f"{home}/checkpoint")
     return read_latest(spark, f"{home}/latest", rows.schema, ["station_id"], "event_timestamp")
+
+
+#: Ends of the stretches in which the events of the month arrive.
+ARRIVALS = [datetime(2024, 1, day, tzinfo=UTC) for day in (8, 15, 22)]
+
+
+def _fed(spark, rows: DataFrame, home: str, sink: BatchSink, before: Callable[[int], None]) -> None:
+    """`rows` as a stream that arrives in four stretches of time, each taken by a run of its own.
+
+    `before` is called with the number of each run.
+    """
+    edges = [None, *ARRIVALS, None]
+    for number, (low, high) in enumerate(zip(edges, edges[1:], strict=False)):
+        part = rows
+        if low:
+            part = part.where(F.col("event_ts") >= F.lit(low))
+        if high:
+            part = part.where(F.col("event_ts") < F.lit(high))
+        part.write.mode("append").parquet(f"{home}/in")
+        before(number)
+        stream = spark.readStream.schema(rows.schema).parquet(f"{home}/in")
+        _drain([StreamQuery("fed", stream, sink)], f"{home}/checkpoint")
+
+
+@query("stream_only_changed")
+def stream_only_changed(spark, sf_dir):
+    """As `only_changed`, by a stream that remembers the last stamp of each key."""
+    home = new_shared_path(spark, "stream-changes")
+    ev = t.bare_events(spark, sf_dir)
+    rows = ev.withColumn("stamp", bucket_start(F.col("event_ts"), timedelta(hours=6)))
+    out = history_sink(f"{home}/history")
+    sink = changes_sink(f"{home}/state", ["station_id"], "event_ts", "stamp", out, ("event_id",))
+    _fed(spark, rows, home, sink, lambda number: None)
+    return read_history(spark, f"{home}/history", rows.schema)
+
+
+@query("stream_refreshed_names")
+def stream_refreshed_names(spark, sf_dir):
+    """Events with the names of their customers, looked up anew every hour of the stream.
+
+    At first only customers with even keys are known. All are before the third batch, but the table
+    held is then 50 minutes old; the fourth batch, two hours after the first, sees them.
+    """
+    home = new_shared_path(spark, "stream-names")
+    names = t.scan(spark, sf_dir, "customer", t.CUSTOMER_SCHEMA).select(
+        F.col("c_custkey").alias("station_id"), "c_name"
+    )
+    replace_table(names.where("station_id % 2 = 0"), f"{home}/names")
+    clock = [0.0]
+    held = RefreshedTable(f"{home}/names", names.schema, HOUR, lambda: clock[0])
+
+    def before(number: int) -> None:
+        clock[0] = (0.0, 1800.0, 3000.0, 7200.0)[number]
+        if number == 2:
+            replace_table(names, f"{home}/names")
+
+    rows = t.bare_events(spark, sf_dir)
+    sink = enrich_in_batch(held.read, "station_id", history_sink(f"{home}/history"))
+    _fed(spark, rows, home, sink, before)
+    found = rows.join(names, "station_id").schema
+    return read_history(spark, f"{home}/history", found).select("event_id", "station_id", "c_name")

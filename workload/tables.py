@@ -145,12 +145,15 @@ PROFILE = FeatureView(
     ("avg_departures_4w", "avg_arrivals_4w"),
     timedelta(days=90),
     bucket=None,
+    strategy="interval",
 )
 WEATHER = FeatureView(
     "weather_hourly",
     ("region_id",),
     ("temperature_c", "precipitation_mm", "wind_speed_kmh"),
     timedelta(hours=3),
+    bucket=HOUR,
+    strategy="interval",
 )
 # The stand-in readings are far apart, so their lifetime is days and not minutes.
 STATUS = FeatureView(
