@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofeat.llm.units import LONGEST, Cache, Units, id_lists, slices
+from chronofeat.llm.units import LONGEST, Units, id_lists, slices
 
 _NONE = 1 << 62
 #: Pieces merged side by side.
@@ -38,9 +40,10 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     n = len(piece)
     size = 1 << (n - 1).bit_length()
     find = ranks.get
-    end = list(range(1, n + 1))
-    before = list(range(-1, n - 1))
-    tree = [_NONE] * (2 * size)
+    # Arrays of numbers: a piece of tens of megabytes takes 16 bytes a leaf and no objects.
+    end = array("q", range(1, n + 1))
+    before = array("q", range(-1, n - 1))
+    tree = array("q", [_NONE]) * (2 * size)
     for i in range(n - 1):
         rank = find(piece[i : i + 2])
         if rank is not None:
@@ -172,7 +175,7 @@ class Codec:
         self.join = PairRanks(self.ranks)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)])
         self.split = regex.compile(pattern).findall
-        self.pieces = Cache(self._encode_pieces)
+        self.letters = all(self.split(t) == [t] for t in ("ab", " ab", "äß", " Ж日"))
         self.units = Units(self._encode_units)
 
     @classmethod
@@ -182,7 +185,14 @@ class Codec:
         return cls._open[path, pattern]
 
     def _encode_units(self, units: list[str]) -> list[bytes]:
-        return [b"".join(codes) for codes in self.pieces.codes([self.split(u) for u in units])]
+        """A unit of a space and letters, as most are, is one match of the pattern of its own."""
+        pieces = [
+            [u] if (u[1:] if u[:1] == " " else u).isalpha() and self.letters else self.split(u)
+            for u in units
+        ]
+        new = list(dict.fromkeys(chain.from_iterable(pieces)))
+        code = dict(zip(new, self._encode_pieces(new), strict=True)).__getitem__
+        return [code(own[0]) if len(own) == 1 else b"".join(map(code, own)) for own in pieces]
 
     def _encode_pieces(self, texts: list[str]) -> list[bytes]:
         pieces = [t.encode() for t in texts]
@@ -211,27 +221,49 @@ class Codec:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def decode_all(self, lists: pa.ListArray) -> pa.Array:
+        """The bytes of each list of ids; null lists count as empty."""
+        flat = np.asarray(lists.values)
+        ends = np.asarray(lists.offsets)
+        texts = [
+            b"" if null else self.decode(flat[a:b].tolist())
+            for a, b, null in zip(ends, ends[1:], lists.is_null().to_pylist(), strict=False)
+        ]
+        return pa.array(texts, pa.binary())
+
 
 def encode_texts(
-    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_decoded: bool = False,
 ) -> DataFrame:
     """(id, ids): the token ids of every whole text, without special tokens.
 
     `pattern` cuts a text, and each match is merged by the ranks in the file at `path`, which is
-    read once by each Python worker. Null texts count as empty; empty texts have no ids. Every row
-    gives one row, with null or repeated ids too. Rows are neither joined nor shuffled.
+    read once by each Python worker. `with_decoded` adds `decoded`, the bytes that the ids stand
+    for, as `decode_ids` does, without sending the ids to another worker for it.
+
+    Null texts count as empty; empty texts have no ids. Every row gives one row, with null or
+    repeated ids too; an empty table gives none. Only the two named columns are read, so further
+    ones may have any name. Rows are neither joined nor shuffled.
     """
+    names = [id_col, "ids", *["decoded"] * with_decoded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.open(path, pattern)
         for batch in batches:
             for rows in slices(batch):
                 ids = id_lists(codec.encode(rows.column(1).to_pylist()))
-                yield pa.RecordBatch.from_arrays([rows.column(0), ids], [id_col, "ids"])
+                decoded = [codec.decode_all(ids)] if with_decoded else []
+                yield pa.RecordBatch.from_arrays([rows.column(0), ids, *decoded], names)
 
     rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"{id_col} {kind}, ids array<int>")
+    more = ", decoded binary" if with_decoded else ""
+    return rows.mapInArrow(run, f"{id_col} {kind}, ids array<int>{more}")
 
 
 def decode_ids(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
@@ -241,9 +273,8 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_i
         codec = Codec.open(path, pattern)
         for batch in batches:
             for rows in slices(batch):
-                texts = [codec.decode(ids or []) for ids in rows.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(1), pa.array(texts, pa.binary())],
+                    [rows.column(0), rows.column(1), codec.decode_all(rows.column(1))],
                     [id_col, "ids", "decoded"],
                 )
 
@@ -251,4 +282,3 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_i
     return encoded.select(id_col, "ids").mapInArrow(
         run, f"{id_col} {kind}, ids array<int>, decoded binary"
     )
-

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronofeat.llm.blocks import top_k
-from chronofeat.llm.bpe import decode_ids, encode_texts
+from chronofeat.llm.bpe import encode_texts
 from chronofeat.llm.chat import format_chats, read_back
 from chronofeat.llm.digest_index import DigestIndex
 from chronofeat.llm.html import extract_text
@@ -38,8 +38,8 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     pattern = public_tokenizers.PATTERN
-    encoded = encode_texts(table(spark, sf_dir, "documents"), path, pattern)
-    decoded = decode_ids(encoded, path, pattern)
+    docs = table(spark, sf_dir, "documents")
+    decoded = encode_texts(docs, path, pattern, with_decoded=True)
     numbers = F.array_join(F.col("ids").cast("array<string>"), ",")
     return decoded.select(
         "doc_id",

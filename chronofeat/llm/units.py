@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Longer units are encoded each time; caches hold short ones only.
 LONGEST = 64
@@ -23,22 +24,19 @@ class Cache:
     def __init__(self, compute: Callable[[list[str]], Iterable[bytes]]):
         self.compute, self.known = compute, {}
 
-    def codes(self, lists: list[list[str]]) -> list[list[bytes]]:
-        """The codes of all keys of each list; what is new in any of them is computed at once."""
-        found = [list(map(self.known.get, keys)) for keys in lists]
-        holes = [
-            (codes, keys, [i for i, code in enumerate(codes) if code is None])
-            for codes, keys in zip(found, lists, strict=True)
-            if None in codes
-        ]
-        new = list(dict.fromkeys(keys[i] for _, keys, places in holes for i in places))
-        fresh = dict(zip(new, self.compute(new), strict=True))
-        for codes, keys, places in holes:
-            for i in places:
-                codes[i] = fresh[keys[i]]
-        if len(self.known) + len(fresh) > ENTRIES:
-            self.known.clear()
-        self.known.update((k, c) for k, c in fresh.items() if len(k) <= LONGEST)
+    def codes(self, keys: list[str]) -> list[bytes]:
+        """The codes of all keys; those that are new are computed at once."""
+        found = list(map(self.known.get, keys))
+        new = list(dict.fromkeys(k for k, code in zip(keys, found, strict=True) if code is None))
+        if not new:
+            return found
+        if len(self.known) + len(new) > ENTRIES:
+            self.known = {k: code for k, code in zip(keys, found, strict=True) if code is not None}
+        self.known.update(zip(new, self.compute(new), strict=True))
+        found = list(map(self.known.__getitem__, keys))
+        for key in new:
+            if len(key) > LONGEST:
+                del self.known[key]
         return found
 
 
@@ -73,19 +71,37 @@ class Units:
         self.cache = Cache(lambda units: encode([whole(u) for u in units]))
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(codes) for codes in self.cache.codes([cut(t) for t in texts])]
+        units, ends = [], [0]
+        for text in texts:
+            units += cut(text)
+            ends.append(len(units))
+        codes = self.cache.codes(units)
+        return [b"".join(codes[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
 
 
 def id_lists(codes: list[bytes]) -> pa.ListArray:
     """Arrow lists of 32-bit ids from their bytes."""
     ends = np.cumsum([0, *(len(c) // 4 for c in codes)])
     values = pa.array(np.frombuffer(b"".join(codes), "<i4"))
-    if ends[-1] < 2**31:
-        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
-    raise ValueError("too many ids in one batch")
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
 
 
-def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Short batches, so that what a task holds beside its input stays small."""
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def slices(
+    batch: pa.RecordBatch, text: int = 1, rows: int = 256, most: int = 1 << 23
+) -> Iterator[pa.RecordBatch]:
+    """Short batches: up to `rows` rows and, unless a single row has more, `most` bytes of text.
+
+    What a task holds beside its input stays small, and lists of ids stay far below the 2 ** 31
+    entries that an Arrow list array can address.
+    """
+    column = batch.column(text)
+    lengths = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
+    sizes = lengths(column).fill_null(0)
+    at = held = 0
+    for row, size in enumerate(sizes.to_pylist()):
+        if row > at and (row - at == rows or held + size > most):
+            yield batch.slice(at, row - at)
+            at, held = row, 0
+        held += size
+    if at < batch.num_rows:
+        yield batch.slice(at)
