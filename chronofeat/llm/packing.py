@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -13,34 +15,101 @@ from pyspark.sql import functions as F
 
 from chronofeat.llm.common import Scratch
 from chronofeat.llm.shards import lookup
-from chronofeat.llm.units import Units, slices
+from chronofeat.llm.units import slices
 
 CAPACITY = 1024
 END = 2
 
+#: Fixed value: the pattern that byte-level splitting uses.
+BYTE_LEVEL_PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+
+#: White space in a row from which a text goes to the slower library.
+WIDE = 10_000
+_WIDE_SPACE = re.compile(rf"\s{{{WIDE}}}")
+
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class Tokenizer:
-    """A tokenizer file of the tokenizers library; one per Python worker."""
+    """The ids that a byte-level BPE file of the tokenizers library gives; one per Python worker.
+
+    The file's vocabulary and splitting pattern go to the tiktoken library, which takes about a
+    quarter of the time. That needs ids in the order of the merges, and merges are what gives every
+    longer token; both are checked when the file is opened, and other files are refused. Texts with
+    very long runs of white space, on which tiktoken's pattern engine runs out of stack, go to
+    the tokenizers library itself. The strings of special tokens in a text are ordinary text.
+    """
 
-    _open: dict[str, Units] = {}
+    _open: dict[str, Tokenizer] = {}
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        ranks, pattern = read_byte_level(path)
+        self.path, self.slow = path, None
+        self.fast = tiktoken.Encoding(
+            path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
+        ).encode_ordinary
 
     @classmethod
-    def open(cls, path: str) -> Units:
+    def open(cls, path: str) -> Tokenizer:
         if path not in cls._open:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
-            from tokenizers import Tokenizer as Library
+            cls._open[path] = cls(path)
+        return cls._open[path]
 
-            library = Library.from_file(path)
-            library.encode_special_tokens = True  # their strings in a text are ordinary text
+    def ids(self, text: str) -> array:
+        if len(text) > WIDE and _WIDE_SPACE.search(text):
+            return array("I", self._by_library(text))
+        return array("I", self.fast(text))
 
-            def encode(texts: list[str]) -> Iterator[bytes]:
-                for found in library.encode_batch_fast(texts, add_special_tokens=False):
-                    yield array("I", found.ids).tobytes()
+    def _by_library(self, text: str) -> list[int]:
+        if self.slow is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
+            from tokenizers import Tokenizer as Library
 
-            cls._open[path] = Units(encode)
-        return cls._open[path]
+            self.slow = Library.from_file(self.path)
+            self.slow.encode_special_tokens = True
+        return self.slow.encode(text, add_special_tokens=False).ids
+
+
+def byte_letters() -> dict[str, int]:
+    """The letter by which byte-level vocabularies write each byte: itself where it can be seen,
+    and the letters from 256 on for the others, in order."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+def read_byte_level(path: str) -> tuple[dict[bytes, int], str]:
+    """Token bytes with their ids, and the pattern, of a byte-level BPE file."""
+    with open(path, encoding="utf-8") as lines:
+        read = json.load(lines)
+    model, splitter = read["model"], read["pre_tokenizer"]
+    plain = (
+        read["normalizer"] is None
+        and splitter["type"] == "ByteLevel"
+        and not splitter["add_prefix_space"]
+        and splitter.get("use_regex", True)
+        and not any(
+            model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
+        )
+    )
+    if model["type"] != "BPE" or not plain:
+        raise ValueError(f"{path} is not a plain byte-level BPE file")
+    letters = byte_letters()
+    special = {t["content"] for t in read["added_tokens"] if t["special"]}
+    ranks = {
+        bytes(letters[c] for c in token): id
+        for token, id in model["vocab"].items()
+        if token not in special
+    }
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [model["vocab"]["".join(pair)] for pair in pairs]
+    if made != sorted(made) or len(made) + 256 != len(ranks):
+        raise ValueError(f"{path} has ids in another order than merges")
+    return ranks, BYTE_LEVEL_PATTERN
 
 
 def cut_pieces(total: int, capacity: int) -> Iterator[tuple[int, int]]:
@@ -64,18 +133,19 @@ def token_pieces(
     """Token ids of every text followed by `end`, cut into pieces of at most `capacity` ids.
 
     Rows: doc_id, piece, start, length, ids_crc32 (of the little-endian unsigned 32-bit ids), and
-    `ids` on request. Null texts count as empty, which have one id. Null and repeated ids are kept.
+    `ids` on request. Null texts count as empty, which have one id. Null and repeated ids are kept;
+    an empty table gives no rows. Only the two named columns are read, so further ones may have any
+    name.
     """
-    last = array("I", [end]).tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Tokenizer.open(path)
+        tokenizer = Tokenizer.open(path)
         for batch in batches:
             for rows in slices(batch):
                 out = []
-                codes = units.ids(rows.column(1).to_pylist())
-                for doc, code in zip(rows.column(0).to_pylist(), codes, strict=True):
-                    code += last
+                for doc, text in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+                    ids = tokenizer.ids(text)
+                    ids.append(end)
+                    code = ids.tobytes()
                     for piece, (at, n) in enumerate(cut_pieces(len(code) // 4, capacity)):
                         own = code[4 * at : 4 * (at + n)]
                         row = (doc, piece, at, n, zlib.crc32(own))
