@@ -54,13 +54,17 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def attach(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+def attach(
+    rows: DataFrame, groups: DataFrame, key: str, size: str, total: int | None = None
+) -> DataFrame:
     """Inner join of `rows` with one row per `key` of `groups`; `size` holds the key's number of rows.
 
     Keys with more than a thousandth of all rows would land in one task, so they are joined by a
-    broadcast of their (at most 1,000) group rows; all other keys meet in a shuffle.
+    broadcast of their (at most 1,000) group rows; all other keys meet in a shuffle. `total` is the
+    sum of the sizes where it is known.
     """
-    total = groups.agg(F.sum(size)).first()[0] or 0
+    if total is None:
+        total = groups.agg(F.sum(size)).first()[0] or 0
     heavy = groups.where(F.col(size) * HEAVY_PART > total)
     marked = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
     light = groups.where(F.col(size) * HEAVY_PART <= total)

@@ -128,7 +128,8 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     Fingerprints lie in cells by the population counts of three parts of their bits; a cell is cut
     into tiles by a hash. Tile pairs whose counts differ by more than the radius never meet. All
-    others are compared whole with exclusive-or and bit counts, each pair in one row of a join.
+    others are compared whole with exclusive-or and bit counts, each pair in one row of a join. The
+    join is by the tile and not by its cell, so the pairs of the fullest cell are spread.
     """
     spark = fps.sparkSession
     scratch = Scratch(spark, "simhash")
@@ -141,11 +142,10 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     step = F.explode(F.array(*map(F.lit, _steps(radius)))).alias("step")
     left = tiles.select(F.col("cell").alias("own"), F.col("cut").alias("own_cut"), "fps", step)
     left = left.withColumn("cell", F.col("own") + F.col("step")).withColumnRenamed("fps", "a")
-    left = left.join(F.broadcast(cells.select("cell")), "cell")
-    right = tiles.withColumnRenamed("fps", "b")
-    pairs = left.join(right, "cell").where(
-        (F.col("own") != F.col("cell")) | (F.col("own_cut") <= F.col("cut"))
-    )
+    cuts = F.broadcast(cells.select("cell", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut")))
+    left = left.join(cuts, "cell")
+    left = left.where((F.col("own") != F.col("cell")) | (F.col("own_cut") <= F.col("cut")))
+    pairs = left.join(tiles.withColumnRenamed("fps", "b"), ["cell", "cut"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
