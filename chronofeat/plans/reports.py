@@ -28,43 +28,52 @@ def requested_stations(stations: DataFrame, requested: DataFrame | None = None)
     return requested.select("station_id").distinct()
 
 
-def _one_each(df: DataFrame) -> DataFrame:
-    """One row per station: the largest one, so that the choice does not depend on the order."""
-    rest = [c for c in df.columns if c != "station_id"]
-    picked = df.groupBy("station_id").agg(F.max(F.struct(*rest)).alias("_row"))
-    return picked.select("station_id", "_row.*")
+def _one_each(df: DataFrame, seen: str | None = None) -> DataFrame:
+    """One row per station: the newest by `seen`, else the largest, whatever the order of rows."""
+    rest = [c for c in df.columns if c not in ("station_id", seen)]
+    lead = [F.col(seen)] if seen else []
+    picked = df.groupBy("station_id").agg(F.max(F.struct(*lead, *rest)).alias("_row"))
+    return picked.select("station_id", *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
 def score_report(
     scores: DataFrame,
     stations: DataFrame,
-    live: DataFrame,
+    live: DataFrame | None,
     features: list[str],
     prediction: str = "prediction",
+    seen: str | None = None,
 ) -> DataFrame:
     """One row per scored station with its place, live counts, risk and features.
 
     `scores` has a prediction and the feature columns per station; `live` has the live counts
-    with lifetimes applied. A station missing from the station table keeps its row; of several
-    rows of a station in `stations` or `live` one is used. A missing prediction stays missing.
+    with lifetimes applied, or is None where these are columns of `scores`. A station missing from the station table keeps its row; of several
+    rows of a station in `stations` the newest by its column `seen` is used, of several in `live` one.
+    A missing prediction stays missing.
     """
     given = clean_numeric(F.col(prediction))
     expected = F.when(given.isNotNull(), F.round(F.greatest(given, F.lit(0.0)), 2))
     echo = F.struct(*[F.col(f).alias(f) for f in features])
-    scored = scores.select("station_id", expected.alias("predicted_departures_next_hour"), echo.alias("features"))
-    counts = live.select(
+    counts = {
+        "bikes_available": F.col("num_bikes_available"),
+        "docks_available": F.col("num_docks_available"),
+        "is_renting": F.col("is_renting"),
+    }
+    named = [column.alias(name) for name, column in counts.items()]
+    scored = scores.select(
         "station_id",
-        F.col("num_bikes_available").alias("bikes_available"),
-        F.col("num_docks_available").alias("docks_available"),
-        "is_renting",
+        expected.alias("predicted_departures_next_hour"),
+        echo.alias("features"),
+        *(named if live is None else []),
     )
     places = stations.select(
         "station_id", "name", clean_numeric(F.col("lat")).alias("lat"),
-        clean_numeric(F.col("lon")).alias("lon"),
+        clean_numeric(F.col("lon")).alias("lon"), *([seen] if seen else []),
     )
     short = F.col("predicted_departures_next_hour") > F.col("bikes_available")
-    joined = scored.join(_one_each(places), "station_id", "left")
-    joined = joined.join(_one_each(counts), "station_id", "left")
+    joined = scored.join(_one_each(places, seen), "station_id", "left")
+    if live is not None:
+        joined = joined.join(_one_each(live.select("station_id", *named)), "station_id", "left")
     return joined.select(
         "station_id",
         "name",

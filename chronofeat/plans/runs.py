@@ -49,7 +49,7 @@ from chronofeat.plans.training import (
 from chronofeat.plans.views import BATCH_VIEWS, DEMAND_SERVICE, LIVE_SERVICE
 from chronofeat.session import stage_table
 from chronofeat.settings import Settings
-from chronofeat.sources.feeds import flatten_hourly, flatten_stations
+from chronofeat.sources.feeds import flatten_hourly, newest_stations
 from chronofeat.sources.files import exists
 from chronofeat.sources.periods import newest_month_paths
 from chronofeat.sources.tables import read_feature_table, write_table
@@ -61,13 +61,14 @@ BACKFILL_BATCH = -1
 
 
 def load_stations(spark: SparkSession, settings: Settings, documents: str) -> int:
-    """The station table from archived station documents, one JSON document per file.
+    """The station table from archived station documents, one JSON document per file: of every
+    station the row of the newest document.
 
     The feed's ids go into a table with versions as well, which running streams look up anew.
     """
     docs = spark.read.text(documents, wholetext=True)
     prefixes = settings.scope_prefixes or None
-    scoped = flatten_stations(docs, prefixes, settings.scope_is_prefixed)
+    scoped = newest_stations(docs, prefixes, settings.scope_is_prefixed)
     path = settings.table("reference", "stations")
     rows = write_table(scoped, path, STATIONS)
     ids = read_feature_table(spark, STATIONS, path).select(*STATION_IDS.columns).distinct()

@@ -8,6 +8,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chronofeat.sources.files import delete, exists
+
 # Every timestamp in the engine is an instant read in UTC, so results do not depend on the machine.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,9 +56,29 @@ def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"{application}-")
 
 
+_MADE: list[str] = []
+
+
 def new_shared_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/chronofeat/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/chronofeat/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete every intermediate table that this process has written; the number of paths.
+
+    Frames that operators have returned may read such tables, so call this when their results have
+    been written or shown. What must last, such as a digest index, belongs under a path of its own.
+    """
+    dropped = 0
+    while _MADE:
+        path = _MADE.pop()
+        if exists(spark, path):
+            delete(spark, path)
+            dropped += 1
+    return dropped
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

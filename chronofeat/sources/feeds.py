@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronofeat.functions.columns import starts_with_any
+from chronofeat.operators.latest import latest_per_key
 
 # The parts of the feed documents that are read.
 STATION_DOCUMENT = (
-    "data struct<stations: array<struct<"
+    "last_updated long, data struct<stations: array<struct<"
     "short_name: string, station_id: string, name: string, lat: double, lon: double>>>"
 )
 STATUS_COUNTS = (
@@ -38,14 +39,19 @@ HOURLY_DOCUMENT = (
 
 
 def flatten_stations(
-    docs: DataFrame, prefixes: tuple[str, ...] | None = None, keep: bool = True
+    docs: DataFrame,
+    prefixes: tuple[str, ...] | None = None,
+    keep: bool = True,
+    stamp: str | None = None,
 ) -> DataFrame:
     """Stations that have a short name, which is the id the trip history uses.
 
-    With `prefixes`, only ids starting with one of them (`keep`) or with none of them.
+    With `prefixes`, only ids starting with one of them (`keep`) or with none of them. `stamp` names
+    a column for the time that the document gives itself, in seconds, 0 where it gives none.
     """
     record = docs.select(F.from_json("value", STATION_DOCUMENT).alias("d"))
-    record = record.select(F.explode("d.data.stations").alias("s"))
+    made = F.coalesce("d.last_updated", F.lit(0).cast("long")).alias("made")
+    record = record.select(made, F.explode("d.data.stations").alias("s"))
     stations = record.where(F.col("s.short_name").isNotNull() & (F.col("s.short_name") != ""))
     stations = stations.select(
         F.col("s.short_name").alias("station_id"),
@@ -53,6 +59,7 @@ def flatten_stations(
         "s.name",
         "s.lat",
         "s.lon",
+        *([F.col("made").alias(stamp)] if stamp else []),
     )
     if prefixes is None:
         return stations
@@ -60,6 +67,14 @@ def flatten_stations(
     return stations.where(inside if keep else ~inside)
 
 
+def newest_stations(
+    docs: DataFrame, prefixes: tuple[str, ...] | None = None, keep: bool = True
+) -> DataFrame:
+    """`flatten_stations` with one row per station: the one of the newest document."""
+    stations = flatten_stations(docs, prefixes, keep, stamp="_made")
+    return latest_per_key(stations, ["station_id"], "_made").drop("_made")
+
+
 def map_ids(df: DataFrame, id_map: DataFrame, on: str) -> DataFrame:
     """Replace a feed's own id by ours; rows of unknown ids go.
 

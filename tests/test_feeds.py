@@ -15,7 +15,7 @@ from chronofeat.sources import (
     parse_messages,
     to_envelope,
 )
-from chronofeat.sources.feeds import STATUS_COUNTS
+from chronofeat.sources.feeds import STATUS_COUNTS, newest_stations
 from tests.conftest import rows_of
 
 
@@ -97,3 +97,13 @@ def test_kafka_options():
     assert iam["kafka.security.protocol"] == "SASL_SSL" and iam["kafka.sasl.mechanism"] == "AWS_MSK_IAM"
     with pytest.raises(ValueError, match="unknown kafka auth"):
         kafka_options("h:1", "basic")
+
+
+def test_newest_station_documents_win(spark):
+    def doc(made, *places):
+        rows = [{"short_name": s, "station_id": f"u{s}", "name": n, "lat": 1.0, "lon": 2.0} for s, n in places]
+        return (json.dumps({"last_updated": made, "data": {"stations": rows}}),)
+
+    docs = [doc(5, ("A", "new"), ("B", "b")), doc(3, ("A", "old"), ("C", "c")), doc(None, ("C", "undated"))]
+    got = newest_stations(spark.createDataFrame(docs, "value string"))
+    assert rows_of(got.select("station_id", "name")) == [("A", "new"), ("B", "b"), ("C", "c")]

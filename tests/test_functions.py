@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 from datetime import UTC, datetime, timedelta
+from pathlib import Path
 from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.sql import functions as F
 
+from chronofeat import session
 from chronofeat.functions import (
     age_label,
     as_number,
@@ -19,6 +21,7 @@ from chronofeat.functions import (
     net_flow,
     weeks_to_shift,
 )
+from chronofeat.session import drop_staged, stage_table
 from tests.conftest import aware
 
 NY = "America/New_York"
@@ -110,3 +113,12 @@ def test_small_columns(spark):
 def test_moments_need_a_zone():
     with pytest.raises(ValueError, match="no time zone"):
         instant(datetime(2026, 1, 1))
+
+
+def test_staged_tables_can_be_dropped(spark, monkeypatch):
+    monkeypatch.setattr(session, "_MADE", [])  # those of other tests stay
+    kept = stage_table(spark.range(3), "kept")
+    paths = kept.inputFiles()
+    assert kept.count() == 3 and drop_staged(spark) >= 1
+    assert not any(Path(p.removeprefix("file:")).exists() for p in paths)
+    assert drop_staged(spark) == 0

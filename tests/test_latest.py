@@ -246,6 +246,17 @@ def test_report_keeps_unknown_stations_and_flags_risk(spark):
     assert got["A"]["features"].asDict() == {"departures_1h": 4, "avg_departures_4w": 1.5}
 
 
+def test_of_several_station_rows_the_newest_counts(spark):
+    scores = spark.createDataFrame([("A", 1.0)], "station_id string, prediction double")
+    stations = spark.createDataFrame(
+        [("A", "Zoo (closed)", 40.0, -74.0, 1), ("A", "Annex", 41.0, -73.0, 2)],
+        "station_id string, name string, lat double, lon double, seen_at long",
+    )
+    live = spark.createDataFrame([], "station_id string, num_bikes_available long, num_docks_available long, is_renting long")
+    row = score_report(scores, stations, live, ["prediction"], seen="seen_at").first()
+    assert (row["name"], row["lat"]) == ("Annex", 41.0)
+
+
 def test_display_top_kpis_and_map(spark):
     shown = display_table(report(spark))
     listed = shown.orderBy(shown["predicted"].desc()).collect()

@@ -444,3 +444,5 @@ ORACLES["replay_job"] = f"""WITH ev AS (SELECT * FROM events WHERE event_type IN
 ORACLES["stream_refreshed_names"] = """SELECT event_id, c_custkey AS station_id, c_name
     FROM events JOIN customer ON user_id = c_custkey
     WHERE c_custkey % 2 = 0 OR ts >= TIMESTAMP '2024-01-22 00:00:00'"""
+ORACLES["seeded_cap"] = f"""SELECT {EVENT_COLUMNS} FROM events
+    ORDER BY CAST('0x' || substr(md5('7:' || event_id), 1, 15) AS BIGINT) LIMIT 1000"""

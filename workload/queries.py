@@ -447,13 +447,10 @@ def asof_join_hot_keys_interval(spark, sf_dir):
     )
 
 
-def _history(spark, sf_dir) -> dict[str, DataFrame]:
-    """The feature tables, written as the batch job writes them."""
-    return {
-        "station_recent_activity": stage_table(t.activity(spark, sf_dir), "activity"),
-        "station_hourly_profile": stage_table(t.profile(spark, sf_dir), "profile"),
-        "weather_hourly": stage_table(t.weather(spark, sf_dir), "weather"),
-    }
+def _history(spark, sf_dir, service: t.FeatureService = t.SERVICE) -> dict[str, DataFrame]:
+    """The feature tables of a service, written as the batch job writes them."""
+    tables = {t.ACTIVITY: t.activity, t.PROFILE: t.profile, t.WEATHER: t.weather}
+    return {v.name: stage_table(tables[v](spark, sf_dir), v.name) for v in service.views}
 
 
 def _joined(spark, sf_dir) -> DataFrame:
@@ -495,7 +492,7 @@ def error_metrics_of_baselines(spark, sf_dir):
     labels = stage_table(t.keyed_labels(spark, sf_dir), "labels")
     held = time_split(labels).where("is_validation")
     service = t.FeatureService("baselines", (t.ACTIVITY, t.PROFILE))
-    joined = point_in_time(held, service, _history(spark, sf_dir))
+    joined = point_in_time(held, service, _history(spark, sf_dir, service))
     filled = joined.fillna(0, ["avg_departures_4w", "departures_1h"])
     errors = error_metrics(
         filled,
@@ -507,7 +504,10 @@ def error_metrics_of_baselines(spark, sf_dir):
 
 @query("seeded_cap")
 def seeded_cap_events(spark, sf_dir):
-    return seeded_cap(t.bare_events(spark, sf_dir), 1000)
+    """A thousand events, by a ticket that SQL can draw as well."""
+    digest = F.md5(F.concat(F.lit("7:"), F.col("event_id").cast("string")))
+    ticket = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+    return seeded_cap(t.bare_events(spark, sf_dir), 1000, ticket=ticket)
 
 
 @query("demand_model_scores")
@@ -627,8 +627,7 @@ def _report(spark, sf_dir) -> DataFrame:
     found = _lookup(spark, sf_dir)
     features = ["departures_1h", "arrivals_1h", "avg_departures_4w", "temperature_c"]
     scores = found.withColumn("prediction", F.coalesce("avg_departures_4w", F.lit(0.0)) * 60)
-    live = found.select("station_id", *t.STATUS.features)
-    return score_report(scores, t.stations(spark, sf_dir), live, features)
+    return score_report(scores, t.stations(spark, sf_dir), None, features)
 
 
 @query("score_report")
