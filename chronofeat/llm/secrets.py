@@ -45,12 +45,17 @@ MORE_RULES = (
 
 RULES = BASE_RULES + MORE_RULES
 
-#: What follows a key's BEGIN line: its headers, and its body up to the END line, or the lines of
-#: base64 where no END follows. Character classes, not groups, repeat: long keys need no deep stack.
+#: What follows a key's BEGIN line: its headers, and then either base64 and white space up to the END
+#: line, or, where no END follows, lines of at least 16 characters that are base64 and not plain
+#: words, with a shorter one as the last. Repeats are possessive, so time is linear and long keys need
+#: no deep stack.
+_LINE_END = r"[ \t\r]*+\n[ \t]*+"
+_NO_WORD = r"(?=[A-Za-z]*+[0-9+/=])"
 _KEY_BODY = (
-    r"(?:\s*Proc-Type:[^\n]*\s*DEK-Info:[^\n]*)?"
-    r"(?:[A-Za-z0-9+/=\s\\]*?-----END [A-Z ]*PRIVATE KEY-----"
-    r"|[\r\n]+[A-Za-z0-9+/=\r\n]*[A-Za-z0-9+/=](?m:$))?"
+    rf"(?:{_LINE_END}Proc-Type:[^\n]*+{_LINE_END}DEK-Info:[^\n]*+(?:{_LINE_END})?+)?+"
+    r"(?:[A-Za-z0-9+/=\s\\]*+-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{_LINE_END}{_NO_WORD}[A-Za-z0-9+/]{{16,}}+=*+(?=\s|\Z))++"
+    rf"(?:{_LINE_END}{_NO_WORD}[A-Za-z0-9+/]{{1,15}}+=*+(?=[ \t\r]*(?:\n|\Z)))?+)?+"
 )
 #: The rules by which texts are cleaned: of a private key not only the BEGIN line goes.
 CLEAN_RULES = tuple(
@@ -79,12 +84,17 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str
         scratch = Scratch(docs.sparkSession, "secrets")
         named = sorted({t for query in indexed.values() for clause in query for t in clause})
         index = scratch.keep(postings(docs, text_col, named), "postings")
-        hits = candidates(index, indexed).select(
-            F.col("key").alias("_key"), F.col("rules").alias("_rules")
+        # Written, so that the join can split a text with many copies, and broadcast a short list.
+        hits = scratch.keep(
+            candidates(index, indexed).select(
+                F.col("key").alias("_key"), F.array_join("rules", " ").alias("_rules")
+            ),
+            "hits",
         )
+        scratch.drop(index)
         found = found.withColumn("_own_key", text_key(text))
         found = found.join(hits, F.col("_own_key") == F.col("_key"), "left").drop("_own_key", "_key")
-        allowed = F.coalesce(F.col("_rules"), allowed)
+        allowed = F.coalesce(F.split("_rules", " "), allowed)
     else:
         found = found.withColumn("_rules", allowed)
     # Rules are applied one after another; a column is read twice wherever it must not be inlined.

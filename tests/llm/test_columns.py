@@ -208,6 +208,12 @@ def test_private_keys_are_replaced_whole(spark):
         (f"a\n{begin}\n{body}\n\nThe rest, b", "a\n[SECRET]\n\nThe rest, b"),
         (f"{begin}\n{body}", "[SECRET]"),
         (f"{begin} is a header line.\nAs is\nThis, b", "[SECRET] is a header line.\nAs is\nThis, b"),
+        (f"{begin}\nThanks\n\nBob\n\nIntroduction\nsummary\nNext, this", "[SECRET]\nThanks\n\nBob\n\nIntroduction\nsummary\nNext, this"),
+        (f"{begin}\nInternationalization\nThanks", "[SECRET]\nInternationalization\nThanks"),
+        (f"{begin}\r\n{'MIIEpAIBAAKCAQEA7' * 3}\r\nThanks\r\n", "[SECRET]\r\nThanks\r\n"),
+        (f"{begin}\n{headers}{body}\n\nx", "[SECRET]\n\nx"),
+        (f"{begin}" + "\n" * 100_000 + "end", "[SECRET]" + "\n" * 100_000 + "end"),
+        (f"{begin}" + "\n" * 100_000 + end, "[SECRET]"),
     ]
     docs = spark.createDataFrame(
         [(k, t, len(t)) for k, (t, _) in enumerate(texts)], "doc_id long, text string, n_chars long"
