@@ -117,7 +117,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return DigestIndex(spark).verdicts(docs)
+    index = DigestIndex(spark)
+    judged = index.verdicts(docs)
+    index.close()
+    return judged
 
 
 def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
