@@ -43,8 +43,20 @@ PART_WORDS = frozenset(
     "area bar block box btn button container group inner item items link links list outer panel "
     "row section slot top bottom left right unit wrap wrapper".split()
 )
-#: Of these words, the ones whose parts may hold the site's name as a heading.
+#: Words that say whose part it is, or how it is shown.
+OWNER_WORDS = frozenset(
+    "site page main primary secondary global mobile desktop sticky fixed floating this label".split()
+)
+TEXT_WORDS = frozenset(
+    "user users reader readers post posts article articles entry entries story stories news blog "
+    "privacy".split()
+)
+#: Beside "author", words that make it a part about the author.
+AUTHOR_WORDS = frozenset("bio about box".split())
+#: Of the frame words, the ones whose parts may hold the site's name as a heading.
 TITLE_WORDS = frozenset("header masthead topbar banner nav navbar navigation menu".split())
+#: The ones that may also say how the part with the text is laid out ("page sidebar").
+LAYOUT_WORDS = TITLE_WORDS | frozenset("sidebar aside widget widgets toolbar overlay".split())
 MAIN = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose beginning and end leave an empty line.
@@ -67,7 +79,8 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
-_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+_SIZE = re.compile(r"\d+x\d+", re.IGNORECASE)
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Line:
@@ -82,16 +95,15 @@ class Line:
         self.text = " ".join(unescape("".join(self.pieces)).split())
 
 
-def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], dict[int, str]]:
+def strip_markup(page: str, by_layout: bool = True) -> tuple[list[Line | None], dict[int, str]]:
     """Lines of the page in order, None where a part begins or ends; the element of each main part.
 
     Main parts are the outermost `article` and `main` elements, numbered from 1.
 
     Skipped and framing elements give no lines. A framing element that the page never closes ends
     where its parent does, or where a main part starts; a skipped one that swallows no markup, also
-    where a block starts. A part that frames by its class, id or role
-    only (not at all unless `by_name`) ceases to at a first-level heading, unless it may be the
-    page's head.
+    where a block starts. A part that frames by its class, id or role only (see `_frames` for
+    `by_layout`) ceases to at a first-level heading, unless it may be the page's head.
     """
     lines: list[Line | None] = []
     stack: list[tuple[str, str]] = []  # open elements, and how each frames
@@ -164,7 +176,7 @@ def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], di
         if name in BLOCKS:
             while swallowing:
                 pop()
-        if name in MAIN and not _frames(name, token[3], in_main, by_name):
+        if name in MAIN and not _frames(name, token[3], in_main, by_layout):
             while framed:
                 pop()
             if not in_main:
@@ -179,7 +191,7 @@ def strip_markup(page: str, by_name: bool = True) -> tuple[list[Line | None], di
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
             while stack and (stack[-1][0] == name or stack[-1][0] in INLINE and _has(stack, name)):
                 pop()
-        frames = _frames(name, token[3], in_main, by_name)
+        frames = _frames(name, token[3], in_main, by_layout)
         if name in SKIPPED and name not in MAY_STAY_OPEN:
             frames = "unclosed"
         if frames:
@@ -205,12 +217,30 @@ def _has(stack: list[tuple[str, str]], name: str) -> bool:
     return False
 
 
-def _frames(name: str, attributes: str, in_main: int, by_name: bool = True) -> str:
+def frame_words(name: str) -> set[str]:
+    """The frame words of a class, id or role that names a frame as a whole; else none.
+
+    All its words have to be frame words, or to say what part it is, whose, or how it is shown;
+    numbers and sizes say nothing. So `site-footer`, `comment-1` and `ad-728x90` name frames, and
+    `comments-open`, `with-sidebar` and `related-work` do not. A header or banner of a text
+    (`post-header`) belongs to that text.
+    """
+    words = {w.lower() for w in _WORDS.findall(_SIZE.sub(" ", name))}
+    found = words & FRAME_WORDS
+    rest = words - FRAME_WORDS - PART_WORDS - OWNER_WORDS
+    if "author" in rest and words & AUTHOR_WORDS and rest - AUTHOR_WORDS <= {"author"}:
+        return {"author"}
+    if not rest <= TEXT_WORDS or rest and found <= {"header", "masthead", "banner"}:
+        return set()
+    return found
+
+
+def _frames(name: str, attributes: str, in_main: int, by_layout: bool = True) -> str:
     """How an element frames the page: "kind", "hidden", "title", "name", or not at all.
 
-    A header inside the main part belongs to it. A class, id or role names a frame as a whole: by one
-    frame word, or by several of which the others only say what part it is. Headings, elements inside
-    a line and main parts do not frame by such names.
+    A header inside the main part belongs to it. Headings, elements inside a line and main parts do
+    not frame by the name in a class, id or role. Unless `by_layout`, a name of layout words frames
+    only where the element has no other name.
     """
     if name in ("html", "body"):
         return ""
@@ -224,14 +254,13 @@ def _frames(name: str, attributes: str, in_main: int, by_name: bool = True) -> s
     hidden = given.get("aria-hidden", "").strip().lower() == "true"
     if "hidden" in given or hidden or _NONE.search(given.get("style", "")):
         return "hidden"
-    if not by_name or name in MAIN or name in HEADINGS or name in INLINE:
+    if name in MAIN or name in HEADINGS or name in INLINE:
         return ""
-    found: set[str] = set()
-    for key in ("class", "id", "role"):
-        for value in unescape(given.get(key, "")).split():
-            words = {w.lower() for w in _WORDS.findall(value)}
-            if words <= FRAME_WORDS | PART_WORDS:
-                found |= words & FRAME_WORDS
+    names = [v for key in ("class", "id", "role") for v in unescape(given.get(key, "")).split()]
+    each = [frame_words(value) for value in names]
+    found = set().union(*each)
+    if not by_layout and not all(each):
+        found -= LAYOUT_WORDS
     if in_main:
         found -= {"header", "masthead"}
     return ("title" if found & TITLE_WORDS else "name") if found else ""
@@ -251,12 +280,13 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     a single `article`, text outside has to reach twice `surge`. Of several articles (teaser cards,
     say) those that hold less text than the heaviest text that surges outside get no bonus.
 
-    Where nothing surges because a class, id or role names the part that holds the text like a frame,
-    the page is read without regard to such names.
+    Where nothing surges, the part with the text may have a layout word among its names: the page is
+    read once more without regard to these. What is named a notice, advert, comment or footer, and
+    what has no other name than a sidebar's, say, stays out even so.
     """
     text, surged = _surging(*strip_markup(page), window, surge)
     if not surged:
-        whole, surged = _surging(*strip_markup(page, by_name=False), window, surge)
+        whole, surged = _surging(*strip_markup(page, by_layout=False), window, surge)
         text = whole if surged else text
     return text
 
@@ -333,7 +363,7 @@ def extract_text(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch):
+            for rows in slices(batch, text=len(names)):
                 texts = [main_text(page) for page in rows.column(len(names)).to_pylist()]
                 sizes = pa.array([len(t) for t in texts], pa.int64())
                 yield pa.RecordBatch.from_arrays(
