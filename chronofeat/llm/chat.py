@@ -50,21 +50,16 @@ def unescape(text: str) -> str:
 
 
 class Turns:
-    """The state machine: which roles may come next, and whether all turns so far were allowed."""
+    """The state machine: which roles may come next."""
 
     def __init__(self, template: Template):
         self.next, self.table = template.starts, dict(template.follows)
-        self.ends, self.last, self.valid = template.ends, None, True
 
     def step(self, role: str) -> bool:
         allowed = role in self.next
-        self.valid = self.valid and allowed
-        self.next, self.last = self.table.get(role, ()), role
+        self.next = self.table.get(role, ())
         return allowed
 
-    def complete(self) -> bool:
-        return self.valid and self.last in self.ends
-
 
 _SEGMENT = pa.schema(
     [
@@ -129,7 +124,7 @@ class _Reader:
     def __init__(self):
         self.turns = self.loss_chars = self.chars = 0
         self.digest, self.loss_digest = hashlib.sha256(), hashlib.sha256()
-        self.pending, self.valid = "", True
+        self.pending, self.valid, self.last = "", True, None
 
     def add(self, text: str, loss: bool, allowed: bool) -> None:
         self.chars += len(text)
@@ -146,12 +141,12 @@ class _Reader:
         while head and end >= 0:
             role, body = unescape(head[1]), unescape(self.pending[head.end() : end])
             self.digest.update(f"{role}\n{body}\n".encode())
-            self.turns += 1
+            self.turns, self.last = self.turns + 1, role
             self.pending = self.pending[end + len(_END) :]
             head = _HEAD.match(self.pending)
             end = self.pending.find(_END, head.end()) if head else -1
 
-    def row(self, conv: int | None) -> tuple:
+    def row(self, conv: int | None, ends: tuple[str, ...]) -> tuple:
         if self.pending:
             raise ValueError(f"conversation {conv} does not end with a turn")
         return (
@@ -162,6 +157,7 @@ class _Reader:
             self.loss_digest.hexdigest(),
             self.chars,
             self.valid,
+            self.valid and self.last in ends,
         )
 
 
@@ -174,33 +170,48 @@ _READ = pa.schema(
         ("loss_sha256", pa.string()),
         ("formatted_chars", pa.int64()),
         ("valid", pa.bool_()),
+        ("complete", pa.bool_()),
     ]
 )
 
 
-def read_back(segments: DataFrame) -> DataFrame:
+def in_order(segments: DataFrame) -> DataFrame:
+    """Segments that have been shuffled since, in the order that `read_back` needs."""
+    return segments.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "segment")
+
+
+def read_back(segments: DataFrame, template: Template = CHAT) -> DataFrame:
     """Digests of each conversation as read from the output of `format_chats`, in one pass.
 
-    Segments are read in the order in which that function writes them, so they need no shuffle.
+    `valid` says that every turn was allowed, `complete` that moreover the last role may end a
+    conversation. Segments are read in the order in which that function writes them, so they need no
+    shuffle; rows in any other order are refused, and `in_order` restores it. No segments give no
+    rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, reader = None, None
+        current, reader, before = None, None, (0, 0)
         for batch in batches:
             out = []
             columns = (c.to_pylist() for c in batch.columns)
-            for conv, text, loss, allowed in zip(*columns, strict=True):
+            for conv, turn, segment, text, loss, allowed in zip(*columns, strict=True):
                 if reader is None or conv != current:
                     if reader is not None:
-                        out.append(reader.row(current))
-                    current, reader = conv, _Reader()
+                        out.append(reader.row(current, template.ends))
+                    current, reader, expected = conv, _Reader(), [(0, 0)]
+                else:
+                    expected = [(before[0], before[1] + 1), (before[0] + 1, 0)]
+                if (turn, segment) not in expected:
+                    raise ValueError(f"the segments of conversation {conv} are not in order")
+                before = turn, segment
                 reader.add(text, loss, allowed)
             yield _batch(out, _READ)
         if reader is not None:
-            yield _batch([reader.row(current)], _READ)
+            yield _batch([reader.row(current, template.ends)], _READ)
 
-    return segments.select("conv_id", "text", "loss", "allowed").mapInArrow(
+    names = ["conv_id", "turn", "segment", "text", "loss", "allowed"]
+    return segments.select(*names).mapInArrow(
         run,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-        "formatted_chars long, valid boolean",
+        "formatted_chars long, valid boolean, complete boolean",
     )

@@ -50,7 +50,8 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(loss, '' ORDER BY place)) AS loss_sha256,
        CAST(sum(length('<|' || role_out || '|>' || chr(10) || text_out || '<|end|>' || chr(10)))
             AS BIGINT) AS formatted_chars,
-       bool_and(allowed) AS valid
+       bool_and(allowed) AS valid,
+       bool_and(allowed) AND last(role ORDER BY place) = 'assistant' AS complete
 FROM f GROUP BY conv_id
 """
 

@@ -47,7 +47,8 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     Words are runs of anything but ASCII white space. A repeat word lies in a window of three words
     that occurs twice or more in the text, the first time included. Null and empty texts count zero
-    everywhere. Columns of these names are replaced; rows are neither joined nor shuffled.
+    everywhere; repeated rows are counted each, and an empty table stays empty. Columns of these
+    names are replaced; rows are neither joined nor shuffled.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: F.regexp_like(line, F.lit(WORD)))
