@@ -13,8 +13,16 @@ from pyspark.sql import functions as F
 
 from chronofeat.llm.common import repeat_rows
 from chronofeat.llm.components import components
+from chronofeat.llm import digest_index
 from chronofeat.llm.digest_index import DigestIndex
-from chronofeat.llm.lines import SHINGLE, drop_repeated_lines, line_components
+from chronofeat.llm import lines as lines_module
+from chronofeat.llm.lines import (
+    SHINGLE,
+    band_keys,
+    drop_repeated_lines,
+    line_components,
+    shingle_hashes,
+)
 from chronofeat.llm.simhash import compare, fingerprint, keep_one, near_duplicates
 
 DOCS = "doc_id long, text string, kept string, fp string, _digest string, text_sha256 string"
@@ -96,6 +104,26 @@ def test_index_persists_and_repeats_safely(spark):
     assert sorted(opened.compact().read().select("keep_id").collect()) == [(1,), (2,), (4,)]
 
 
+def test_buckets_are_stored_and_two_writers_do_no_harm(spark, monkeypatch):
+    monkeypatch.setattr(digest_index, "BUCKET_ROWS", 1)
+    index = DigestIndex(spark)
+    index.verdicts(docs_of(spark, [(k, f"text {k}") for k in range(300)])).collect()
+    assert index.buckets == 512
+    opened = DigestIndex(spark, index.path)
+    assert opened.buckets == 512
+    held = opened.read().where("keep_id < 5").select("digest", "keep_id")
+    held.repartition(512, "digest").write.insertInto(opened.table)  # a second writer's batch
+    spark.catalog.refreshTable(opened.table)
+    judged = opened.verdicts(docs_of(spark, [(3, "text 3"), (900, "text 3")])).collect()
+    assert sorted((r.doc_id, r.keep_id, r.kept) for r in judged) == [(3, 3, True), (900, 3, False)]
+    smaller = opened.compact()
+    assert smaller.read().count() == 300 and smaller.buckets == 512
+    later = opened.verdicts(docs_of(spark, [(1000, "new")]))
+    opened.close()
+    assert not spark.catalog.tableExists(opened.table)
+    assert [r.kept for r in later.collect()] == [True]  # readable without the table's name
+
+
 def test_index_side_of_the_anti_join_is_not_shuffled(spark):
     index = DigestIndex(spark, buckets=4)
     new = spark.createDataFrame([(bytearray(b"x"), 1)], "digest binary, keep_id long")
@@ -253,6 +281,56 @@ def test_lines_of_long_tokens_equal_brute_force(spark):
     assert any(copies == 2 for _, _, copies in wanted.values())
 
 
+def test_shingle_hashes_and_keys():
+    rng = random.Random(7)
+    lines = ["", "short", "x" * 11, "x" * 12, "漢字é😀" * 9]
+    lines += ["".join(rng.choice("abc ") for _ in range(rng.randint(0, 90))) for _ in range(200)]
+    hashes, counts = shingle_hashes(lines)
+    of = {}
+    at = 0
+    for line, n in zip(lines, counts.tolist(), strict=True):
+        assert n == max(0, len(line) - SHINGLE + 1)
+        for i in range(n):
+            assert of.setdefault(line[i : i + SHINGLE], hashes[at + i]) == hashes[at + i]
+        at += n
+    assert at == len(hashes) and len(set(of.values())) == len(of)
+    keys = band_keys(lines)
+    assert [len(k) > 0 for k in keys] == [n > 0 for n in counts]
+    assert len(keys[3]) == 1 and max(map(len, keys)) <= 8
+    again = band_keys(lines[::-1])[::-1]  # a line's keys do not depend on its neighbours
+    assert all((a == b).all() for a, b in zip(keys, again, strict=True))
+
+
+def test_a_bucket_of_many_unlike_lines(spark):
+    """Lines that share a long passage and no more, in one bucket: all pairs across it are tried."""
+    rng = random.Random(12)
+    passage = "a passage that many lines share, word for word, and that holds the smallest hashes "
+    tail = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    rows = [(k, passage + tail(60)) for k in range(600)]
+    rows += [(600 + k, rows[k][1] + "z") for k in range(0, 600, 60)]
+    got = line_components(docs_of(spark, rows)).collect()
+    found = {(r.doc_id, r.line_no): (r.keep_doc_id, r.keep_line_no, r.copies) for r in got}
+    assert found == slow_lines(rows)
+
+
+def test_components_of_a_bucket_meet_in_chunks(spark, monkeypatch):
+    """Whatever the chunks, all nodes that similar lines connect are connected, and no others."""
+    monkeypatch.setattr(lines_module, "CHUNK", 3)
+    rng = random.Random(5)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(80)) for _ in range(6)]
+    texts = [rng.choice(base)[: rng.randint(66, 80)] for _ in range(40)]
+    texts = list(dict.fromkeys(texts))
+    rows = [(key, n, n) for key in (1, 2) for n in range(len(texts))]
+    rooted = spark.createDataFrame(rows, "key long, node long, root long")
+    named = spark.createDataFrame(list(enumerate(texts)), "node long, norm string")
+    got = [tuple(r) for r in lines_module._linked_across(rooted, named).collect()]
+    sets = [lines_module.shingles(t) for t in texts]
+    n = range(len(texts))
+    pairs = [(a, b) for a in n for b in n if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert pairs and set(got) <= set(pairs)
+    assert union_find(got, list(n)) == union_find(pairs, list(n))
+
+
 def test_documents_without_repeated_lines(spark):
     rows = [(1, "keep me once\nfirst own"), (2, "second own\n\nkeep me once"), (3, None)]
     got = {r.doc_id: r.text for r in drop_repeated_lines(docs_of(spark, rows)).collect()}

@@ -4,20 +4,31 @@ from __future__ import annotations
 
 import array
 import base64
+import copy
 import hashlib
+import json
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from chronofeat.llm import bpe
-from chronofeat.llm.chat import escape, escape_role, format_chats, read_back, unescape
+from chronofeat.llm import bpe, packing, units
+from chronofeat.llm.chat import (
+    escape,
+    escape_role,
+    format_chats,
+    in_order,
+    read_back,
+    unescape,
+)
 from chronofeat.llm.html import extract_text, main_text
 from chronofeat.llm.packing import Plan, cut_pieces, pack, pack_documents, token_pieces
 
@@ -82,6 +93,86 @@ def test_pages_without_a_main_part():
     assert main_text(f"{page}<div></div><div></div><div>end</div>") == f"T {ARTICLE.strip()} x"
 
 
+STORY = ARTICLE.strip()
+SHORT = "Short story of the day."
+TWO = "Two sentences stand in this part. They are as long as those of a text, so they would surge. "
+
+
+@pytest.mark.parametrize(
+    "name",
+    """site-footer site-header page-header main-nav primary-sidebar sidebar-primary sidebar2
+    related-posts related-articles user-comments post-comments reader-comments comment-1 ad-728x90
+    ad-slot-1 sticky-ad advertisement-label site-notice privacy-notice share-this author-bio
+    cookieBanner newsletter-signup-box nav_menu_2 commentList adSlot footer-widgets mobile-menu
+    search-form promo-banner-300x250 cookie-consent-popup post-footer aboutAuthor""".split(),
+)
+@pytest.mark.parametrize("inside", [False, True])
+def test_compound_names_of_frames(name, inside):
+    part = f'<div class="x1 {name}"><p>{TWO}</p></div>'
+    story = f"<p>{ARTICLE}</p>"
+    page = f"<article>{story}{part}</article>" if inside else f"<div id=c>{story}</div>{part}"
+    if inside and name in ("site-header", "page-header"):
+        assert main_text(page).startswith(STORY)  # a header in the main part belongs to it
+    else:
+        assert main_text(page) == STORY
+    assert main_text(f"<section id={name}>{TWO}</section><div>{story}</div>") == STORY
+
+
+@pytest.mark.parametrize(
+    "name",
+    """post-header entry-header article-banner related-work search-methods comments-open has-sidebar
+    no-footer overflow-hidden content-header adapter headers-up menuless main-content article-body
+    post-text news-story author notices-of-the-king cookies-recipe navigator shared-story""".split(),
+)
+def test_names_of_texts(name):
+    assert main_text(f"<div class={name}><p>{ARTICLE}</div><p>x") == f"{STORY} x"
+
+
+PAGES = {
+    "a notice beside a short story": (
+        f"<div id=c><p>{SHORT}</p></div><div class='cookie-notice'><p>{TWO}</p></div>", SHORT),
+    "a notice before a short story": (
+        f"<div class='gdpr consent'>{TWO}</div><div><h1>T</h1><p>{SHORT}</div>", f"T {SHORT}"),
+    "a sidebar beside a short story": (
+        f"<div><p>{SHORT}</div><div class=sidebar><p>{TWO}</div>", SHORT),
+    "comments under a short story": (
+        f"<p>{SHORT}</p><section id=comments><p>{TWO}<p>{TWO}</section>", SHORT),
+    "only a notice": (f"<div class=notice>{TWO}</div>", ""),
+    "only a footer": (f"<footer>{TWO}</footer>", ""),
+    "only comments": (f"<ol class=comment-list><li>{TWO}</ol>", ""),
+    "the story beside a named sidebar": (
+        f"<div class='content sidebar-right'><p>{ARTICLE}</div><div>Home</div>", f"{STORY} Home"),
+    "layout words on the body": (f"<body class='header-fixed sidebar-left'><p>{ARTICLE}", STORY),
+    "comments inside the article": (
+        f"<article><h1>T</h1><p>{ARTICLE}<div class=user-comments><p>{TWO}</div></article>", f"T {STORY}"),
+    "an advert inside the article": (
+        f"<article><p>{ARTICLE}<div class=ad-728x90><p>{TWO}</div><p>End.</article>", f"{STORY} End."),
+    "a form inside the article": (
+        f"<article><p>{ARTICLE}<form>{TWO}<input value=x></form><p>End.</article>", f"{STORY} End."),
+    "a share bar between paragraphs": (
+        f"<div><p>{ARTICLE}<div id=share-this>Share!</div><p>{ARTICLE}</div>", f"{STORY} {STORY}"),
+    "a table of contents by links": (
+        f"<div><ul>{'<li><a href=#x>A section with a long title</a>' * 9}</ul></div><div></div><div><p>{ARTICLE}</div>", STORY),
+    "a heading in a page header": (
+        f"<div class=page-header><h1>Site</h1></div><div><h2>T</h2><p>{ARTICLE}</div>", f"T {STORY}"),
+    "an article's own header": (f"<article><header><h1>T</h1></header><p>{ARTICLE}</article>", f"T {STORY}"),
+    "a table": (f"<table><tr><td>{ARTICLE}<td>b</table>", f"{STORY} b"),
+    "a list": (f"<div><p>{ARTICLE}<ul><li>one<li>two &amp; a half</ul></div>", f"{STORY} one two & a half"),
+    "preformatted lines": (f"<div><p>{ARTICLE}<pre>a\n  b</pre></div>", f"{STORY} a b"),
+    "words cut by inline elements": (f"<p>{ARTICLE}un<b>believ</b>able<br>next", f"{STORY} unbelievable next"),
+    "hidden parts": (f"<p>{ARTICLE}</p><div hidden>{TWO}</div><div aria-hidden=true>{TWO}</div>", STORY),
+    "upper case": (f"<DIV CLASS='Site-Footer'>{TWO}</DIV><P>{ARTICLE}", STORY),
+    "a modal over the page": (f"<div role=dialog class=modal><p>{TWO}</div><main><p>{SHORT}</main>", SHORT),
+    "no markup": (f"{SHORT}", SHORT),
+}
+
+
+@pytest.mark.parametrize("kind", PAGES)
+def test_pages_of_different_make_up(kind):
+    page, text = PAGES[kind]
+    assert main_text(page) == text
+
+
 @pytest.mark.parametrize("name", "video object svg canvas noscript template audio map math".split())
 def test_unclosed_skipped_elements_end_with_their_parent_or_at_a_block(name):
     assert main_text(f"<article><p>x<{name} id=v>no<g>no</g></p>y</article>") == "x y"
@@ -222,6 +313,86 @@ def test_packed_documents(spark):
     assert pack(token_pieces(docs.limit(0), JSON, 64), 64).count() == 0
 
 
+STRANGE = "aäbß1２ \n\t\r\x85\u2028.,'sé日本अ़ा̀😀<|endoftext|>tldvemr`~\x1c"
+
+
+def library_ids():
+    library = Tokenizer.from_file(JSON)
+    library.encode_special_tokens = True
+    return lambda text: library.encode(text, add_special_tokens=False).ids
+
+
+def test_packed_ids_are_the_librarys():
+    """The file's own library on strange texts, its special string and runs of white space."""
+    rng, wanted, found = random.Random(2), library_ids(), packing.Tokenizer.open(JSON)
+    texts = ["".join(rng.choice(STRANGE) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    texts += ["<|endoftext|>", "a <|endoftext|> b", "ab" * 50_000, "x" + " " * 30_000 + "y"]
+    texts += ["word " * 20_000, "\n" * 400_000, "\u2003" * 9_999 + "x", " \n" * 60_000 + "z"]
+    for text in texts:
+        assert found.ids(text).tolist() == wanted(text)
+
+
+def test_files_of_another_kind_are_refused(tmp_path):
+    with open(JSON, encoding="utf-8") as lines:
+        read = json.load(lines)
+    for change in (
+        lambda r: r["model"]["merges"].reverse(),
+        lambda r: r.update(normalizer={"type": "Lowercase"}),
+        lambda r: r["pre_tokenizer"].update(add_prefix_space=True),
+    ):
+        other = copy.deepcopy(read)
+        change(other)
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps(other))
+        with pytest.raises(ValueError, match="byte-level|order than merges"):
+            packing.read_byte_level(str(path))
+
+
+def test_units_of_letters_skip_the_pattern_and_nothing_else(library):
+    rng, codec = random.Random(3), bpe.Codec.open(RANKS, public_tokenizers.PATTERN)
+    texts = ["".join(rng.choice(STRANGE) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    codes = codec.encode(texts)
+    for text, code in zip(texts, codes, strict=True):
+        assert array.array("I", code).tolist() == library.encode_ordinary(text)
+    digits = bpe.Codec(RANKS, r"\p{L}{1,2}|[^\p{L}]")  # letters are no match of their own here
+    cut = tiktoken.Encoding("o", pat_str=r"\p{L}{1,2}|[^\p{L}]", mergeable_ranks=digits.ranks, special_tokens={})
+    for text, code in zip(texts, digits.encode(texts), strict=True):
+        assert array.array("I", code).tolist() == cut.encode_ordinary(text)
+
+
+def test_a_long_unbroken_text(library):
+    """One match of the pattern, in memory of a fixed number of bytes for each of its bytes."""
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcdeé") for _ in range(50_000))
+    codec = bpe.Codec.open(RANKS, public_tokenizers.PATTERN)
+    tracemalloc.start()
+    (code,) = codec.encode([text])
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert array.array("I", code).tolist() == library.encode_ordinary(text)
+    assert peak < 100 * len(text.encode())
+
+
+def test_slices_are_cut_by_rows_and_by_bytes():
+    texts = ["x" * n for n in (0, 5, 30, 4, 4, 4, 100, 0, 1)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10)), pa.array(texts)], ["id", "text"])
+    parts = [p.column(0).to_pylist() for p in units.slices(batch, rows=4, most=12)]
+    assert sum(parts, []) == list(range(10))
+    assert parts == [[0, 1], [2], [3, 4, 5], [6], [7, 8, 9]]
+    lists = pa.array([[1] * 20, None, [], [2]], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4)), lists], ["id", "ids"])
+    assert [p.num_rows for p in units.slices(batch, most=10)] == [1, 3]
+
+
+def test_decoding_in_one_pass_equals_decoding_ids(spark):
+    docs = docs_of(spark, [*ODD, None])
+    one = bpe.encode_texts(docs, RANKS, public_tokenizers.PATTERN, with_decoded=True)
+    two = bpe.decode_ids(bpe.encode_texts(docs, RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN)
+    rows = lambda df: sorted(((r.doc_id, r.ids, bytes(r.decoded)) for r in df.collect()), key=repr)
+    assert rows(one) == rows(two)
+    assert bpe.encode_texts(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="\\<|>ax\n"))
 def test_escapes_are_reversible(text):
@@ -277,3 +448,17 @@ def test_segments_of_a_turn(spark):
         ("yo", True),
         ("<|end|>\n", False),
     ]
+
+
+def test_segments_in_another_order_are_refused_and_can_be_restored(spark):
+    rows = [(k % 7, k, ["user", "assistant"][k // 7 % 2], f"text {k}") for k in range(70)]
+    chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    segments = format_chats(chats)
+    straight = sorted(map(tuple, read_back(segments).collect()))
+    mixed = segments.repartition(5)
+    with pytest.raises(Exception, match="not in order"):
+        read_back(mixed).collect()
+    assert sorted(map(tuple, read_back(in_order(mixed)).collect())) == straight
+    assert {r.complete for r in read_back(segments).collect()} == {True}
+    one = read_back(format_chats(chats.where("turn < 7"))).collect()
+    assert {(r.valid, r.complete) for r in one} == {(True, False)}
