@@ -36,6 +36,15 @@ def bucket_start(ts: Column, step: timedelta) -> Column:
     return F.timestamp_micros(us - F.pmod(us, F.lit(micros(step))))
 
 
+def later(ts: Column, by: timedelta) -> Column:
+    """`ts` and so much time after it, less where `by` is negative.
+
+    Adds whole microseconds. A sum with an interval goes over the calendar of the session's zone, row
+    by row, for the same instant in UTC.
+    """
+    return F.timestamp_micros(F.unix_micros(ts) + F.lit(micros(by)))
+
+
 def event_time_from_millis(ms: Column) -> Column:
     return F.timestamp_millis(ms)
 

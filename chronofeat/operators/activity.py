@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronofeat.functions.timekit import bucket_start, micros, window_text
+from chronofeat.operators.changes import parts_for
 from chronofeat.operators.grid import HOUR, KINDS, QUARTER, dense_grid
 
 # Name suffix and length of each trailing window.
 WINDOWS = {"15m": QUARTER, "1h": HOUR}
+#: Events for each task that works on whole keys. Grids have many rows per event, so it is low.
+EVENTS_PER_PART = 50_000
 
 
 def trailing_activity(
@@ -30,8 +33,10 @@ def trailing_activity(
     A window without any event gives no row. With `prebucket`, the default on tables, events
     are first counted per slide, partially before the shuffle. Those counts, at most one row
     per key and slide, are moved to their key, spread over the windows there and summed
-    without another shuffle. Without it, the default on streams since it needs one stateful
-    operator less, each event is spread over its windows before it is counted.
+    without another shuffle. The number of events is taken first, so that there are as many parts
+    of keys as the data needs: the counts are small, but what unfolds from them is not. Without
+    `prebucket`, the default on streams since it needs one stateful operator less, each event is
+    spread over its windows before it is counted.
 
     On a stream the ends come from `F.window`, which ties the groups to the watermark; on a
     table they are computed, which shuffles one long instead of a struct.
@@ -54,7 +59,8 @@ def trailing_activity(
         rows, carried = per_slide.agg(*counts), list(kinds)
         if not streaming:
             # Serves the sums per window below, and gap filling per key after them.
-            rows = rows.repartition(F.col(key))
+            parts = parts_for(events, events.count(), EVENTS_PER_PART)
+            rows = rows.repartition(parts, key)
     else:
         at = event_time = F.col(ts)
         rows, carried = events, [F.col(kind).alias("_kind")]
@@ -63,9 +69,10 @@ def trailing_activity(
         ends = F.window(event_time, window_text(longest), window_text(slide)).alias("_w")
         end = F.col("_w.end")
     else:
-        offsets = F.array(*[F.lit(slide * (i + 1)) for i in range(longest // slide)])
+        offsets = F.array(*[F.lit(micros(slide) * (i + 1)) for i in range(longest // slide)])
         rows = rows.where(event_time.isNotNull()).withColumn("_offset", F.explode(offsets))
-        ends = (bucket_start(event_time, slide) + F.col("_offset")).alias("_w")
+        ends = F.timestamp_micros(F.unix_micros(bucket_start(event_time, slide)) + F.col("_offset"))
+        ends = ends.alias("_w")
         end = F.col("_w")
     placed = rows.select(key, *carried, at.alias("_at"), ends)
     # How far before the window's end the event lies, as one number for all conditions.

@@ -14,6 +14,8 @@ DAY = timedelta(days=1)
 
 # Groups below this size are not worth splitting.
 HOT_ROWS = 100_000
+#: Parts of a shuffle below this size cost more than they save.
+LEAST_PER_PART = 10_000
 
 
 def shares_of(df: DataFrame) -> int:
@@ -29,6 +31,14 @@ def shares_of(df: DataFrame) -> int:
     return 4 * cores
 
 
+def parts_for(df: DataFrame, rows: int, rows_per_part: int) -> int:
+    """Parts for a shuffle of `rows` rows: as many as hold what one task should, so the memory of a
+    task does not grow with the data; for fewer rows up to two for each core."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    few = min(2 * cores, -(-rows // LEAST_PER_PART))
+    return max(1, few, -(-rows // rows_per_part))
+
+
 def heaviest(counts: DataFrame, rows: str, least: int = HOT_ROWS) -> DataFrame:
     """The groups that hold more than one share of all rows, and more than `least`."""
     share = counts.agg(F.sum(rows) / shares_of(counts)).scalar()

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofeat.functions.columns import event_id
-from chronofeat.functions.timekit import bucket_start, event_time_from_millis
+from chronofeat.functions.timekit import bucket_start, event_time_from_millis, later
 from chronofeat.operators.trips import ARRIVAL, DEPARTURE, HEARTBEAT
 
 QUARTER = timedelta(minutes=15)
@@ -54,7 +54,7 @@ def dense_grid(
     """
     values = [c for c in counts.columns if c not in (key, ts)]
     by_time = Window.partitionBy(key).orderBy(ts)
-    until = F.coalesce(F.lead(ts).over(by_time) - F.lit(step), F.col(ts))
+    until = F.coalesce(later(F.lead(ts).over(by_time), -step), F.col(ts))
     rows = counts.withColumn("_until", until)
     if trim:
         before, after = F.lag(ts, trim).over(by_time), F.lead(ts, trim).over(by_time)
@@ -74,7 +74,7 @@ def every_step(
     are written one by one, so no array grows with the gap.
     """
     wide = step * stretch
-    steps = F.sequence("_stretch", F.least(F.col("_stretch") + F.lit(wide - step), F.col(last)), F.lit(step))
+    steps = F.sequence("_stretch", F.least(later(F.col("_stretch"), wide - step), F.col(last)), F.lit(step))
     stretches = rows.withColumn("_stretch", F.explode(F.sequence(first, last, F.lit(wide))))
     return stretches.withColumn(at, F.explode(steps)).drop("_stretch")
 

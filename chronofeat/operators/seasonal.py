@@ -7,8 +7,9 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronofeat.functions.timekit import hour_of_week
-from chronofeat.operators.activity import trailing_activity
+from chronofeat.functions.timekit import hour_of_week, later
+from chronofeat.operators.activity import EVENTS_PER_PART, trailing_activity
+from chronofeat.operators.changes import parts_for
 from chronofeat.operators.grid import HOUR, KINDS, QUARTER, bucket_counts, dense_grid
 from chronofeat.operators.trips import DEPARTURE
 
@@ -26,16 +27,19 @@ def seasonal_profile(
     """Mean of the last occurrences of each hour of the week, stamped at the hour's end.
 
     Fewer occurrences give the mean of what exists. The window per (key, hour of week) runs
-    on the partitioning by key that the grid already has: it sorts and does not shuffle.
+    on the partitioning by key that the grid already has: it sorts and does not shuffle. Parts
+    follow from the number of events, as hours unfold from few counts.
     """
-    hours = dense_grid(bucket_counts(events, HOUR, kinds, key, ts, kind), HOUR, key)
+    counts = bucket_counts(events, HOUR, kinds, key, ts, kind)
+    counts = counts.repartition(parts_for(events, events.count(), EVENTS_PER_PART), key)
+    hours = dense_grid(counts, HOUR, key)
     hours = hours.withColumn("hour_of_week", hour_of_week(F.col("bucket"), tz))
     recent = (
         Window.partitionBy(key, "hour_of_week").orderBy("bucket").rowsBetween(1 - occurrences, 0)
     )
     means = [F.avg(name).over(recent).alias(f"avg_{name}_{occurrences}w") for name in kinds]
     return hours.select(
-        key, "hour_of_week", (F.col("bucket") + F.lit(HOUR)).alias(stamp), *means
+        key, "hour_of_week", later(F.col("bucket"), HOUR).alias(stamp), *means
     )
 
 
@@ -62,5 +66,5 @@ def forward_label(
     )
     dense = dense_grid(trailing, step, key, stamp, trim=horizon - 1)
     return dense.select(
-        key, (F.col(stamp) - F.lit(span)).alias(stamp), F.col("_ahead_n").alias(label)
+        key, later(F.col(stamp), -span).alias(stamp), F.col("_ahead_n").alias(label)
     )

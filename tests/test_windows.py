@@ -174,3 +174,18 @@ def test_a_long_gap_unfolds_without_a_long_array(spark):
     assert arrays.count() == 2 * 5001
     found = arrays.where("n = 3").agg(F.min("at"), F.max("at"), F.countDistinct("at")).first()
     assert found[2] == 5001
+
+
+@pytest.mark.parametrize("build", [activity_with_zeros, forward_label, lambda ev: seasonal_profile(ev, NY)])
+def test_grids_unfold_in_as_many_parts_as_the_events_need(events, monkeypatch, build):
+    """Counts are too small for the planner to see how many rows a task will unfold from them."""
+    from chronofeat.operators import activity, changes, seasonal
+
+    ev = events(some_events(n=400, stations=40))
+    whole = rows_of(build(ev))
+    for module in (activity, seasonal):
+        monkeypatch.setattr(module, "EVENTS_PER_PART", 20)
+    monkeypatch.setattr(changes, "LEAST_PER_PART", 10_000)
+    table = build(ev)
+    assert table.rdd.getNumPartitions() == 20
+    assert rows_of(table) == whole
