@@ -20,6 +20,10 @@ bucket) with a test of the time is enough. Labels are shuffled by an ordinary jo
 the measured size of the intervals lets adaptive execution broadcast them, and split by its skew
 handling where a key is hot. It suits views with few rows, as regions or weekly profiles have.
 
+**Together.** Lookups that share a key with the labels (`asof_together`) need neither plan while no
+such key holds more than a share: one shuffle lays labels and all histories out by the shared key,
+and every lookup is a window over whole keys that sorts and does not shuffle.
+
 Feature rows are reduced to one per (key, instant) before they are shuffled, in the window plan
 where a group holds more than its share of them, so copies of a row cannot pile up.
 """
@@ -28,22 +32,35 @@ from __future__ import annotations
 
 from datetime import UTC, datetime, timedelta
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronofeat.functions.timekit import bucket_start, instant
-from chronofeat.operators.changes import DAY, carry_in, shares_of
+from chronofeat.functions.timekit import bucket_start, instant, micros
+from chronofeat.operators.changes import DAY, carry_in, parts_for, shares_of
 from chronofeat.operators.grid import every_step
 
 #: Groups below this size are not worth splitting.
 HOT_ROWS = 100_000
 PLANS = ("window", "interval")
+#: Labels and feature rows for each task of lookups that are made together.
+ROWS_PER_PART = 1_000_000
 
 _FEATURE, _LABEL = 0, 1
 _TICK = timedelta(microseconds=1)
 
 
+class Lookup(NamedTuple):
+    """One history to look up: its rows, keys, value columns, lifetime and time column."""
+
+    features: DataFrame
+    keys: list[str]
+    values: list[str]
+    ttl: timedelta | None
+    ts: str
+
+
 def asof_join(
     labels: DataFrame,
     features: DataFrame,
@@ -79,13 +96,7 @@ def asof_join(
         span = time_span(measured, ts)
         if span is None:
             return _without_hits(labels, features, values, found_at, feature_ts or ts)
-    row = F.struct(F.col(feature_ts or ts).alias("ts"), *values)
-    known = features.select(*keys, F.col(feature_ts or ts).alias(ts), row.alias("_row"))
-    known = known.where(_present([*keys, ts]))
-    if span is not None:
-        known = known.where(F.col(ts) <= instant(span[1]))
-        if ttl is not None:
-            known = known.where(F.col(ts) >= instant(span[0] - ttl))
+    known = _known(Lookup(features, keys, values, ttl, feature_ts or ts), ts, span)
     if strategy == "interval":
         found = _by_interval(labels, known, keys, ttl, ts, bucket, span)
     else:
@@ -96,6 +107,53 @@ def asof_join(
     return found.select(*labels.columns, *picked)
 
 
+def asof_together(
+    labels: DataFrame,
+    lookups: list[Lookup],
+    shared: list[str],
+    ts: str = "event_timestamp",
+    span: tuple[datetime, datetime] | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame | None:
+    """`asof_join` of every lookup, after one shuffle by the keys `shared` that all of them have.
+
+    Labels and histories meet in one union by `shared`, and each lookup is a window over its own keys
+    there. None where a group by `shared` holds more than its share of all rows: that would be one
+    task's work, which the plans of `asof_join` split. Labels are counted, so pass a written table.
+    """
+    known = [_known(lookup, ts, span) for lookup in lookups]
+    keyed = reduce(DataFrame.unionAll, [df.select(*shared) for df in (labels, *known)])
+    per_key = keyed.groupBy(*shared).agg(F.count(F.lit(1)).alias("_rows"))
+    total, largest = per_key.agg(F.sum("_rows"), F.max("_rows")).first()
+    total, largest = total or 0, largest or 0
+    if largest > max(hot_rows, -(-total // shares_of(labels))):
+        return None
+
+    label = len(lookups)
+    rows = labels.withColumn("_tag", F.lit(label))
+    for i, history in enumerate(known):
+        history = history.withColumnRenamed("_row", f"_row{i}").withColumn("_tag", F.lit(i))
+        rows = rows.unionByName(history, allowMissingColumns=True)
+    rows = rows.repartition(parts_for(labels, total, ROWS_PER_PART), *shared)
+    picked = []
+    for i, lookup in enumerate(lookups):
+        row = f"_row{i}"
+        upto = (
+            Window.partitionBy(*lookup.keys)
+            .orderBy(ts, "_tag", row)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        rows = rows.withColumn(row, F.last(row, ignorenulls=True).over(upto))
+        rows = rows.where(F.col("_tag") != i)
+        hit = F.lit(True)
+        if lookup.ttl is not None:
+            hit = F.unix_micros(ts) - F.unix_micros(f"{row}.ts") <= micros(lookup.ttl)
+        picked += [F.when(hit, F.col(f"{row}.{v}")).alias(v) for v in lookup.values]
+    # The union may have widened a key for a history that stores it wider.
+    own = [F.col(f.name).cast(f.dataType).alias(f.name) for f in labels.schema]
+    return rows.select(*own, *picked)
+
+
 def time_span(df: DataFrame, ts: str) -> tuple[datetime, datetime] | None:
     """First and last time of `df` as zoned moments; None without any."""
     low, high = df.agg(F.min(F.unix_micros(ts)), F.max(F.unix_micros(ts))).first()
@@ -105,6 +163,20 @@ def time_span(df: DataFrame, ts: str) -> tuple[datetime, datetime] | None:
     return epoch + timedelta(microseconds=low), epoch + timedelta(microseconds=high)
 
 
+def _known(
+    lookup: Lookup, ts: str, span: tuple[datetime, datetime] | None
+) -> DataFrame:
+    """(keys, `ts`, _row) of the feature rows that labels inside `span` can find."""
+    row = F.struct(F.col(lookup.ts).alias("ts"), *lookup.values)
+    known = lookup.features.select(*lookup.keys, F.col(lookup.ts).alias(ts), row.alias("_row"))
+    known = known.where(_present([*lookup.keys, ts]))
+    if span is not None:
+        known = known.where(F.col(ts) <= instant(span[1]))
+        if lookup.ttl is not None:
+            known = known.where(F.col(ts) >= instant(span[0] - lookup.ttl))
+    return known
+
+
 # --- window plan -----------------------------------------------------------------------
 
 

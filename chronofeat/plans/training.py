@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from chronofeat.functions.columns import as_number
 from chronofeat.functions.timekit import hour_of_week
-from chronofeat.operators.asof import asof_join, time_span
+from chronofeat.operators.asof import Lookup, asof_join, asof_together, time_span
 from chronofeat.operators.ranks import exact_quantile, seeded_cap
-from chronofeat.plans.views import FeatureService
+from chronofeat.plans.views import FeatureService, FeatureView
 
 # The label, the model's columns in order, the row cap and its seed.
 TARGET = "target_departures_next_1h"
@@ -48,14 +48,24 @@ def point_in_time(
 ) -> DataFrame:
     """One row per label row, with the features of every view of `service`.
 
-    `tables` holds each view's history by view name. A view of few rows joins as intervals, any
-    other shuffles the growing rows once. The labels' span is measured once for all views and bounds
-    what is read of each history; the views that shuffle also count the labels per key, so pass a
-    written table rather than a long computation.
+    `tables` holds each view's history by view name. Views that have the key of the first large view
+    are looked up together, after one shuffle by that key, unless a key is hot. Of the others a view
+    of few rows joins as intervals, any other shuffles the growing rows once. The labels' span is
+    measured once for all views and bounds what is read of each history; labels are also counted per
+    key, so pass a written table rather than a long computation.
     """
     joined = labels
     span = time_span(labels, ts)
-    for view in service.views:
+    single = list(service.views)
+    alike, shared = _with_shared_keys(service)
+    if alike:
+        lookups = [
+            Lookup(tables[v.name], list(v.keys), list(v.features), v.ttl, v.ts) for v in alike
+        ]
+        found = asof_together(labels, lookups, shared, ts, span)
+        if found is not None:
+            joined, single = found, [v for v in single if v not in alike]
+    for view in single:
         joined = asof_join(
             joined,
             tables[view.name],
@@ -69,7 +79,16 @@ def point_in_time(
             strategy=view.strategy,
             span=span,
         )
-    return joined.withColumns({name: make() for name, make in service.on_demand.items()})
+    joined = joined.withColumns({name: make() for name, make in service.on_demand.items()})
+    return joined.select(*labels.columns, *service.columns)
+
+
+def _with_shared_keys(service: FeatureService) -> tuple[list[FeatureView], list[str]]:
+    """The views that have all keys of the first large one, and these keys."""
+    large = next((v for v in service.views if v.strategy == "window"), None)
+    if large is None:
+        return [], []
+    return [v for v in service.views if set(large.keys) <= set(v.keys)], list(large.keys)
 
 
 def training_set(

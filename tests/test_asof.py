@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronofeat.operators import asof, asof_join, only_changed
-from chronofeat.operators.asof import PLANS
+from chronofeat.operators.asof import PLANS, Lookup, asof_together
 from chronofeat.plans.training import model_frame, point_in_time, training_set, with_entity_keys
 from chronofeat.plans.views import DEMAND_SERVICE, FeatureService, FeatureView
 from tests.conftest import MONDAY_NOON, aware, rows_of
@@ -276,3 +276,42 @@ def test_only_changed_equals_brute_force(spark, hot_rows, bucket):
             last[k] = stamp
     got = only_changed(df, ["k"], "arrived", "stamp", ("id",), bucket, hot_rows)
     assert [r[0] for r in rows_of(got.select("id"))] == sorted(expected, key=lambda i: repr((i,)))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_lookups_made_together_equal_single_ones(spark, seed):
+    """Null keys and times, copies, equal times; one lookup has a key more than the other."""
+    pick = random.Random(seed)
+    hour = F.pmod(F.coalesce(F.minute("event_timestamp"), F.lit(1)), F.lit(3))
+    hour = F.when(hour != 2, hour)
+    left, right = (df.withColumn("h", hour) for df in frames(spark, *random_case(seed)))
+    other = right.select("k", "h", "event_timestamp", F.col("b").alias("c"))
+    ttls = [pick.choice([None, timedelta(minutes=30)]), timedelta(minutes=pick.randrange(1, 300))]
+    lookups = [
+        Lookup(right, ["k"], ["a", "b"], ttls[0], "event_timestamp"),
+        Lookup(other, ["k", "h"], ["c"], ttls[1], "event_timestamp"),
+    ]
+    expected = asof_join(left, right, ["k"], ["a", "b"], ttls[0])
+    expected = asof_join(expected, other, ["k", "h"], ["c"], ttls[1], strategy="interval")
+    assert rows_of(asof_together(left, lookups, ["k"])) == rows_of(expected)
+    assert rows_of(asof_together(left, lookups[::-1], ["k"]).select(*expected.columns)) == rows_of(expected)
+
+
+def test_a_hot_key_is_not_looked_up_whole(spark, monkeypatch):
+    left, right = frames(spark, *random_case(2))
+    lookup = Lookup(right, ["k"], ["a"], None, "event_timestamp")
+    assert asof_together(left, [lookup], ["k"], hot_rows=1) is None
+    service = FeatureService("s", (FeatureView("v", ("k",), ("a",), None),))
+    whole = rows_of(point_in_time(left, service, {"v": right}))
+    monkeypatch.setattr("chronofeat.plans.training.asof_together", lambda *_: None)
+    assert rows_of(point_in_time(left, service, {"v": right})) == whole
+
+
+def test_views_of_one_key_share_one_shuffle_of_the_labels(spark):
+    """Before, the labels were shuffled by station and day, and again by station and hour."""
+    labels = spark.createDataFrame([("A", at(30), 1), ("B", at(30), 3)], LABELS)
+    keyed = with_entity_keys(labels, "America/New_York", "jc")
+    first_two = FeatureService("s", DEMAND_SERVICE.views[:2])
+    plan = point_in_time(keyed, first_two, tables(spark))._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("Exchange ") == 1
+    assert "Join" not in plan.toString()
