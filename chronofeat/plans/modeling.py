@@ -78,8 +78,11 @@ def fit_demand_model(
         )
         summary = {"best_round": len(trees.trees), "importance": trees.importance()}
         return trees, {"kind": kind, "losses": losses, **summary}
-    prepare = _preparation().fit(rows.where(~F.col("held_out")))
-    ready = stage_table(prepare.transform(rows).select("features", "label", "held_out"), "fit")
+    fitted = rows.where(~F.col("held_out"))
+    prepare = _preparation().fit(fitted)
+    # Only boosting looks at held-out rows, which may be far more than the rows to fit on.
+    needed = prepare.transform(rows if kind == "gbt" else fitted)
+    ready = stage_table(needed.select("features", "label", "held_out"), "fit")
     stages, summary = fits[kind](ready, rounds)
     return PipelineModel([*prepare.stages, *stages]), {"kind": kind, **summary}
 

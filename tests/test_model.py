@@ -159,3 +159,18 @@ def test_margins_written_anew_change_nothing(spark, frame, monkeypatch):
     folded, other = fit()
     assert other["losses"] == pytest.approx(summary["losses"])
     assert [t.feature for t in folded.trees] == [t.feature for t in model.trees]
+
+
+def test_regression_stages_only_the_rows_it_is_fitted_on(frame, monkeypatch):
+    from chronofeat.plans import modeling
+
+    staged = []
+
+    def spy(df, name):
+        staged.append(modeling_stage(df, name))
+        return staged[-1]
+
+    modeling_stage = modeling.stage_table
+    monkeypatch.setattr(modeling, "stage_table", spy)
+    fit_demand_model(frame, "glm")
+    assert [df.count() for df in staged] == [frame.where("NOT is_validation").count()]
