@@ -335,3 +335,42 @@ def test_documents_without_repeated_lines(spark):
     rows = [(1, "keep me once\nfirst own"), (2, "second own\n\nkeep me once"), (3, None)]
     got = {r.doc_id: r.text for r in drop_repeated_lines(docs_of(spark, rows)).collect()}
     assert got == {1: "keep me once\nfirst own", 2: "second own\n", 3: None}
+
+
+def test_lines_run_without_python(spark, monkeypatch):
+    """Signatures, prints and verification are DataFrame operations only."""
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("Python on the executors")
+
+    for name in ("mapInArrow", "mapInPandas"):
+        monkeypatch.setattr(type(docs_of(spark, [])), name, refuse)
+    text = "a line that is long enough to have quite a few shingles"
+    got = line_components(docs_of(spark, [(1, text), (2, text + "s"), (3, "short")])).collect()
+    assert {r.doc_id: (r.keep_doc_id, r.copies) for r in got} == {1: (1, 2), 2: (1, 2), 3: (3, 1)}
+
+
+def test_similar_lines_share_a_bucket_and_pass_the_prints(spark):
+    rng = random.Random(31)
+    letters = "abcdefghijklmnopqrstuvwxyz éあ😀"
+    rows, similar = [], []
+    for k in range(400):
+        line = "".join(rng.choice(letters) for _ in range(rng.choice((12, 20, 60, 300, 3000))))
+        near = line + "".join(rng.choice(letters) for _ in range(rng.randint(1, 1 + len(line) // 5)))
+        x, y = lines_module.shingles(line), lines_module.shingles(near)
+        if len(x & y) >= 0.8 * len(x | y):
+            similar.append((2 * k, 2 * k + 1))
+        rows += [(2 * k, line), (2 * k + 1, near)]
+    named = spark.createDataFrame(rows, "node long, norm string")
+    keys = {}
+    for r in lines_module._buckets(named).collect():
+        keys.setdefault(r.node, set()).add(r.key)
+    assert len(similar) > 150 and all(keys[a] & keys[b] for a, b in similar)
+    pairs = spark.createDataFrame([(2 * k, 2 * k + 1) for k in range(400)], "a long, b long")
+    possible = lines_module._possible(pairs, lines_module._prints(named))
+    found = {(r.a, r.b): r.sizes for r in possible.collect()}
+    assert set(similar) <= set(found) and len(found) < 400
+    sets = [lines_module.shingles(line) for _, line in rows]
+    assert all(n == len(sets[a]) + len(sets[b]) for (a, b), n in found.items())
+    verified = lines_module._verified(possible, named).collect()
+    assert sorted((r.a, r.b) for r in verified) == similar
