@@ -174,3 +174,40 @@ def test_regression_stages_only_the_rows_it_is_fitted_on(frame, monkeypatch):
     monkeypatch.setattr(modeling, "stage_table", spy)
     fit_demand_model(frame, "glm")
     assert [df.count() for df in staged] == [frame.where("NOT is_validation").count()]
+
+
+def test_the_demand_query_fits_on_every_row_before_the_cutoff(spark, tmp_path, monkeypatch):
+    """More rows than the cap of a training run. Over the fitted rows a Poisson regression predicts
+    as many departures as there were, which a model of some of them does not."""
+    from workload import queries
+    from workload import tables as t
+
+    hours = 12 * F.floor(F.col("id") / 200) + F.col("id") % 5
+    spark.range(200 * 60).select(
+        F.col("id").alias("event_id"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + 3600 * hours).alias("ts"),
+        (F.col("id") % 200).alias("user_id"),
+        F.when(F.pmod(F.xxhash64("id"), F.lit(3)) == 0, "view").otherwise("click").alias("event_type"),
+        (F.pmod(F.xxhash64("id"), F.lit(400)) / 4).alias("value"),
+        F.lit("{}").alias("props"),
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    fits = []
+
+    def spy(frame, kind):
+        fits.append((frame, *fit_demand_model(frame, kind)))
+        return fits[-1][1:]
+
+    monkeypatch.setattr(queries, "fit_demand_model", spy)
+    errors = queries.QUERIES["demand_model_scores"](spark, str(tmp_path)).collect()
+    assert [e["predictor"] for e in errors] == ["model", "baseline_profile", "baseline_last_hour"]
+
+    labels = t.labels(spark, str(tmp_path)).withColumn("at", F.unix_micros("event_timestamp"))
+    cutoff, whole = labels.agg(F.percentile("at", F.lit(0.8)), F.sum(TARGET)).first()
+    early = labels.where(F.col("at") <= cutoff).agg(F.count("at"), F.sum(TARGET)).first()
+    assert early[0] > 400_000
+    ((frame, model, _),) = fits
+    fitted = score(model, frame.where("NOT is_validation"))
+    got = fitted.agg(F.count(TARGET), F.sum(TARGET), F.sum("prediction")).first()
+    assert tuple(got)[:2] == tuple(early)
+    assert got[2] == pytest.approx(early[1], rel=1e-6)
+    assert frame.agg(F.count(TARGET), F.sum(TARGET)).first() == (labels.count(), whole)

@@ -44,9 +44,7 @@ from chronofeat.plans.reports import (
     top_k,
 )
 from chronofeat.plans.training import (
-    MAX_ROWS,
     TARGET,
-    capped_split,
     model_frame,
     point_in_time,
     time_split,
@@ -512,9 +510,8 @@ def seeded_cap_events(spark, sf_dir):
 
 @query("demand_model_scores")
 def demand_model_scores(spark, sf_dir):
-    """Poisson regression on capped rows; errors of model and baselines on all held-out rows."""
-    labels = stage_table(t.keyed_labels(spark, sf_dir), "labels")
-    labels = stage_table(capped_split(labels, MAX_ROWS), "split-labels")
+    """Poisson regression on all rows before the cutoff; errors of model and baselines on all after it."""
+    labels = time_split(stage_table(t.keyed_labels(spark, sf_dir), "labels"))
     split = point_in_time(labels, t.SERVICE, _history(spark, sf_dir))
     frame = stage_table(model_frame(split, keep=(TARGET, "is_validation")), "frame")
     model, _ = fit_demand_model(frame, "glm")
