@@ -211,3 +211,19 @@ def test_the_demand_query_fits_on_every_row_before_the_cutoff(spark, tmp_path, m
     assert tuple(got)[:2] == tuple(early)
     assert got[2] == pytest.approx(early[1], rel=1e-6)
     assert frame.agg(F.count(TARGET), F.sum(TARGET)).first() == (labels.count(), whole)
+
+
+def test_equal_rows_are_counted_and_the_regression_is_the_same(frame, monkeypatch):
+    staged, stage = [], modeling.stage_table
+    monkeypatch.setattr(modeling, "stage_table", lambda df, name: staged.append(stage(df, name)) or staged[-1])
+    once = frame.where("NOT is_validation")
+    often = once.unionAll(once.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(12)))).drop("n"))
+    uneven = often.unionAll(once.where("departures_1h > 6"))
+    counted, summary = fit_demand_model(uneven, "glm")
+    monkeypatch.setattr(modeling, "ROWS_PER_GROUP", 10**9)
+    one_by_one, expected = fit_demand_model(uneven, "glm")
+    assert summary["importance"] == pytest.approx(expected["importance"], rel=1e-8, abs=1e-12)
+    assert counted.stages[-1].intercept == pytest.approx(one_by_one.stages[-1].intercept)
+    grouped, whole = staged
+    assert grouped.count() == once.distinct().count() and whole.count() == uneven.count()
+    assert grouped.agg(F.sum("weight")).first()[0] == uneven.count()
